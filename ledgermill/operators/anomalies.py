@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import num
-from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, rolling_rows
+from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, hot_keys, rolling_rows
 from ledgermill.reference_data import ANOMALY_THRESHOLD
 
 ROWS_BACK = 29
@@ -70,10 +70,11 @@ def rolling_statistics(
         num(spent).alias("_abs"),
         (spent * 100).cast("long").alias("_cents"),
     )
+    hot = hot_keys(base, ["category_std", "merchant_clean"], max_group_rows)
     rows = base
     for prefix, key in (("category", "category_std"), ("merchant", "merchant_clean")):
         rows = rolling_rows(
-            rows, [key], "posted_at", "txn_id", ROWS_BACK, _stats(prefix), base, max_group_rows, block_rows
+            rows, key, "posted_at", "txn_id", ROWS_BACK, _stats(prefix), hot[key], block_rows=block_rows
         )
     return rows
 

@@ -31,15 +31,19 @@ def monthly_series(stg: DataFrame, as_of: date | None = None, months: int = 24)
         sum_if(F.col("is_income"), amount).alias("income"),
         sum_if(F.col("is_expense"), F.abs(amount)).alias("expenses"),
     )
+
+    def entry(kind: str, name: Column, value: str) -> Column:
+        return F.struct(F.lit(kind).alias("forecast_type"), name.alias("category_name"), F.col(value).alias("value"))
+
     entries = per_category.select(
         "month",
         F.inline(
             F.array(
-                F.struct(F.lit("total").alias("type"), F.lit("Income").alias("name"), F.col("income").alias("value")),
-                F.struct(F.lit("total"), F.lit("Expenses"), F.col("expenses")),
-                F.struct(F.lit("category"), F.col("category_std"), F.col("expenses")),
+                entry("total", F.lit("Income"), "income"),
+                entry("total", F.lit("Expenses"), "expenses"),
+                entry("category", F.col("category_std"), "expenses"),
             )
-        ).alias("forecast_type", "category_name", "value"),
+        ),
     )
     return entries.groupBy("forecast_type", "category_name", "month").agg(F.sum("value").alias("value"))
 

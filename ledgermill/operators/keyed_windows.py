@@ -2,22 +2,22 @@
 
 ``Window.partitionBy(key)`` sends all rows of a key to one task. With a handful
 of categories, or one merchant that holds a third of the ledger, that task never
-ends. The two functions here give the same rows as the plain window:
+ends. The functions here give the same rows as the plain window:
 
 * keys with at most ``max_group_rows`` rows take the plain window;
 * larger keys are cut along their order into small pieces. Per piece only a
   count (or sum) travels to the other pieces; the rows themselves stay apart.
 
-Both parts are in one lazy plan. The list of hot keys has at most
-``rows / max_group_rows`` entries, which bounds its broadcast. If it is empty,
-AQE drops the second part at run time.
+``hot_keys`` finds the larger keys with one aggregation that is combined
+map-side. There are at most ``rows / max_group_rows`` of them, so the list is
+bounded and safe to broadcast. Without hot keys the plan is the plain window.
 
 Rows are ordered by a timestamp and then by a unique hex id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -26,17 +26,29 @@ MAX_GROUP_ROWS = 5_000_000
 BLOCK_ROWS = 500_000
 
 
-def _hot_keys(counted: DataFrame, key: list[str], max_group_rows: int) -> DataFrame:
-    sizes = counted.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_group_rows)
-    return sizes.select(*[F.col(k).alias(f"_hot_{k}") for k in key])
+def hot_keys(df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> dict[str, list[str]]:
+    """Values of each text column that more than ``max_group_rows`` rows share. Runs one job.
+
+    NULL is never listed: rows without a key stay with the plain window.
+    """
+    entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
+    counted = (
+        df.select(F.inline(entries))
+        .filter(F.col("value").isNotNull())
+        .groupBy("name", "value")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > max_group_rows)
+    )
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counted.collect():
+        found[row["name"]].append(row["value"])
+    return found
 
 
-def _split(df: DataFrame, counted: DataFrame, key: list[str], max_group_rows: int) -> tuple[DataFrame, DataFrame]:
-    hot = F.broadcast(_hot_keys(counted, key, max_group_rows))
-    same_key = F.lit(True)
-    for k in key:
-        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-    return df.join(hot, same_key, "left_anti"), df.join(hot, same_key, "left_semi")
+def _split(df: DataFrame, key: str, hot: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    listed = F.broadcast(df.sparkSession.createDataFrame([(v,) for v in hot], "_hot string"))
+    same = F.col(key) == F.col("_hot")
+    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
 
 
 def _pieces(df: DataFrame, ts: str, row_id: str) -> DataFrame:
@@ -57,55 +69,43 @@ def _pieces(df: DataFrame, ts: str, row_id: str) -> DataFrame:
     )
 
 
-def _piece_offsets(cut: DataFrame, key: list[str], measure: Column) -> DataFrame:
+def _piece_offsets(cut: DataFrame, key: str, measure: Column) -> DataFrame:
     """Total of ``measure`` over all earlier pieces, first within the day, then over days."""
-    pieces = cut.groupBy(*key, "_day", "_sec", "_tag").agg(measure.alias("_part"))
+    pieces = cut.groupBy(key, "_day", "_sec", "_tag").agg(measure.alias("_part"))
     before = Window.unboundedPreceding, -1
-    in_day = Window.partitionBy(*key, "_day").orderBy("_sec", "_tag").rowsBetween(*before)
-    over_days = Window.partitionBy(*key).orderBy("_day").rowsBetween(*before)
+    in_day = Window.partitionBy(key, "_day").orderBy("_sec", "_tag").rowsBetween(*before)
+    over_days = Window.partitionBy(key).orderBy("_day").rowsBetween(*before)
     zero = F.lit(0)
     days = (
-        pieces.groupBy(*key, "_day")
+        pieces.groupBy(key, "_day")
         .agg(F.sum("_part").alias("_day_total"))
         .withColumn("_day_offset", F.coalesce(F.sum("_day_total").over(over_days), zero))
         .drop("_day_total")
     )
     within = pieces.withColumn("_in_day", F.coalesce(F.sum("_part").over(in_day), zero)).drop("_part")
-    joined = within.alias("p").join(days.alias("d"), _same([*key, "_day"], "p", "d"))
-    return joined.select(
-        *[F.col(f"p.{c}").alias(c) for c in [*key, "_day", "_sec", "_tag"]],
-        (F.col("p._in_day") + F.col("d._day_offset")).alias("_offset"),
-    )
-
+    offset = (F.col("_in_day") + F.col("_day_offset")).alias("_offset")
+    return within.join(days, [key, "_day"]).select(key, "_day", "_sec", "_tag", offset)
 
-def _same(cols: list[str], left: str, right: str) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond
 
-
-def _with_offsets(cut: DataFrame, offsets: DataFrame, key: list[str]) -> DataFrame:
-    cond = _same([*key, "_day", "_sec", "_tag"], "r", "o")
-    joined = cut.alias("r").join(offsets.alias("o"), cond)
-    return joined.select("r.*", F.col("o._offset").alias("_offset"))
+def _with_offsets(cut: DataFrame, offsets: DataFrame, key: str) -> DataFrame:
+    return cut.join(offsets, [key, "_day", "_sec", "_tag"])
 
 
 def rolling_rows(
     df: DataFrame,
-    key: list[str],
+    key: str,
     ts: str,
     row_id: str,
     preceding: int,
     outputs: Mapping[str, Callable[[WindowSpec], Column]],
-    counted: DataFrame | None = None,
+    hot: Sequence | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Aggregates over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` per key.
 
     ``outputs`` maps a column name to a function from the window to a Column.
-    ``counted`` may give a cheaper frame with the same keys for the counting pass.
+    ``hot`` lists the hot keys if they are known already.
 
     Rows of a hot key get their position, positions are cut into blocks of
     ``block_rows``, and the last ``preceding`` rows of a block are copied into
@@ -113,15 +113,17 @@ def rolling_rows(
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least preceding")
-    counted = df if counted is None else counted
-    cold, hot = _split(df, counted, key, max_group_rows)
-
-    plain = Window.partitionBy(*key).orderBy(ts, row_id).rowsBetween(-preceding, 0)
-    cold = cold.withColumns({name: make(plain) for name, make in outputs.items()})
-
-    cut = _pieces(hot, ts, row_id)
+    hot = hot_keys(df, [key], max_group_rows)[key] if hot is None else hot
+    plain = Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(-preceding, 0)
+    columns = {name: make(plain) for name, make in outputs.items()}
+    if not hot:
+        return df.withColumns(columns)
+
+    cold, large = _split(df, key, hot)
+    cold = cold.withColumns(columns)
+    cut = _pieces(large, ts, row_id)
     offsets = _piece_offsets(cut, key, F.count("*"))
-    in_piece = Window.partitionBy(*key, "_day", "_sec", "_tag").orderBy(ts, row_id)
+    in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id)
     placed = _with_offsets(cut.withColumn("_rn", F.row_number().over(in_piece)), offsets, key)
     placed = placed.withColumn("_pos", F.col("_offset") + F.col("_rn") - 1)
     block = F.floor(F.col("_pos") / block_rows).cast("long")
@@ -130,32 +132,33 @@ def rolling_rows(
         "_block",
         F.explode(F.when(is_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
     )
-    in_block = Window.partitionBy(*key, "_block").orderBy("_pos").rowsBetween(-preceding, 0)
+    in_block = Window.partitionBy(key, "_block").orderBy("_pos").rowsBetween(-preceding, 0)
     placed = placed.withColumns({name: make(in_block) for name, make in outputs.items()})
-    hot = placed.filter(F.col("_home") == F.col("_block")).select(*cold.columns)
-    return cold.unionByName(hot)
+    return cold.unionByName(placed.filter(F.col("_home") == F.col("_block")).select(*cold.columns))
 
 
 def running_total(
     df: DataFrame,
-    key: list[str],
+    key: str,
     ts: str,
     row_id: str,
     value: str,
     name: str,
+    hot: Sequence | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Cumulative sum of ``value`` per key."""
-    cold, hot = _split(df, df, key, max_group_rows)
+    hot = hot_keys(df, [key], max_group_rows)[key] if hot is None else hot
     to_here = Window.unboundedPreceding, 0
+    total = F.sum(value).over(Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(*to_here))
+    if not hot:
+        return df.withColumn(name, total)
 
-    plain = Window.partitionBy(*key).orderBy(ts, row_id).rowsBetween(*to_here)
-    cold = cold.withColumn(name, F.sum(value).over(plain))
-
-    cut = _pieces(hot, ts, row_id)
+    cold, large = _split(df, key, hot)
+    cold = cold.withColumn(name, total)
+    cut = _pieces(large, ts, row_id)
     offsets = _piece_offsets(cut, key, F.sum(value))
-    in_piece = Window.partitionBy(*key, "_day", "_sec", "_tag").orderBy(ts, row_id).rowsBetween(*to_here)
+    in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id).rowsBetween(*to_here)
     placed = _with_offsets(cut.withColumn("_in_piece", F.sum(value).over(in_piece)), offsets, key)
-    total = (F.col("_offset") + F.col("_in_piece")).cast(cold.schema[name].dataType)
-    hot = placed.withColumn(name, total).select(*cold.columns)
-    return cold.unionByName(hot)
+    whole = (F.col("_offset") + F.col("_in_piece")).cast(cold.schema[name].dataType)
+    return cold.unionByName(placed.withColumn(name, whole).select(*cold.columns))

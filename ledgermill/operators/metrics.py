@@ -52,10 +52,14 @@ def quality_points(results: DataFrame, at: datetime) -> DataFrame:
     labels = F.create_map(
         F.lit("table"), F.col("table"), F.lit("check"), F.col("check"), F.lit("passed"), F.col("passed").cast("string")
     )
+
+    def point(name: str, value: str, unit: str) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.col(value).cast("double").alias("value"), F.lit(unit).alias("unit"))
+
     values = F.array(
-        F.struct(F.lit("data_quality_score").alias("name"), F.col("score").alias("value"), F.lit("%").alias("unit")),
-        F.struct(F.lit("data_quality_rows_checked"), F.col("checked").cast("double"), F.lit("rows")),
-        F.struct(F.lit("data_quality_failed_rows"), F.col("failed").cast("double"), F.lit("rows")),
+        point("data_quality_score", "score", "%"),
+        point("data_quality_rows_checked", "checked", "rows"),
+        point("data_quality_failed_rows", "failed", "rows"),
     )
     return (
         results.select(labels.alias("labels"), F.inline(values))

@@ -289,7 +289,7 @@ def balance_breaks(raw: DataFrame, max_group_rows: int = MAX_GROUP_ROWS, block_r
         "_rows": lambda w: F.count("*").over(w),
     }
     with_previous = rolling_rows(
-        rows, ["account_id"], "posted_at", "txn_id", 1, pair, max_group_rows=max_group_rows, block_rows=block_rows
+        rows, "account_id", "posted_at", "txn_id", 1, pair, max_group_rows=max_group_rows, block_rows=block_rows
     )
     return (
         with_previous.filter(F.col("_rows") == 2)

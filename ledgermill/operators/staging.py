@@ -123,7 +123,7 @@ def running_balance(
 ) -> DataFrame:
     """Cumulative amount per account, plus an opening balance."""
     opening = opening if isinstance(opening, Column) else F.lit(opening)
-    total = running_total(raw, ["account_id"], "posted_at", "txn_id", "amount", name, max_group_rows)
+    total = running_total(raw, "account_id", "posted_at", "txn_id", "amount", name, max_group_rows=max_group_rows)
     return total.withColumn(name, (F.col(name) + opening.cast(MONEY)).cast("decimal(18,2)"))
 
 

@@ -1 +1,5 @@
-ORACLES = {}
+"""SQL twins of the registered queries, for DuckDB over the same tables."""
+
+from oracles import cashflow
+
+ORACLES = {**cashflow.SQL}
