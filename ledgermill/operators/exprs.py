@@ -47,3 +47,8 @@ def last_rows(keys: list[str], order: list[str], preceding: int) -> WindowSpec:
 
 def savings_rate(income: Column | str, expenses: Column | str) -> Column:
     return ratio(num(income) - num(expenses), num(income), 0.0)
+
+
+def rounded_rate(top: Column, bottom: Column, places: int = 4) -> Column:
+    """Decimal ``top / bottom`` rounded half away from zero; 0 unless ``bottom > 0``."""
+    return F.when(bottom > 0, F.round(top / bottom, places)).otherwise(F.lit(0)).cast("decimal(18,4)")

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import day
-from ledgermill.operators.exprs import count_if, mean_money, num, savings_rate, sum_if
+from ledgermill.operators.exprs import count_if, mean_money, num, rounded_rate, sum_if
 from ledgermill.reference_data import DEFAULT_GROUP_BUDGET, FORECAST_HORIZON_MONTHS, GROUP_BUDGETS
+from ledgermill.schemas import MONEY
 
 AMOUNT = "amount"
 
@@ -24,10 +25,14 @@ def _flows() -> list[Column]:
     ]
 
 
+def _savings_rate() -> Column:
+    return rounded_rate(F.col("income") - F.col("expenses"), F.col("income"))
+
+
 def mart_cashflow_daily(simple: DataFrame) -> DataFrame:
     """Totals and balance change per date, in one aggregation."""
     daily = simple.groupBy(F.to_date("posted_at").alias("date")).agg(*_flows())
-    return daily.withColumn("savings_rate", F.round(savings_rate("income", "expenses"), 4))
+    return daily.withColumn("savings_rate", _savings_rate())
 
 
 def mart_cashflow_monthly(simple: DataFrame) -> DataFrame:
@@ -49,7 +54,7 @@ def mart_cashflow_monthly(simple: DataFrame) -> DataFrame:
     )
     return monthly.withColumns(
         {
-            "savings_rate": F.round(savings_rate("income", "expenses"), 4),
+            "savings_rate": _savings_rate(),
             "avg_income": F.when(F.col("n_income") > 0, num("income") / F.col("n_income")),
             "avg_expense": F.when(F.col("n_expense") > 0, num("expenses") / F.col("n_expense")),
         }
@@ -61,7 +66,7 @@ def group_budget() -> Column:
     budget = F.when(F.col("is_income"), F.lit(0.0)).otherwise(F.lit(DEFAULT_GROUP_BUDGET))
     for name, value in GROUP_BUDGETS.items():
         budget = F.when(group == name, F.lit(value)).otherwise(budget)
-    return budget
+    return budget.cast(MONEY)
 
 
 def mart_budget(simple: DataFrame, categories: DataFrame) -> DataFrame:
@@ -74,7 +79,7 @@ def mart_budget(simple: DataFrame, categories: DataFrame) -> DataFrame:
     budgets = categories.select(
         "category_id", F.col("name").alias("category_name"), "budget_group", group_budget().alias("budget")
     ).filter("budget > 0")
-    variance = F.col("budget") - num("actual")
+    variance = F.col("budget") - F.col("actual")
     return (
         totals.join(budgets, F.col("category_norm") == F.col("category_name"))
         .withColumn("actual", F.col("income") - F.col("expenses"))
@@ -86,7 +91,7 @@ def mart_budget(simple: DataFrame, categories: DataFrame) -> DataFrame:
             "budget",
             "actual",
             variance.alias("variance"),
-            F.round(variance / F.col("budget"), 4).alias("variance_pct"),
+            rounded_rate(variance, F.col("budget")).alias("variance_pct"),
             "income",
             "expenses",
         )
@@ -105,7 +110,7 @@ def mart_recurring(simple: DataFrame, as_of: date, least: int = 2) -> DataFrame:
         .groupBy("merchant_norm", "category_norm")
         .agg(
             F.count("*").alias("occurrence_count"),
-            mean_money(F.abs(AMOUNT)).alias("average_amount"),
+            F.round(F.sum(F.abs(AMOUNT)) / F.count("*"), 2).alias("average_amount"),
             F.stddev_samp(spent).alias("amount_stddev"),
             F.min("posted_at").alias("first_seen"),
             F.max("posted_at").alias("last_seen"),
@@ -120,7 +125,7 @@ def mart_recurring(simple: DataFrame, as_of: date, least: int = 2) -> DataFrame:
         "merchant_norm",
         "category_norm",
         "occurrence_count",
-        F.round("average_amount", 2).alias("average_amount"),
+        "average_amount",
         F.round("amount_stddev", 2).alias("amount_stddev"),
         "first_seen",
         "last_seen",

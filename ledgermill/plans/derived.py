@@ -18,6 +18,7 @@ from ledgermill.reference_data import CATEGORIES, categories
 from ledgermill.schemas import MONEY, RATE
 
 LEDGER_AS_OF = date(2001, 8, 2)
+EVENTS_AS_OF = date(2024, 1, 31)
 RECUR_AS_OF = date(2023, 7, 1)
 OPENING_BALANCE = 10000
 
@@ -142,3 +143,18 @@ def recurring_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-(base * factor)).cast(MONEY).alias("amount_usd"),
         F.lit(True).alias("is_expense"),
     )
+
+
+def event_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an expense of its user: few categories, right-skewed amounts, exact timestamps."""
+    return read(spark, sf_dir, "events").select(
+        F.sha2(F.concat(F.lit("e-"), F.col("event_id").cast("string")), 256).alias("txn_id"),
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("account_id"),
+        F.col("ts").alias("posted_at"),
+        F.date_format("ts", "yyyy-MM").alias("month"),
+        (-F.col("value").cast(MONEY)).cast(MONEY).alias("amount"),
+        (-F.col("value").cast(MONEY)).cast(MONEY).alias("amount_usd"),
+        F.lit(True).alias("is_expense"),
+        F.col("event_type").alias("category_std"),
+        F.concat_ws(" ", F.col("event_type"), (F.col("user_id") % 50).cast("string")).alias("merchant_clean"),
+    )

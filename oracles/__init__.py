@@ -1,5 +1,5 @@
 """SQL twins of the registered queries, for DuckDB over the same tables."""
 
-from oracles import cashflow
+from oracles import cashflow, detection, simple
 
-ORACLES = {**cashflow.SQL}
+ORACLES = {**cashflow.SQL, **detection.SQL, **simple.SQL}

@@ -19,6 +19,14 @@ def big(expr: str, name: str | None = None) -> str:
     return f"CAST({expr} AS BIGINT) AS {name or expr}"
 
 
+def exact(top: str, bottom: str, places: int, name: str) -> str:
+    """Money ratio rounded half away from zero, computed in integers; 0 unless bottom > 0."""
+    scale = 10**places
+    t, b = f"CAST(({top}) * 100 AS HUGEINT)", f"CAST(({bottom}) * 100 AS HUGEINT)"
+    units = f"SIGN({t}) * ((2 * ABS({t}) * {scale} + {b}) // (2 * {b}))"
+    return f"CASE WHEN {bottom} > 0 THEN CAST({units} AS DOUBLE) / {scale} ELSE 0 END AS {name}"
+
+
 def usd(amount: str, rate: str) -> str:
     """amount / rate in cents, halves away from zero, in integers."""
     top = f"2 * CAST(ABS({amount}) * 100 AS HUGEINT) * 1000000"
