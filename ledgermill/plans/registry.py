@@ -707,7 +707,8 @@ def stream_metrics_daily(spark, sf_dir):
     schema = derived.read(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).parquet(inbox)
     stream_metrics.run_summary(spark, stream, target, state, "1 day", "1 hour").awaitTermination()
-    return shape(spark.read.parquet(target), ["avg"])
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return shape(spark.read.parquet(target).withColumns(bounds), ["avg"])
 
 
 # --- data quality -----------------------------------------------------------

@@ -1,5 +1,5 @@
 """SQL twins of the registered queries, for DuckDB over the same tables."""
 
-from oracles import cashflow, detection, simple
+from oracles import cashflow, detection, simple, tables
 
-ORACLES = {**cashflow.SQL, **detection.SQL, **simple.SQL}
+ORACLES = {**cashflow.SQL, **detection.SQL, **simple.SQL, **tables.SQL}
