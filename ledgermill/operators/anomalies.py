@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import num
-from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, hot_keys, rolling_rows
+from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, find_skew, rolling_rows
 from ledgermill.reference_data import ANOMALY_THRESHOLD
 
 ROWS_BACK = 29
@@ -25,21 +27,34 @@ Z_POINTS, Z_LIMIT = 5, 15
 SEVERITY = [(70, "high"), (40, "medium"), (20, "low")]
 # Words in a merchant name and the categories that fit them.
 EXPECTED_CATEGORIES = [
-    ("%restaurant%", ("Food & Dining", "Restaurants")),
-    ("%gas%", ("Transportation", "Gas")),
-    ("%grocery%", ("Food & Dining", "Groceries")),
+    ("restaurant", ("Food & Dining", "Restaurants")),
+    ("gas", ("Transportation", "Gas")),
+    ("grocery", ("Food & Dining", "Groceries")),
 ]
 # Categories that are unusual on a weekend (1 = Sunday, 7 = Saturday).
 WEEKDAY_CATEGORIES = ("Business", "Professional Services")
-# Remediation texts.
-HINTS = {
-    "outlier_spike": "Review transaction details and verify amount. Consider if this is a legitimate large purchase.",
-    "novel": "Verify this is a legitimate merchant. Check for potential fraud or data entry errors.",
-    "mismatch": "Review and correct category classification for this merchant.",
-    "frequency": "Monitor for potential duplicate transactions or subscription billing issues.",
-    "timing": "Verify transaction timing and merchant legitimacy.",
-    "other": "Review transaction details and verify all information is correct.",
-}
+# Anomaly types in order of precedence; the driver text of each, around up to two numbers.
+TYPES = [
+    ("Statistical Outlier + Amount Spike", "Transaction amount is ", "x the category average and ", "x the merchant average"),
+    ("Statistical Outlier", "Transaction amount is ", " standard deviations from category average", ""),
+    ("Amount Spike", "Transaction amount is ", "x the category average", ""),
+    ("Novel Merchant", "First transaction with this merchant in the last 30 days", "", ""),
+    ("Unusual Timing", "Transaction occurred at an unusual time for this category", "", ""),
+    ("High Frequency", "High frequency of transactions with this merchant (", " in 30 days)", ""),
+    ("Category Mismatch", "Category classification may be incorrect for this merchant", "", ""),
+    ("Multiple Factors", "Multiple anomaly factors detected", "", ""),
+]
+# Remediation texts in order of precedence.
+HINTS = [
+    "Review transaction details and verify amount. Consider if this is a legitimate large purchase.",
+    "Verify this is a legitimate merchant. Check for potential fraud or data entry errors.",
+    "Review and correct category classification for this merchant.",
+    "Monitor for potential duplicate transactions or subscription billing issues.",
+    "Verify transaction timing and merchant legitimacy.",
+    "Review transaction details and verify all information is correct.",
+]
+# Status per severity.
+STATUS = {"high": "requires_attention", "medium": "review_recommended", "low": "monitor", "minimal": "acknowledged"}
 
 
 def _stats(prefix: str) -> dict:
@@ -55,10 +70,22 @@ def _stats(prefix: str) -> dict:
     }
 
 
+def _row_flags() -> dict[str, Column]:
+    """Flags that need no statistics."""
+    category, merchant = F.col("category_std"), F.lower("merchant_clean")
+    mismatch = F.lit(False)
+    for word, fitting in EXPECTED_CATEGORIES:
+        mismatch = mismatch | (merchant.contains(word) & ~category.isin(*fitting))
+    return {
+        "is_unusual_timing": F.dayofweek("posted_at").isin(1, 7) & category.isin(*WEEKDAY_CATEGORIES),
+        "is_category_mismatch": mismatch,
+    }
+
+
 def rolling_statistics(
     stg: DataFrame, max_group_rows: int = MAX_GROUP_ROWS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Expenses with the statistics of the last 30 rows of their category and merchant."""
+    """Expenses with the statistics of the last 30 rows of their category and merchant, and their distance from them."""
     spent = F.abs("amount_usd")
     base = stg.filter("is_expense").select(
         "txn_id",
@@ -70,17 +97,34 @@ def rolling_statistics(
         num(spent).alias("_abs"),
         (spent * 100).cast("long").alias("_cents"),
     )
-    hot = hot_keys(base, ["category_std", "merchant_clean"], max_group_rows)
+    skew = find_skew(base, ["category_std", "merchant_clean"], "posted_at", max_group_rows)
     rows = base
     for prefix, key in (("category", "category_std"), ("merchant", "merchant_clean")):
         rows = rolling_rows(
-            rows, key, "posted_at", "txn_id", ROWS_BACK, _stats(prefix), hot[key], block_rows=block_rows
+            rows, key, "posted_at", "txn_id", ROWS_BACK, _stats(prefix), skew[key], block_rows=block_rows
+        )
+        mean, std = F.col(f"{prefix}_avg_amount_30d"), F.col(f"{prefix}_std_amount_30d")
+        rows = rows.withColumns(
+            {
+                f"{prefix}_z_score": F.coalesce((F.col("_abs") - mean) / F.nullif(std, F.lit(0.0)), F.lit(0.0)),
+                f"{prefix}_amount_ratio": F.coalesce(F.col("_abs") / F.nullif(mean, F.lit(0.0)), F.lit(1.0)),
+                **(_row_flags() if prefix == "category" else {}),
+            }
         )
     return rows
 
 
-def _one_decimal(value: Column) -> Column:
-    return value.cast("decimal(18,1)").cast("string")
+def _first_of(*conditions: Column) -> Column:
+    """Index of the first true condition, or their number."""
+    index = F.lit(len(conditions))
+    for i, condition in reversed(list(enumerate(conditions))):
+        index = F.when(condition, F.lit(i)).otherwise(index)
+    return index
+
+
+def _pick(rows: Sequence[tuple], names: Sequence[str], index: Column) -> Column:
+    """The struct of texts at an index."""
+    return F.get(F.array(*[F.struct(*[F.lit(t).alias(n) for t, n in zip(row, names)]) for row in rows]), index)
 
 
 def anomaly_score(
@@ -89,102 +133,47 @@ def anomaly_score(
     max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Expenses whose composite score reaches the threshold."""
-    spent, count = F.col("_abs"), F.col("merchant_transaction_count_30d")
-    derived = {
-        "transaction_date": F.to_date("posted_at"),
-        "month": F.month("posted_at"),
-        "year": F.year("posted_at"),
-        "day_of_week": F.dayofweek("posted_at"),
-    }
-    for prefix in ("category", "merchant"):
-        mean, std = F.col(f"{prefix}_avg_amount_30d"), F.col(f"{prefix}_std_amount_30d")
-        derived[f"{prefix}_z_score"] = F.when(std > 0, (spent - mean) / std).otherwise(F.lit(0.0))
-        derived[f"{prefix}_amount_ratio"] = F.when(mean > 0, spent / mean).otherwise(F.lit(1.0))
-    rows = rolling_statistics(stg, max_group_rows, block_rows).withColumns(derived)
+    """Expenses whose composite score reaches the threshold.
 
+    Texts are looked up by index instead of long CASE expressions: the filter and
+    the projections after the windows compile into one method, and the JVM does
+    not optimise methods beyond 8000 bytes.
+    """
+    rows = rolling_statistics(stg, max_group_rows, block_rows)
+    count = F.col("merchant_transaction_count_30d")
     z_category, z_merchant = F.abs("category_z_score"), F.abs("merchant_z_score")
-    category, merchant = F.col("category_std"), F.col("merchant_clean")
-    mismatch = F.lit(False)
-    for pattern, fitting in EXPECTED_CATEGORIES:
-        mismatch = mismatch | (merchant.ilike(pattern) & ~category.isin(*fitting))
     rows = rows.withColumns(
         {
-            "is_statistical_outlier": (z_category > 2) | (z_merchant > 2),
-            "is_amount_spike": (F.col("category_amount_ratio") > 3) | (F.col("merchant_amount_ratio") > 3),
+            "is_statistical_outlier": F.greatest(z_category, z_merchant) > 2,
+            "is_amount_spike": F.greatest("category_amount_ratio", "merchant_amount_ratio") > 3,
             "is_novel_merchant": count == 1,
-            "is_unusual_timing": F.col("day_of_week").isin(1, 7) & category.isin(*WEEKDAY_CATEGORIES),
             "is_high_frequency": count > 10,
-            "is_category_mismatch": mismatch,
         }
     )
-    score = F.lit(0.0)
+    score = F.least(z_category * Z_POINTS, F.lit(float(Z_LIMIT))) + F.least(z_merchant * Z_POINTS, F.lit(float(Z_LIMIT)))
+    flags = F.lit(0)
     for flag, points in POINTS.items():
-        score = score + F.when(F.col(flag), float(points)).otherwise(0.0)
-    for z in (z_category, z_merchant):
-        score = score + F.least(z * Z_POINTS, F.lit(float(Z_LIMIT)))
-    rows = rows.withColumn("anomaly_score", F.least(score, F.lit(100.0))).filter(F.col("anomaly_score") >= threshold)
-
-    severity = F.lit("minimal")
-    for least, name in reversed(SEVERITY):
-        severity = F.when(F.col("anomaly_score") >= least, name).otherwise(severity)
+        flags = flags + F.col(flag).cast("int") * points
+    score = F.least(flags + score, F.lit(100.0))
+    rows = rows.withColumn("anomaly_score", score).filter(F.col("anomaly_score") >= threshold)
+
     outlier, spike = F.col("is_statistical_outlier"), F.col("is_amount_spike")
     novel, timing = F.col("is_novel_merchant"), F.col("is_unusual_timing")
     frequent, wrong = F.col("is_high_frequency"), F.col("is_category_mismatch")
-    x_category, x_merchant = _one_decimal(F.col("category_amount_ratio")), _one_decimal(F.col("merchant_amount_ratio"))
-    amount_is = F.lit("Transaction amount is ")
-    rows = rows.withColumns(
+    kind = F.col("_kind")
+    number = F.when(kind == 1, z_category).when(kind.isin(0, 2), F.col("category_amount_ratio"))
+    levels = [*[name for _, name in SEVERITY], "minimal"]
+    severity = _first_of(*[F.col("anomaly_score") >= least for least, _ in SEVERITY])
+    rows = rows.withColumn("_kind", _first_of(outlier & spike, outlier, spike, novel, timing, frequent, wrong)).withColumns(
         {
-            "severity": severity,
-            "anomaly_type": F.when(outlier & spike, "Statistical Outlier + Amount Spike")
-            .when(outlier, "Statistical Outlier")
-            .when(spike, "Amount Spike")
-            .when(novel, "Novel Merchant")
-            .when(timing, "Unusual Timing")
-            .when(frequent, "High Frequency")
-            .when(wrong, "Category Mismatch")
-            .otherwise("Multiple Factors"),
-            "driver": F.when(
-                outlier & spike,
-                F.concat(
-                    amount_is,
-                    x_category,
-                    F.lit("x the category average and "),
-                    x_merchant,
-                    F.lit("x the merchant average"),
-                ),
-            )
-            .when(
-                outlier,
-                F.concat(amount_is, _one_decimal(z_category), F.lit(" standard deviations from category average")),
-            )
-            .when(spike, F.concat(amount_is, x_category, F.lit("x the category average")))
-            .when(novel, "First transaction with this merchant in the last 30 days")
-            .when(timing, "Transaction occurred at an unusual time for this category")
-            .when(
-                frequent,
-                F.concat(
-                    F.lit("High frequency of transactions with this merchant ("),
-                    count.cast("string"),
-                    F.lit(" in 30 days)"),
-                ),
-            )
-            .when(wrong, "Category classification may be incorrect for this merchant")
-            .otherwise("Multiple anomaly factors detected"),
-            "remediation_hint": F.when(outlier & spike, HINTS["outlier_spike"])
-            .when(novel, HINTS["novel"])
-            .when(wrong, HINTS["mismatch"])
-            .when(frequent, HINTS["frequency"])
-            .when(timing, HINTS["timing"])
-            .otherwise(HINTS["other"]),
+            "_level": _pick([(n, STATUS[n]) for n in levels], ["severity", "status"], severity),
+            "_text": _pick(TYPES, ["type", "head", "middle", "tail"], kind),
+            "_hint": _pick([(h,) for h in HINTS], ["hint"], _first_of(outlier & spike, novel, wrong, frequent, timing)),
+            "_first": F.when(kind == 5, count.cast("string")).otherwise(number.cast("decimal(18,1)").cast("string")),
+            "_second": F.when(kind == 0, F.col("merchant_amount_ratio")).cast("decimal(18,1)").cast("string"),
         }
     )
-    status = (
-        F.when(F.col("severity") == "high", "requires_attention")
-        .when(F.col("severity") == "medium", "review_recommended")
-        .when(F.col("severity") == "low", "monitor")
-        .otherwise("acknowledged")
-    )
+    driver = F.concat_ws("", "_text.head", "_first", "_text.middle", "_second", "_text.tail")
     return rows.select(
         "txn_id",
         F.col("merchant_clean").alias("merchant_name"),
@@ -192,15 +181,15 @@ def anomaly_score(
         "account_id",
         "amount_usd",
         "posted_at",
-        "transaction_date",
-        "month",
-        "year",
-        "day_of_week",
+        F.to_date("posted_at").alias("transaction_date"),
+        F.month("posted_at").alias("month"),
+        F.year("posted_at").alias("year"),
+        F.dayofweek("posted_at").alias("day_of_week"),
         "anomaly_score",
-        "severity",
-        "anomaly_type",
-        "driver",
-        "remediation_hint",
+        "_level.severity",
+        F.col("_text.type").alias("anomaly_type"),
+        driver.alias("driver"),
+        F.col("_hint.hint").alias("remediation_hint"),
         *POINTS,
         "category_z_score",
         "merchant_z_score",
@@ -212,7 +201,7 @@ def anomaly_score(
         "merchant_std_amount_30d",
         "merchant_transaction_count_30d",
         "category_transaction_count_30d",
-        status.alias("status"),
+        "_level.status",
         F.lit(False).alias("acknowledged"),
         F.lit(None).cast("timestamp_ntz").alias("acknowledged_at"),
         F.lit(None).cast("string").alias("acknowledged_by"),

@@ -5,12 +5,13 @@ of categories, or one merchant that holds a third of the ledger, that task never
 ends. The functions here give the same rows as the plain window:
 
 * keys with at most ``max_group_rows`` rows take the plain window;
-* larger keys are cut along their order into small pieces. Per piece only a
-  count (or sum) travels to the other pieces; the rows themselves stay apart.
+* larger keys are cut along their order into pieces. Per piece only a count (or
+  sum) travels to the other pieces; the rows themselves stay apart.
 
-``hot_keys`` finds the larger keys with one aggregation that is combined
-map-side. There are at most ``rows / max_group_rows`` of them, so the list is
-bounded and safe to broadcast. Without hot keys the plan is the plain window.
+``find_skew`` lists the larger keys, and the days on which such a key is large by
+itself, with aggregations that are combined map-side. Neither list can have more
+than ``rows / max_group_rows`` entries, which bounds their broadcast. Without hot
+keys the plan is the plain window.
 
 Rows are ordered by a timestamp and then by a unique hex id.
 """
@@ -18,54 +19,87 @@ Rows are ordered by a timestamp and then by a unique hex id.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgermill.reference_data import local_rows
+
+HOT_LIST = T.StructType([T.StructField("_hot", T.StringType())])
+NAMED_KEYS = T.StructType([T.StructField("name", T.StringType()), T.StructField("value", T.StringType())])
+DENSE_LIST = T.StructType(
+    [T.StructField("_dense_key", T.StringType()), T.StructField("_dense_day", T.DateType())]
+)
 MAX_GROUP_ROWS = 5_000_000
 BLOCK_ROWS = 500_000
 
 
-def hot_keys(df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> dict[str, list[str]]:
-    """Values of each text column that more than ``max_group_rows`` rows share. Runs one job.
+@dataclass(frozen=True)
+class Skew:
+    """Hot values of a key, and their (value, day) pairs that are large by themselves."""
+
+    keys: tuple[str, ...] = ()
+    dense_days: tuple[tuple, ...] = ()
+
+
+def find_skew(
+    df: DataFrame, columns: Sequence[str], ts: str, max_group_rows: int = MAX_GROUP_ROWS
+) -> dict[str, Skew]:
+    """The skew of each text column. Runs one job, and a second one if there are hot keys.
 
     NULL is never listed: rows without a key stay with the plain window.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
-    counted = (
-        df.select(F.inline(entries))
-        .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > max_group_rows)
-    )
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counted.collect():
-        found[row["name"]].append(row["value"])
-    return found
+    rows = df.select(F.to_date(F.col(ts)).alias("day"), F.inline(entries)).filter(F.col("value").isNotNull())
+    size = F.count("*").alias("n")
+    large = F.col("n") > max_group_rows
+    hot = rows.groupBy("name", "value").agg(size).filter(large).drop("n").collect()
+    if not hot:
+        return {c: Skew() for c in columns}
+    listed = F.broadcast(local_rows(df.sparkSession, [tuple(r) for r in hot], NAMED_KEYS))
+    dense = rows.join(listed, ["name", "value"]).groupBy("name", "value", "day").agg(size).filter(large).collect()
+    return {
+        c: Skew(
+            tuple(r["value"] for r in hot if r["name"] == c),
+            tuple((r["value"], r["day"]) for r in dense if r["name"] == c),
+        )
+        for c in columns
+    }
 
 
 def _split(df: DataFrame, key: str, hot: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    listed = F.broadcast(df.sparkSession.createDataFrame([(v,) for v in hot], "_hot string"))
+    listed = F.broadcast(local_rows(df.sparkSession, [(v,) for v in hot], HOT_LIST))
     same = F.col(key) == F.col("_hot")
     return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
 
 
-def _pieces(df: DataFrame, ts: str, row_id: str) -> DataFrame:
-    """Cut positions that keep the order (ts, row_id).
+def _pieces(df: DataFrame, key: str, ts: str, row_id: str, dense: Sequence[tuple]) -> DataFrame:
+    """Add the piece (``_day``, ``_sec``, ``_tag``) of each row; pieces keep the order (ts, row_id).
 
-    A piece is one second of the key. Rows exactly on the second come before the
-    rest of that second and are ordered by id alone, so they are cut further by
-    the first two digits of the id: date-only exports put a whole day on one
-    timestamp.
+    A piece is a day of the key. Only a dense day is cut further, into its
+    seconds. Rows exactly on the second come before the rest of that second and
+    are ordered by id alone, so they are cut by the first two digits of the id as
+    well: date-only exports put a whole day on one timestamp.
     """
+    df = df.withColumn("_day", F.to_date(F.col(ts)))
+    start = F.col("_day").cast("timestamp_ntz")
+    if not dense:
+        return df.withColumns({"_sec": start, "_tag": F.lit("")})
+    listed = F.broadcast(local_rows(df.sparkSession, dense, DENSE_LIST))
     second = F.date_trunc("second", F.col(ts)).cast("timestamp_ntz")
-    return df.withColumns(
-        {
-            "_day": F.to_date(F.col(ts)),
-            "_sec": second,
-            "_tag": F.when(F.col(ts) == second, F.substring(F.col(row_id), 1, 2)).otherwise(F.lit("~")),
-        }
+    is_dense = F.col("_dense_day").isNotNull()
+    tag = F.when(F.col(ts) == second, F.substring(F.col(row_id), 1, 2)).otherwise(F.lit("~"))
+    return (
+        df.join(listed, (F.col(key) == F.col("_dense_key")) & (F.col("_day") == F.col("_dense_day")), "left")
+        .withColumns(
+            {
+                "_sec": F.when(is_dense, second).otherwise(start),
+                "_tag": F.when(is_dense, tag).otherwise(F.lit("")),
+            }
+        )
+        .drop("_dense_key", "_dense_day")
     )
 
 
@@ -98,14 +132,14 @@ def rolling_rows(
     row_id: str,
     preceding: int,
     outputs: Mapping[str, Callable[[WindowSpec], Column]],
-    hot: Sequence | None = None,
+    skew: Skew | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Aggregates over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` per key.
 
     ``outputs`` maps a column name to a function from the window to a Column.
-    ``hot`` lists the hot keys if they are known already.
+    ``skew`` gives the result of ``find_skew`` if it is known already.
 
     Rows of a hot key get their position, positions are cut into blocks of
     ``block_rows``, and the last ``preceding`` rows of a block are copied into
@@ -113,15 +147,15 @@ def rolling_rows(
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least preceding")
-    hot = hot_keys(df, [key], max_group_rows)[key] if hot is None else hot
+    skew = find_skew(df, [key], ts, max_group_rows)[key] if skew is None else skew
     plain = Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(-preceding, 0)
     columns = {name: make(plain) for name, make in outputs.items()}
-    if not hot:
+    if not skew.keys:
         return df.withColumns(columns)
 
-    cold, large = _split(df, key, hot)
+    cold, large = _split(df, key, skew.keys)
     cold = cold.withColumns(columns)
-    cut = _pieces(large, ts, row_id)
+    cut = _pieces(large, key, ts, row_id, skew.dense_days)
     offsets = _piece_offsets(cut, key, F.count("*"))
     in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id)
     placed = _with_offsets(cut.withColumn("_rn", F.row_number().over(in_piece)), offsets, key)
@@ -144,19 +178,19 @@ def running_total(
     row_id: str,
     value: str,
     name: str,
-    hot: Sequence | None = None,
+    skew: Skew | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Cumulative sum of ``value`` per key."""
-    hot = hot_keys(df, [key], max_group_rows)[key] if hot is None else hot
+    skew = find_skew(df, [key], ts, max_group_rows)[key] if skew is None else skew
     to_here = Window.unboundedPreceding, 0
     total = F.sum(value).over(Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(*to_here))
-    if not hot:
+    if not skew.keys:
         return df.withColumn(name, total)
 
-    cold, large = _split(df, key, hot)
+    cold, large = _split(df, key, skew.keys)
     cold = cold.withColumn(name, total)
-    cut = _pieces(large, ts, row_id)
+    cut = _pieces(large, key, ts, row_id, skew.dense_days)
     offsets = _piece_offsets(cut, key, F.sum(value))
     in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id).rowsBetween(*to_here)
     placed = _with_offsets(cut.withColumn("_in_piece", F.sum(value).over(in_piece)), offsets, key)

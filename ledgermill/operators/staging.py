@@ -13,6 +13,7 @@ from ledgermill.reference_data import FX_CURRENCIES, MERCHANT_RULES
 from ledgermill.schemas import MONEY, RATE
 
 DEFAULT_CATEGORY = "Other"
+MAX_DIMENSION_ROWS = 200_000
 
 
 def normalise_merchants(
@@ -27,22 +28,25 @@ def normalise_merchants(
     category. ``categories`` is left to Spark's own broadcast size check.
     """
     ordered = sorted(rules, key=lambda r: (r[6], r[0]))
-    text = F.upper(F.col("merchant_raw"))
-    merchant, category = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for _, pattern, clean, _, std, _, _ in reversed(ordered):
-        hit = text.contains(pattern)
-        merchant = F.when(hit, F.lit(clean).cast("string")).otherwise(merchant)
-        category = F.when(hit, F.lit(std)).otherwise(category)
+    position = F.lit(None).cast("int")
+    for i, rule in reversed(list(enumerate(ordered))):
+        position = F.when(F.col("_text").contains(rule[1]), F.lit(i)).otherwise(position)
+
+    def of_rule(field: int) -> Column:
+        return F.get(F.array(*[F.lit(rule[field]).cast("string") for rule in ordered]), F.col("_rule"))
+
     names = categories.select(F.col("name").alias("_known_category"))
     return (
-        raw.join(names, F.col("category_raw") == F.col("_known_category"), "left")
+        raw.withColumn("_text", F.upper("merchant_raw"))
+        .withColumn("_rule", position)
+        .join(names, F.col("category_raw") == F.col("_known_category"), "left")
         .withColumns(
             {
-                "merchant_clean": F.coalesce(merchant, F.trim(F.col("merchant_raw")), F.lit("")),
-                "category_std": F.coalesce(category, F.col("_known_category"), F.lit(DEFAULT_CATEGORY)),
+                "merchant_clean": F.coalesce(of_rule(2), F.trim(F.col("merchant_raw")), F.lit("")),
+                "category_std": F.coalesce(of_rule(4), F.col("_known_category"), F.lit(DEFAULT_CATEGORY)),
             }
         )
-        .drop("_known_category")
+        .drop("_text", "_rule", "_known_category")
     )
 
 
@@ -55,13 +59,18 @@ def in_usd(amount: Column, currency: Column) -> Column:
     return result
 
 
-def with_rates(df: DataFrame, fx_rates: DataFrame, day: Column) -> DataFrame:
-    """Left join of the day's rates.
+def small_side(df: DataFrame, max_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
+    """Hint a broadcast after counting the rows; a larger frame is left to a shuffled join.
 
-    Rates are one row per day. No hint: Spark broadcasts them when they are below
-    its threshold, else the sort-merge join with AQE's skew handling applies.
+    Spark's own estimate of a derived dimension is far too large, so it would
+    shuffle the ledger for it. The count stops at ``max_rows``.
     """
-    rates = fx_rates.withColumnRenamed("date", "_fx_date")
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def with_rates(df: DataFrame, fx_rates: DataFrame, day: Column) -> DataFrame:
+    """Left join of the day's rates, which are one row per day."""
+    rates = small_side(fx_rates).withColumnRenamed("date", "_fx_date")
     return df.join(rates, day == F.col("_fx_date"), "left").drop("_fx_date")
 
 

@@ -5,7 +5,12 @@ Results depend on these values, so they are written out as they are.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgermill import schemas
 
@@ -108,9 +113,16 @@ ANOMALY_THRESHOLD = 20
 BUDGET_VARIANCE_THRESHOLD = 0.1
 
 
-def categories(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows or CATEGORIES, schemas.CATEGORY)
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Fixed rows as a local relation, whose size Spark knows exactly when it picks a join."""
+    columns = list(zip(*rows, strict=True))
+    table = pa.table({f.name: pa.array(c, to_arrow_type(f.dataType)) for f, c in zip(schema.fields, columns)})
+    return spark.createDataFrame(table, schema)
+
+
+def categories(spark: SparkSession, rows: Sequence[tuple] = CATEGORIES) -> DataFrame:
+    return local_rows(spark, rows, schemas.CATEGORY)
 
 
 def simple_categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SIMPLE_CATEGORIES, schemas.CATEGORY)
+    return local_rows(spark, SIMPLE_CATEGORIES, schemas.CATEGORY)

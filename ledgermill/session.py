@@ -25,6 +25,8 @@ def build_session(app: str = "ledgermill", master: str | None = None, extra: dic
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # plans here have hundreds of columns; recording a Python call site for each is slow
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(extra or {})
     for key, value in settings.items():

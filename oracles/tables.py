@@ -251,7 +251,7 @@ FROM flipped GROUP BY 1""",
     + """
 SELECT date_text AS "Transaction Date", strftime(o_orderdate, '%Y-%m-%d') AS "Post Date",
   'Merchant ' || CAST(o_custkey AS VARCHAR) AS "Description", 'Shopping' AS "Category", 'Sale' AS "Type",
-  trim(amount_text) AS "Amount", 'Order ' || CAST(o_orderkey AS VARCHAR) AS "Memo", CAST(NULL AS VARCHAR) AS _corrupt
+  nullif(trim(amount_text), '') AS "Amount", 'Order ' || CAST(o_orderkey AS VARCHAR) AS "Memo", CAST(NULL AS VARCHAR) AS _corrupt
 FROM texts""",
     "ingest_mapped": "WITH"
     + TEXTS

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from ledgermill.operators import anomalies, quality, staging
-from ledgermill.operators.keyed_windows import hot_keys, rolling_rows, running_total
+from ledgermill.operators.keyed_windows import Skew, _pieces, find_skew, rolling_rows, running_total
 from ledgermill.plans import derived
 
 
@@ -52,16 +52,20 @@ def test_running_total_equals_plain_window(spark, limit):
 
 def test_hot_keys_are_the_large_ones(spark):
     df = skewed(spark)
-    assert hot_keys(df, ["key"], 500) == {"key": ["hot"]}
-    assert hot_keys(df, ["key"], 4000) == {"key": []}
-
-
-def test_split_pieces_share_no_hot_task(spark):
-    """No window task of the split plan sees more than a block plus its halo."""
-    df = skewed(spark)
-    split = rolling_rows(df, "key", "ts", "row_id", 29, outputs(), max_group_rows=500, block_rows=100)
-    plan = split._jdf.queryExecution().optimizedPlan().toString()
-    assert "_block" in plan and "_sec" in plan
+    assert find_skew(df, ["key"], "ts", 500) == {"key": Skew(("hot",), ())}
+    assert find_skew(df, ["key"], "ts", 4000) == {"key": Skew()}
+    dense = find_skew(df, ["key"], "ts", 200)["key"].dense_days
+    assert {k for k, _ in dense} == {"hot"} and len(dense) == 5
+
+
+def test_dense_days_are_cut_within_the_day(spark):
+    """With a limit below a day's rows, pieces are smaller than the day even where all timestamps are equal."""
+    hot = skewed(spark).filter("key = 'hot'")
+    whole = _pieces(hot, "key", "ts", "row_id", ()).groupBy("_day", "_sec", "_tag").count()
+    dense = find_skew(hot, ["key"], "ts", 50)["key"].dense_days
+    cut = _pieces(hot, "key", "ts", "row_id", dense).groupBy("_day", "_sec", "_tag").count()
+    assert whole.count() == hot.select(F.to_date("ts")).distinct().count()
+    assert cut.agg(F.max("count")).first()[0] < 20
 
 
 def test_scores_do_not_depend_on_the_split(spark, small):
