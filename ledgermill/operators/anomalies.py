@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators.exprs import num
 from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, find_skew, rolling_rows
 from ledgermill.reference_data import ANOMALY_THRESHOLD
+from ledgermill.session import settle
 
 ROWS_BACK = 29
 
@@ -295,11 +296,16 @@ def category_fences(stg: DataFrame, factor: float = 1.5) -> DataFrame:
 
 
 def anomaly_iqr(stg: DataFrame, factor: float = 1.5) -> DataFrame:
-    """Expenses outside the interquartile fences of their category."""
+    """Expenses outside the interquartile fences of their category.
+
+    The fences are written out first: as a file their size is known, so the join
+    is a broadcast unless there are very many categories.
+    """
+    fences = settle(category_fences(stg, factor), "fences")
     spent = num(F.abs("amount_usd"))
     rows = stg.filter("is_expense").select("txn_id", "category_std", "amount_usd", spent.alias("spent"))
     return (
-        rows.join(category_fences(stg, factor), "category_std")
+        rows.join(fences, "category_std")
         .filter((F.col("spent") < F.col("lower_fence")) | (F.col("spent") > F.col("upper_fence")))
         .select("txn_id", "category_std", "amount_usd", "q1", "q3", "lower_fence", "upper_fence")
     )

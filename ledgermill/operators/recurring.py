@@ -75,31 +75,25 @@ def payment_statistics(stg: DataFrame) -> DataFrame:
             "amount_squares": F.sum(F.col("n") * F.col("var") + between).over(whole),
         }
     )
-    per_category = by_day.groupBy(*pair, "category_std").agg(
-        *[F.first(c).alias(c) for c in ("total", "avg_amount", "first_date", "last_date")],
-        *[F.first(c).alias(c) for c in ("gap_squares", "amount_squares")],
-        F.min("date").alias("first_transaction_date"),
-        F.max("date").alias("last_transaction_date"),
-    )
     gaps = F.col("total") - 1
     span = F.datediff("last_date", "first_date").cast("double")
-    mean_gap = F.when(gaps > 0, span / gaps)
-    gap_deviation = F.coalesce(F.col("gap_squares"), F.lit(0.0)) - gaps * mean_gap * mean_gap
-    return per_category.select(
-        *pair,
-        "category_std",
-        F.col("total").alias("total_transactions"),
-        mean_gap.alias("avg_interval_days"),
-        _sample_std(F.greatest(gap_deviation, F.lit(0.0)), gaps).alias("interval_stddev"),
-        "avg_amount",
-        _sample_std(F.col("amount_squares"), F.col("total")).alias("amount_stddev"),
-        "first_transaction_date",
-        "last_transaction_date",
-    ).withColumns(
-        {
-            "interval_cv": F.when(F.col("avg_interval_days") > 0, F.col("interval_stddev") / F.col("avg_interval_days")),
-            "amount_cv": F.when(F.col("avg_amount") > 0, F.col("amount_stddev") / F.col("avg_amount")),
-        }
+    mean_gap, mean_amount = F.col("avg_interval_days"), F.col("avg_amount")
+    squares = F.coalesce(F.col("gap_squares"), F.lit(0.0)) - gaps * mean_gap * mean_gap
+    statistics = (
+        by_day.withColumn("avg_interval_days", F.when(gaps > 0, span / gaps))
+        .withColumn("interval_stddev", _sample_std(F.greatest(squares, F.lit(0.0)), gaps))
+        .withColumn("amount_stddev", _sample_std(F.col("amount_squares"), F.col("total")))
+        .withColumn("interval_cv", F.col("interval_stddev") / F.nullif(mean_gap, F.lit(0.0)))
+        .withColumn("amount_cv", F.col("amount_stddev") / F.nullif(mean_amount, F.lit(0.0)))
+    )
+    kept = ["avg_interval_days", "interval_stddev", "interval_cv", "avg_amount", "amount_stddev", "amount_cv"]
+    # constant per pair; as outputs of an aggregation they are plain columns for the filter on the class,
+    # which would otherwise repeat their formulas for every class
+    return statistics.groupBy(*pair, "category_std").agg(
+        F.first("total").alias("total_transactions"),
+        *[F.first(c).alias(c) for c in kept],
+        F.min("date").alias("first_transaction_date"),
+        F.max("date").alias("last_transaction_date"),
     )
 
 
@@ -115,12 +109,8 @@ def recurring(stg: DataFrame, as_of: date) -> DataFrame:
     for value, least, max_icv, max_acv in reversed(CONFIDENCE):
         confidence = F.when((n >= least) & (icv < max_icv) & (acv < max_acv), F.lit(value)).otherwise(confidence)
     last, found = F.col("last_transaction_date"), F.col("recurring_type")
-    due = (
-        F.when(found.isin("monthly", "likely_monthly"), F.add_months(last, 1))
-        .when(found.isin("weekly", "likely_weekly"), F.date_add(last, 7))
-        .when(found == "quarterly", F.add_months(last, 3))
-        .when(found == "yearly", F.add_months(last, 12))
-    )
+    months = F.when(found == "quarterly", 3).when(found == "yearly", 12).otherwise(1)
+    due = F.when(found.endswith("weekly"), F.date_add(last, 7)).otherwise(F.add_months(last, months))
     left = F.col("days_until_next")
     return (
         payment_statistics(stg)
@@ -154,7 +144,7 @@ def recurring(stg: DataFrame, as_of: date) -> DataFrame:
             .when(left <= 30, "upcoming")
             .otherwise("future")
             .alias("status"),
-            found.isin("monthly", "weekly", "quarterly", "yearly").alias("is_confirmed_recurring"),
-            found.like("likely_%").alias("is_likely_recurring"),
+            (~found.startswith("likely_")).alias("is_confirmed_recurring"),
+            found.startswith("likely_").alias("is_likely_recurring"),
         )
     )

@@ -106,7 +106,8 @@ def read_export(spark: SparkSession, paths: str | list[str], spec: ExportSpec) -
     """Scan export files as text columns, with the file each row came from.
 
     Columns are bound by the declared order; a row that does not fit keeps its
-    text in the corrupt-record column instead of failing the file.
+    text in the corrupt-record column instead of failing the file. The parser
+    sees that only if it reads all columns of the line.
     """
     return (
         spark.read.schema(export_schema(spec))
@@ -114,6 +115,7 @@ def read_export(spark: SparkSession, paths: str | list[str], spec: ExportSpec) -
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
         .csv(paths)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
