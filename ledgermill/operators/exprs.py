@@ -1,10 +1,12 @@
-"""Expression helpers shared by the marts."""
+"""Helpers shared by the operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+MAX_BROADCAST_ROWS = 200_000
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -52,3 +54,12 @@ def savings_rate(income: Column | str, expenses: Column | str) -> Column:
 def rounded_rate(top: Column, bottom: Column, places: int = 4) -> Column:
     """Decimal ``top / bottom`` rounded half away from zero; 0 unless ``bottom > 0``."""
     return F.when(bottom > 0, F.round(top / bottom, places)).otherwise(F.lit(0)).cast("decimal(18,4)")
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast after counting the rows; a larger frame is left to a shuffled join.
+
+    Spark's own estimate of a derived frame is far too large, so it would shuffle
+    the other side for it. The count stops at ``max_rows``.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

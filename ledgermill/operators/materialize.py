@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.operators.exprs import small_side
+
 
 def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows above the target's highest value; an empty target loads everything."""
@@ -16,8 +18,11 @@ def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target with the rows of the source's keys replaced; new columns are appended."""
-    replaced = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    """Target with the rows of the source's keys replaced; new columns are appended.
+
+    A small change set is broadcast, so the target is scanned but not shuffled.
+    """
+    replaced = small_side(source.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct())
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
     kept = target.join(replaced, same, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
@@ -51,7 +56,7 @@ def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> list[st
 
 
 def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSS", dateFormat="yyyy-MM-dd")
+    df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS").json(path)
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import iso_week, month_key
+from ledgermill.operators.exprs import small_side
 from ledgermill.operators.keyed_windows import MAX_GROUP_ROWS, running_total
 from ledgermill.reference_data import FX_CURRENCIES, MERCHANT_RULES
 from ledgermill.schemas import MONEY, RATE
 
 DEFAULT_CATEGORY = "Other"
-MAX_DIMENSION_ROWS = 200_000
 
 
 def normalise_merchants(
@@ -59,15 +59,6 @@ def in_usd(amount: Column, currency: Column) -> Column:
     return result
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
-    """Hint a broadcast after counting the rows; a larger frame is left to a shuffled join.
-
-    Spark's own estimate of a derived dimension is far too large, so it would
-    shuffle the ledger for it. The count stops at ``max_rows``.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def with_rates(df: DataFrame, fx_rates: DataFrame, day: Column) -> DataFrame:
     """Left join of the day's rates, which are one row per day."""
     rates = small_side(fx_rates).withColumnRenamed("date", "_fx_date")

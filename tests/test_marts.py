@@ -366,3 +366,53 @@ def test_orphans(spark):
     assert quality.orphans(child, parent, "fk", "pk").count() == 1
     row = quality.foreign_key(child, parent, "t", "fk", "pk").first()
     assert (row["checked"], row["failed"]) == (4, 1)
+
+
+def test_schema_checks(spark):
+    from ledgermill.operators import contract
+
+    df = spark.createDataFrame([(Decimal("1.00"), "a")], "amount decimal(15,2), k string")
+    assert contract.same_order(df.columns, ["amount", "k"]) and not contract.same_order(df.columns, ["k", "amount"])
+    assert contract.has_columns(df.columns, ["k"]) and not contract.has_columns(df.columns, ["x"])
+    assert contract.has_type(df, "amount", ("integer", "double", "decimal")) and not contract.has_type(df, "k", ("double",))
+    counted = quality.score(quality.row_count_between(df, "t", 2, 5)).first()
+    assert not counted["passed"] and counted["checked"] == 1
+
+
+def test_quality_results_become_metric_points(spark):
+    from ledgermill.operators import metrics
+
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    points = metrics.quality_points(quality.run_suite(df, "t", [quality.not_null("k")]), at("2024-01-01"))
+    got = rows_of(points, "name", "value", "unit")
+    assert got == [
+        ("data_quality_failed_rows", 1.0, "rows"),
+        ("data_quality_rows_checked", 2.0, "rows"),
+        ("data_quality_score", 50.0, "%"),
+    ]
+    recent = metrics.select_metrics(points, "data_quality_score", at("2024-01-01"), at("2024-01-02"))
+    assert metrics.metric_summary(recent).first()["latest"] == 50.0
+    assert metrics.select_metrics(points, end=at("2023-01-01")).count() == 0
+    rate = spark.range(1).select(metrics.throughput(F.lit(500), F.lit(250)).alias("r"), metrics.throughput(F.lit(5), F.lit(0)).alias("z"))
+    assert tuple(rate.first()) == (2000.0, 0.0)
+
+
+def test_json_and_csv_exports(spark, folder):
+    from ledgermill.operators.materialize import export_csv, export_json
+
+    df = spark.createDataFrame([(1, at("2024-01-02T03:04:05"))], "k int, t timestamp_ntz")
+    export_json(df, f"{folder}/j")
+    export_csv(df, f"{folder}/c")
+    assert spark.read.text(f"{folder}/j").first()[0] == '{"k":1,"t":"2024-01-02T03:04:05.000"}'
+    assert spark.read.csv(f"{folder}/c", header=True).columns == ["k", "t"]
+
+
+def test_audit_trail_of_one_user(spark):
+    from ledgermill.operators import privacy
+
+    events = spark.createDataFrame(
+        [("u1", "read", True, at("2024-01-01")), ("u1", "read", False, at("2024-01-02")), ("u2", "write", True, at("2024-01-03"))],
+        "user_id string, action string, success boolean, timestamp timestamp_ntz",
+    )
+    got = rows_of(privacy.audit_counts(privacy.audit_trail(events, "u1")), "user_id", "action", "events", "succeeded", "failed")
+    assert got == [("u1", "read", 2, 1, 1)]
