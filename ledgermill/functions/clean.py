@@ -30,8 +30,8 @@ CHANNEL_WORDS = [
     ("atm", ["atm", "withdrawal"]),
 ]
 
-# Date patterns, tried in this order.
-DATE_PATTERNS = ["yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "yyyy-M-d H:m:s"]
+# Date patterns, tried in this order; then any ISO-like date and time.
+DATE_PATTERNS = ["yyyy-M-d", "M/d/yyyy", "d/M/yyyy"]
 
 
 def parse_amount(raw: Column) -> Column:
@@ -48,8 +48,11 @@ def std_amount(raw: Column, is_credit: bool | Column = False) -> Column:
 
 
 def std_date(raw: Column) -> Column:
-    """Timestamp without zone; month-first beats day-first, unreadable gives NULL."""
-    attempts = [F.try_to_timestamp(raw, F.lit(p)).cast("timestamp_ntz") for p in DATE_PATTERNS]
+    """Timestamp without zone; month-first beats day-first, unreadable gives NULL.
+
+    Nothing passes through a zoned timestamp, so the session's time zone has no effect.
+    """
+    attempts = [F.try_to_date(raw, p).cast("timestamp_ntz") for p in DATE_PATTERNS]
     return F.coalesce(*attempts, raw.try_cast("timestamp_ntz"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import month_start
-from ledgermill.operators.exprs import last_rows, mean_money, num, pct_change, ratio
+from ledgermill.operators.exprs import last_rows, mean_money, num, pct_change, ratio, rolling_means
 from ledgermill.reference_data import BUDGET_TARGETS, BUDGET_VARIANCE_THRESHOLD, DEFAULT_BUDGET_TARGET
 from ledgermill.schemas import MONEY
 
@@ -68,12 +68,11 @@ def budget_vs_actual(stg: DataFrame, budget_targets: DataFrame | None = None) ->
             "quarter": F.quarter(first),
         }
     )
-    windows = {}
-    for span in (3, 6, 12):
-        window = last_rows(["category_std"], ["month"], span - 1)
-        for metric in ROLLED:
-            mean = F.avg(metric).over(window) if metric == "variance_pct" else mean_money(metric, window)
-            windows[f"{metric}_{span}m_avg"] = mean
+    spans = (3, 6, 12)
+    monthly = rolling_means(monthly, ["category_std"], "month", ROLLED[:3], spans, "m")
+    windows = {
+        f"variance_pct_{s}m_avg": F.avg("variance_pct").over(last_rows(["category_std"], ["month"], s - 1)) for s in spans
+    }
     by_month = Window.partitionBy("category_std").orderBy("month")
     short = {"actual_expenses": "actual", "budget_target": "budget"}
     for label, step in (("month", 1), ("year", 12)):

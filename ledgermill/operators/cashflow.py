@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import iso_week
-from ledgermill.operators.exprs import count_if, last_rows, mean_money, num, pct_change, ratio, savings_rate, sum_if
+from ledgermill.operators.exprs import count_if, last_rows, mean_money, num, pct_change, ratio, rolling_means, savings_rate, sum_if
 
 FLOWS = {"income": "is_income", "expenses": "is_expense", "transfers": "is_transfer", "investments": "is_investment"}
 SPANS = (7, 30, 90)
@@ -49,13 +49,10 @@ def cashflow_daily(stg: DataFrame) -> DataFrame:
             "week": iso_week(day),
         }
     )
-    rolling = {}
-    for span in SPANS:
-        window = last_rows(["account_id", "source"], ["date"], span - 1)
-        rolling[f"income_{span}d_avg"] = mean_money("income", window)
-        rolling[f"expenses_{span}d_avg"] = mean_money("expenses", window)
-        rolling[f"savings_rate_{span}d_avg"] = F.avg("savings_rate").over(window)
-    return daily.withColumns(rolling)
+    keys = ["account_id", "source"]
+    daily = rolling_means(daily, keys, "date", ["income", "expenses"], SPANS, "d")
+    rates = {s: F.avg("savings_rate").over(last_rows(keys, ["date"], s - 1)) for s in SPANS}
+    return daily.withColumns({f"savings_rate_{s}d_avg": mean for s, mean in rates.items()})
 
 
 def cashflow_monthly(daily: DataFrame) -> DataFrame:

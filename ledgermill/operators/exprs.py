@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -34,12 +36,30 @@ def pct_change(now: Column, before: Column) -> Column:
     return F.when(before > 0, (now - before) / before * 100)
 
 
-def mean_money(c: Column | str, window: WindowSpec | None = None) -> Column:
+def mean_money(c: Column | str) -> Column:
     """Mean from the exact decimal sum, so it does not depend on the order of rows."""
-    total, count = F.sum(col(c)), F.count(col(c))
-    if window is not None:
-        total, count = total.over(window), count.over(window)
-    return total.cast("double") / count
+    return F.sum(col(c)).cast("double") / F.count(col(c))
+
+
+def rolling_means(
+    df: DataFrame, keys: list[str], order: str, columns: Sequence[str], spans: Sequence[int], unit: str
+) -> DataFrame:
+    """Add ``<column>_<span><unit>_avg``: means of money over the last ``span`` rows.
+
+    Differences of running totals in cents: exact, and the work per row does not
+    grow with the span. The columns must not be NULL.
+    """
+    ordered = Window.partitionBy(*keys).orderBy(order)
+    running = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    totals = {f"_run_{c}": F.sum((F.col(c) * 100).cast("long")).over(running) for c in columns}
+    df = df.withColumns({"_n": F.row_number().over(ordered), **totals})
+    means = {}
+    for span in spans:
+        for c in columns:
+            run = F.col(f"_run_{c}")
+            window_total = run - F.coalesce(F.lag(run, span).over(ordered), F.lit(0))
+            means[f"{c}_{span}{unit}_avg"] = window_total.cast("double") / 100 / F.least(F.col("_n"), F.lit(span))
+    return df.withColumns(means).drop("_n", *totals)
 
 
 def last_rows(keys: list[str], order: list[str], preceding: int) -> WindowSpec:

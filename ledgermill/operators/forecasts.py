@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import day, month_start
-from ledgermill.operators.exprs import last_rows, mean_money, num, ratio, sum_if
+from ledgermill.operators.exprs import last_rows, num, ratio, rolling_means, sum_if
 from ledgermill.reference_data import FORECAST_HORIZON_MONTHS
 
 # Confidence, limits of the absolute trend and of the volatility.
@@ -54,12 +54,9 @@ def with_trend(series: DataFrame) -> DataFrame:
     by_month = Window.partitionBy(*key).orderBy("month")
     before = num("_before")
     trended = (
-        series.withColumns(
-            {
-                "mean_3m": mean_money("value", last_rows(key, ["month"], 2)),
-                "_before": F.lag("value").over(by_month),
-            }
-        )
+        rolling_means(series, key, "month", ["value"], [3], "m")
+        .withColumnRenamed("value_3m_avg", "mean_3m")
+        .withColumn("_before", F.lag("value").over(by_month))
         .withColumn("trend", ratio(num("value") - before, before, 0.0))
         .withColumn("volatility", F.stddev_samp("trend").over(last_rows(key, ["month"], 11)))
     )

@@ -103,22 +103,25 @@ def _pieces(df: DataFrame, key: str, ts: str, row_id: str, dense: Sequence[tuple
     )
 
 
-def _piece_offsets(cut: DataFrame, key: str, measure: Column) -> DataFrame:
-    """Total of ``measure`` over all earlier pieces, first within the day, then over days."""
-    pieces = cut.groupBy(key, "_day", "_sec", "_tag").agg(measure.alias("_part"))
+def _piece_offsets(cut: DataFrame, key: str, measure: Column, dense: Sequence[tuple]) -> DataFrame:
+    """Total of ``measure`` over all earlier pieces of the key.
+
+    Without dense days a key has one piece per day, and one window over them is
+    enough. With dense days the sum is taken within the day first, then over days.
+    """
+    names = [key, "_day", "_sec", "_tag"]
+    pieces = cut.groupBy(*names).agg(measure.alias("_part"))
     before = Window.unboundedPreceding, -1
-    in_day = Window.partitionBy(key, "_day").orderBy("_sec", "_tag").rowsBetween(*before)
     over_days = Window.partitionBy(key).orderBy("_day").rowsBetween(*before)
     zero = F.lit(0)
-    days = (
-        pieces.groupBy(key, "_day")
-        .agg(F.sum("_part").alias("_day_total"))
-        .withColumn("_day_offset", F.coalesce(F.sum("_day_total").over(over_days), zero))
-        .drop("_day_total")
-    )
+    if not dense:
+        return pieces.select(*names, F.coalesce(F.sum("_part").over(over_days), zero).alias("_offset"))
+    in_day = Window.partitionBy(key, "_day").orderBy("_sec", "_tag").rowsBetween(*before)
+    days = pieces.groupBy(key, "_day").agg(F.sum("_part").alias("_day_total"))
+    days = days.withColumn("_day_offset", F.coalesce(F.sum("_day_total").over(over_days), zero)).drop("_day_total")
     within = pieces.withColumn("_in_day", F.coalesce(F.sum("_part").over(in_day), zero)).drop("_part")
     offset = (F.col("_in_day") + F.col("_day_offset")).alias("_offset")
-    return within.join(days, [key, "_day"]).select(key, "_day", "_sec", "_tag", offset)
+    return within.join(days, [key, "_day"]).select(*names, offset)
 
 
 def _with_offsets(cut: DataFrame, offsets: DataFrame, key: str) -> DataFrame:
@@ -156,7 +159,7 @@ def rolling_rows(
     cold, large = _split(df, key, skew.keys)
     cold = cold.withColumns(columns)
     cut = _pieces(large, key, ts, row_id, skew.dense_days)
-    offsets = _piece_offsets(cut, key, F.count("*"))
+    offsets = _piece_offsets(cut, key, F.count("*"), skew.dense_days)
     in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id)
     placed = _with_offsets(cut.withColumn("_rn", F.row_number().over(in_piece)), offsets, key)
     placed = placed.withColumn("_pos", F.col("_offset") + F.col("_rn") - 1)
@@ -191,7 +194,7 @@ def running_total(
     cold, large = _split(df, key, skew.keys)
     cold = cold.withColumn(name, total)
     cut = _pieces(large, key, ts, row_id, skew.dense_days)
-    offsets = _piece_offsets(cut, key, F.sum(value))
+    offsets = _piece_offsets(cut, key, F.sum(value), skew.dense_days)
     in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id).rowsBetween(*to_here)
     placed = _with_offsets(cut.withColumn("_in_piece", F.sum(value).over(in_piece)), offsets, key)
     whole = (F.col("_offset") + F.col("_in_piece")).cast(cold.schema[name].dataType)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.operators.exprs import count_if, last_rows, mean_money, num, pct_change, ratio, sum_if
+from ledgermill.operators.exprs import count_if, num, pct_change, ratio, rolling_means, sum_if
 from ledgermill.operators.staging import in_usd, with_rates
 
 SPANS = (7, 30, 90)
@@ -95,13 +95,11 @@ def net_worth(stg: DataFrame, fx_rates: DataFrame) -> DataFrame:
             "day_of_week": F.dayofweek(day),
         }
     )
-    windows = {}
-    for span in SPANS:
-        for metric in ("net_worth", "net_worth_change"):
-            windows[f"{metric}_{span}d_avg"] = mean_money(metric, last_rows([], ["date"], span - 1))
+    per_day = rolling_means(per_day, [], "date", ["net_worth", "net_worth_change"], SPANS, "d")
     in_order = Window.partitionBy().orderBy("date")
-    for label, (_, rows) in LOOKBACKS.items():
-        windows[f"prev_{label}_net_worth"] = F.lag("net_worth", rows).over(in_order)
+    windows = {
+        f"prev_{label}_net_worth": F.lag("net_worth", rows).over(in_order) for label, (_, rows) in LOOKBACKS.items()
+    }
     now = F.col("net_worth")
     changes = {}
     for label, (short, _) in LOOKBACKS.items():
