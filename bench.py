@@ -27,7 +27,6 @@ from ledgermill.operators import (  # noqa: E402
     budget,
     cashflow,
     forecasts,
-    materialize,
     networth,
     recurring,
     simple_marts,
