@@ -7,23 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import langid, simhash
+from ledgermill.llm import decontaminate, langid, mix, simhash
 from ledgermill.llm.keys import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that stand in a benchmark window."""
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("k_id", "k_th")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of sources takes of all documents."""
+    return mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents."""
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_simhash, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_decontaminate, op8_simhash, op9_mix, op10_language_id)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL, "op9_mix": mix.SQL}

@@ -1,5 +1,7 @@
 import zlib
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from ledgermill.llm import langid
 
 

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from ledgermill.llm import simhash
 from ledgermill.llm.keys import components
 
