@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import decontaminate, langid, mix, simhash, wavelet
+from ledgermill.llm import decontaminate, langid, mix, neighbours, simhash, wavelet
 from ledgermill.llm.keys import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from their token shards."""
     return wavelet.encoded(table(spark, sf_dir, "documents"))
@@ -40,6 +45,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_wavelet_shards, op5_decontaminate, op8_simhash, op9_mix, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_neighbours, op3_wavelet_shards, op5_decontaminate, op8_simhash, op9_mix, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL, "op9_mix": mix.SQL}
