@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import decontaminate, langid, mix, neighbours, simhash, wavelet
+from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, simhash, tokencount, wavelet
 from ledgermill.llm.keys import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +18,21 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of all documents."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokencount.vocabulary_path())
+
+
 def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from their token shards."""
     return wavelet.encoded(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that repeat earlier ones."""
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that stand in a benchmark window."""
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +55,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_neighbours, op3_wavelet_shards, op5_decontaminate, op8_simhash, op9_mix, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_neighbours, op2_token_counts, op3_wavelet_shards, op4_line_dedup, op5_decontaminate, op8_simhash, op9_mix, op10_language_id)}
 
-ORACLE_SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL, "op9_mix": mix.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": linededup.SQL, "op5_decontaminate": decontaminate.SQL, "op9_mix": mix.SQL}
