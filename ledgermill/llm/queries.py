@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, pii, simhash, tokencount, wavelet
+from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, passages, pii, simhash, tokencount, wavelet
 from ledgermill.llm.keys import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("k_id", "k_th")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that near-repeat earlier ones."""
+    return passages.dedup_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     found = pii.personal_data(table(spark, sf_dir, "documents"))
@@ -61,6 +66,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_neighbours, op2_token_counts, op3_wavelet_shards, op4_line_dedup, op5_decontaminate, op7_personal_data, op8_simhash, op9_mix, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_neighbours, op2_token_counts, op3_wavelet_shards, op4_line_dedup, op5_decontaminate, op6_passages, op7_personal_data, op8_simhash, op9_mix, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": linededup.SQL, "op5_decontaminate": decontaminate.SQL, "op9_mix": mix.SQL}
