@@ -28,7 +28,7 @@ from ledgermill.llm.textops import chunks, lower_ascii, respaced, space_words, t
 from ledgermill.session import settle
 
 MAX_BITS = 3
-BLOCK = 1024
+BLOCK = 256
 VOTES = 1 << 17
 CHUNK = 4 << 20
 LOW = 0x5555555555555555
