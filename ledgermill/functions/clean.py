@@ -33,6 +33,19 @@ CHANNEL_WORDS = [
 # Date patterns, tried in this order; then any ISO-like date and time.
 DATE_PATTERNS = ["yyyy-M-d", "M/d/yyyy", "d/M/yyyy"]
 
+# Further ways to write a date, tried after those: month names, compact, slashes and dots, two-digit years.
+FREE_PATTERNS = [
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d-MMM-yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "yyyyMMdd",
+    "yyyy/M/d",
+    "d.M.yyyy",
+    "M/d/yy",
+]
+
 
 def parse_amount(raw: Column) -> Column:
     """Money text without ``$`` and thousands commas; NULL when unreadable."""
@@ -52,8 +65,12 @@ def std_date(raw: Column) -> Column:
 
     Nothing passes through a zoned timestamp, so the session's time zone has no effect.
     """
-    attempts = [F.try_to_date(raw, p).cast("timestamp_ntz") for p in DATE_PATTERNS]
-    return F.coalesce(*attempts, raw.try_cast("timestamp_ntz"))
+    text = F.trim(raw)
+    dates = [F.try_to_date(text, p).cast("timestamp_ntz") for p in [*DATE_PATTERNS, *FREE_PATTERNS]]
+    known = len(DATE_PATTERNS)
+    # eight digits alone would also cast, as a year
+    iso = F.when(text.rlike(r"^\d{4}-"), text.try_cast("timestamp_ntz"))
+    return F.coalesce(*dates[:known], iso, *dates[known:])
 
 
 def std_currency(raw: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import num
 from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, find_skew, rolling_rows
+from ledgermill.session import settle
 from ledgermill.reference_data import ANOMALY_THRESHOLD
 from ledgermill.session import settle
 
@@ -99,6 +100,8 @@ def rolling_statistics(
         (spent * 100).cast("long").alias("_cents"),
     )
     skew = find_skew(base, ["category_std", "merchant_clean"], "posted_at", max_group_rows)
+    if any(s.days is not None for s in skew.values()):
+        base = settle(base, "expenses")
     rows = base
     for prefix, key in (("category", "category_std"), ("merchant", "merchant_clean")):
         rows = rolling_rows(

@@ -4,16 +4,15 @@
 of categories, or one merchant that holds a third of the ledger, that task never
 ends. The functions here give the same rows as the plain window:
 
-* keys with at most ``max_group_rows`` rows take the plain window;
-* larger keys are cut along their order into pieces. Per piece only a count (or
-  sum) travels to the other pieces; the rows themselves stay apart.
-
-``find_skew`` lists the larger keys, and the days on which such a key is large by
-itself, with aggregations that are combined map-side. Neither list can have more
-than ``rows / max_group_rows`` entries, which bounds their broadcast. Without hot
-keys the plan is the plain window.
-
-Rows are ordered by a timestamp and then by a unique hex id.
+* rows are counted by key and day, combined map-side; without a key above
+  ``max_group_rows`` rows the plan is the plain window;
+* else every row learns its piece. A piece is the whole key, for a key within the limit, or a
+  day of a hot key, or a second of a day that is above the limit by itself. Only
+  counts (or sums) of pieces travel to other pieces.
+
+Counts are tables in the shared folder, joined null-safely; no list of keys is collected.
+Rows are ordered by a timestamp and then by a unique hex id. NULL is a key like
+any other; NULL timestamps and ids come first, where the plain window puts them.
 """
 
 from __future__ import annotations
@@ -23,109 +22,96 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgermill.reference_data import local_rows
+from ledgermill.session import settle
 
-HOT_LIST = T.StructType([T.StructField("_hot", T.StringType())])
-NAMED_KEYS = T.StructType([T.StructField("name", T.StringType()), T.StructField("value", T.StringType())])
-DENSE_LIST = T.StructType(
-    [T.StructField("_dense_key", T.StringType()), T.StructField("_dense_day", T.DateType())]
-)
 MAX_GROUP_ROWS = 5_000_000
 BLOCK_ROWS = 500_000
+LAST_TAG = "\U0010ffff"
+BEFORE = (Window.unboundedPreceding, -1)
+PIECE = ["_day", "_sec", "_tag"]
 
 
 @dataclass(frozen=True)
 class Skew:
-    """Hot values of a key, and their (value, day) pairs that are large by themselves."""
+    """Days of hot keys (``_key, _day, _rows, _sum`` and what lies before), and whether one is too large itself."""
 
-    keys: tuple[str, ...] = ()
-    dense_days: tuple[tuple, ...] = ()
+    days: DataFrame | None = None
+    dense: bool = False
+    limit: int = MAX_GROUP_ROWS
 
 
 def find_skew(
-    df: DataFrame, columns: Sequence[str], ts: str, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    ts: str,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    value: str | None = None,
 ) -> dict[str, Skew]:
-    """The skew of each text column. Runs one job, and a second one if there are hot keys.
-
-    NULL is never listed: rows without a key stay with the plain window.
-    """
-    entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
-    rows = df.select(F.to_date(F.col(ts)).alias("day"), F.inline(entries)).filter(F.col("value").isNotNull())
-    size = F.count("*").alias("n")
-    large = F.col("n") > max_group_rows
-    hot = rows.groupBy("name", "value").agg(size).filter(large).drop("n").collect()
-    if not hot:
-        return {c: Skew() for c in columns}
-    listed = F.broadcast(local_rows(df.sparkSession, [tuple(r) for r in hot], NAMED_KEYS))
-    dense = rows.join(listed, ["name", "value"]).groupBy("name", "value", "day").agg(size).filter(large).collect()
+    """The skew of each text column, from one pass over ``df``; sums are of ``value``."""
+    entries = F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).alias("_key")) for c in columns])
+    summed = F.col(value) if value else F.lit(None).cast("long")
+    rows = df.select(F.to_date(F.col(ts)).alias("_day"), summed.alias("_value"), F.inline(entries))
+    days = rows.groupBy("_name", "_key", "_day").agg(F.count("*").alias("_rows"), F.sum("_value").alias("_sum"))
+    key = Window.partitionBy("_name", "_key")
+    before = key.orderBy("_day").rowsBetween(*BEFORE)
+    days = days.withColumns(
+        {
+            "_total": F.sum("_rows").over(key),
+            "_rows_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
+            "_sum_before": F.sum("_sum").over(before),
+        }
+    )
+    hot = settle(days.filter(F.col("_total") > max_group_rows), "hot-days")
+    most = {r["_name"]: r["most"] for r in hot.groupBy("_name").agg(F.max("_rows").alias("most")).collect()}
     return {
-        c: Skew(
-            tuple(r["value"] for r in hot if r["name"] == c),
-            tuple((r["value"], r["day"]) for r in dense if r["name"] == c),
-        )
+        c: Skew(hot.filter(F.col("_name") == c).drop("_name", "_total"), most[c] > max_group_rows, max_group_rows)
+        if c in most
+        else Skew()
         for c in columns
     }
 
 
-def _split(df: DataFrame, key: str, hot: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    listed = F.broadcast(local_rows(df.sparkSession, [(v,) for v in hot], HOT_LIST))
-    same = F.col(key) == F.col("_hot")
-    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
-
+def _pieces(df: DataFrame, key: str, ts: str, row_id: str, skew: Skew) -> DataFrame:
+    """Add ``_hot`` and the piece of each row; pieces keep the order (ts, row_id).
 
-def _pieces(df: DataFrame, key: str, ts: str, row_id: str, dense: Sequence[tuple]) -> DataFrame:
-    """Add the piece (``_day``, ``_sec``, ``_tag``) of each row; pieces keep the order (ts, row_id).
-
-    A piece is a day of the key. Only a dense day is cut further, into its
-    seconds. Rows exactly on the second come before the rest of that second and
-    are ordered by id alone, so they are cut by the first two digits of the id as
+    Rows exactly on the second come before the rest of that second and
+    are ordered by id alone, so a dense day cuts them by the first two digits of the id as
     well: date-only exports put a whole day on one timestamp.
     """
-    df = df.withColumn("_day", F.to_date(F.col(ts)))
-    start = F.col("_day").cast("timestamp_ntz")
-    if not dense:
-        return df.withColumns({"_sec": start, "_tag": F.lit("")})
-    listed = F.broadcast(local_rows(df.sparkSession, dense, DENSE_LIST))
+    days = skew.days.select("_key", "_day", (F.col("_rows") > skew.limit).alias("_dense"), "_rows_before", "_sum_before")
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.to_date(F.col(ts)).eqNullSafe(F.col("_day"))
+    found = df.join(days, same, "left").drop("_key").withColumn("_hot", F.col("_dense").isNotNull())
     second = F.date_trunc("second", F.col(ts)).cast("timestamp_ntz")
-    is_dense = F.col("_dense_day").isNotNull()
-    tag = F.when(F.col(ts) == second, F.substring(F.col(row_id), 1, 2)).otherwise(F.lit("~"))
-    return (
-        df.join(listed, (F.col(key) == F.col("_dense_key")) & (F.col("_day") == F.col("_dense_day")), "left")
-        .withColumns(
-            {
-                "_sec": F.when(is_dense, second).otherwise(start),
-                "_tag": F.when(is_dense, tag).otherwise(F.lit("")),
-            }
-        )
-        .drop("_dense_key", "_dense_day")
+    digits = F.coalesce(F.substring(F.col(row_id), 1, 2), F.lit(""))
+    tag = F.when(F.col(ts).isNull() | (F.col(ts) == second), digits).otherwise(F.lit(LAST_TAG))
+    return found.withColumns({"_sec": F.when(F.col("_dense"), second), "_tag": F.when(F.col("_dense"), tag)})
+
+
+def _placed(df: DataFrame, key: str, ts: str, row_id: str, skew: Skew, value: str | None = None) -> DataFrame:
+    """Rows with their pieces, and the rows and sums of all earlier pieces of the key."""
+    cut = _pieces(df, key, ts, row_id, skew)
+    if not skew.dense:
+        return cut
+    summed = F.col(value) if value else F.lit(None).cast("long")
+    inner = cut.filter(F.col("_dense")).groupBy(F.col(key).alias("_key"), *PIECE).agg(F.count("*").alias("_n"), F.sum(summed).alias("_s"))
+    before = Window.partitionBy("_key", "_day").orderBy("_sec", "_tag").rowsBetween(*BEFORE)
+    inner = inner.select(
+        "_key",
+        *[F.col(c).alias(f"_in{c}") for c in PIECE],
+        F.sum("_n").over(before).alias("_n"),
+        F.sum("_s").over(before).alias("_s"),
     )
-
-
-def _piece_offsets(cut: DataFrame, key: str, measure: Column, dense: Sequence[tuple]) -> DataFrame:
-    """Total of ``measure`` over all earlier pieces of the key.
-
-    Without dense days a key has one piece per day, and one window over them is
-    enough. With dense days the sum is taken within the day first, then over days.
-    """
-    names = [key, "_day", "_sec", "_tag"]
-    pieces = cut.groupBy(*names).agg(measure.alias("_part"))
-    before = Window.unboundedPreceding, -1
-    over_days = Window.partitionBy(key).orderBy("_day").rowsBetween(*before)
-    zero = F.lit(0)
-    if not dense:
-        return pieces.select(*names, F.coalesce(F.sum("_part").over(over_days), zero).alias("_offset"))
-    in_day = Window.partitionBy(key, "_day").orderBy("_sec", "_tag").rowsBetween(*before)
-    days = pieces.groupBy(key, "_day").agg(F.sum("_part").alias("_day_total"))
-    days = days.withColumn("_day_offset", F.coalesce(F.sum("_day_total").over(over_days), zero)).drop("_day_total")
-    within = pieces.withColumn("_in_day", F.coalesce(F.sum("_part").over(in_day), zero)).drop("_part")
-    offset = (F.col("_in_day") + F.col("_day_offset")).alias("_offset")
-    return within.join(days, [key, "_day"]).select(*names, offset)
-
-
-def _with_offsets(cut: DataFrame, offsets: DataFrame, key: str) -> DataFrame:
-    return cut.join(offsets, [key, "_day", "_sec", "_tag"])
+    inner = settle(inner, "pieces")
+    same = F.col("_dense") & F.col(key).eqNullSafe(F.col("_key"))
+    for c in PIECE:
+        same = same & F.col(c).eqNullSafe(F.col(f"_in{c}"))
+    joined = cut.join(inner, same, "left").drop("_key", *[f"_in{c}" for c in PIECE])
+    both = F.col("_sum_before").isNotNull() | F.col("_s").isNotNull()
+    whole_sum = F.when(both, F.coalesce("_sum_before", F.lit(0)) + F.coalesce("_s", F.lit(0)))
+    return joined.withColumns(
+        {"_rows_before": F.col("_rows_before") + F.coalesce("_n", F.lit(0)), "_sum_before": whole_sum}
+    ).drop("_n", "_s")
 
 
 def rolling_rows(
@@ -144,34 +130,31 @@ def rolling_rows(
     ``outputs`` maps a column name to a function from the window to a Column.
     ``skew`` gives the result of ``find_skew`` if it is known already.
 
-    Rows of a hot key get their position, positions are cut into blocks of
-    ``block_rows``, and the last ``preceding`` rows of a block are copied into
-    the next one, so that each window is complete inside its block.
+    With a hot key, rows get their position, positions of hot keys are cut into blocks of
+    ``block_rows`` (another key is one block), and the last ``preceding`` rows of a block are copied into
+    the next one, so that each window is complete inside its block. Placed rows are written to the
+    shared folder, so what follows reads them once.
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least preceding")
     skew = find_skew(df, [key], ts, max_group_rows)[key] if skew is None else skew
-    plain = Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(-preceding, 0)
-    columns = {name: make(plain) for name, make in outputs.items()}
-    if not skew.keys:
-        return df.withColumns(columns)
-
-    cold, large = _split(df, key, skew.keys)
-    cold = cold.withColumns(columns)
-    cut = _pieces(large, key, ts, row_id, skew.dense_days)
-    offsets = _piece_offsets(cut, key, F.count("*"), skew.dense_days)
-    in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id)
-    placed = _with_offsets(cut.withColumn("_rn", F.row_number().over(in_piece)), offsets, key)
-    placed = placed.withColumn("_pos", F.col("_offset") + F.col("_rn") - 1)
-    block = F.floor(F.col("_pos") / block_rows).cast("long")
-    is_tail = F.col("_pos") % block_rows >= block_rows - preceding
+    if skew.days is None:
+        plain = Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(-preceding, 0)
+        return df.withColumns({name: make(plain) for name, make in outputs.items()})
+
+    in_piece = Window.partitionBy(key, "_hot", *PIECE).orderBy(ts, row_id)
+    placed = _placed(df, key, ts, row_id, skew).withColumn("_rn", F.row_number().over(in_piece))
+    position = F.coalesce("_rows_before", F.lit(0)) + F.col("_rn") - 1
+    placed = settle(placed.withColumn("_pos", position).select(*df.columns, "_hot", "_pos"), "placed")
+    block = F.when(F.col("_hot"), F.floor(F.col("_pos") / block_rows)).otherwise(F.lit(0)).cast("long")
+    is_tail = F.col("_hot") & (F.col("_pos") % block_rows >= block_rows - preceding)
     placed = placed.withColumn("_home", block).withColumn(
         "_block",
         F.explode(F.when(is_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
     )
     in_block = Window.partitionBy(key, "_block").orderBy("_pos").rowsBetween(-preceding, 0)
     placed = placed.withColumns({name: make(in_block) for name, make in outputs.items()})
-    return cold.unionByName(placed.filter(F.col("_home") == F.col("_block")).select(*cold.columns))
+    return placed.filter(F.col("_home") == F.col("_block")).select(*df.columns, *outputs)
 
 
 def running_total(
@@ -181,21 +164,18 @@ def running_total(
     row_id: str,
     value: str,
     name: str,
-    skew: Skew | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Cumulative sum of ``value`` per key."""
-    skew = find_skew(df, [key], ts, max_group_rows)[key] if skew is None else skew
+    """Cumulative sum of ``value`` per key; NULL until the key's first value."""
+    skew = find_skew(df, [key], ts, max_group_rows, value)[key]
     to_here = Window.unboundedPreceding, 0
-    total = F.sum(value).over(Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(*to_here))
-    if not skew.keys:
-        return df.withColumn(name, total)
-
-    cold, large = _split(df, key, skew.keys)
-    cold = cold.withColumn(name, total)
-    cut = _pieces(large, key, ts, row_id, skew.dense_days)
-    offsets = _piece_offsets(cut, key, F.sum(value), skew.dense_days)
-    in_piece = Window.partitionBy(key, "_day", "_sec", "_tag").orderBy(ts, row_id).rowsBetween(*to_here)
-    placed = _with_offsets(cut.withColumn("_in_piece", F.sum(value).over(in_piece)), offsets, key)
-    whole = (F.col("_offset") + F.col("_in_piece")).cast(cold.schema[name].dataType)
-    return cold.unionByName(placed.withColumn(name, whole).select(*cold.columns))
+    plain = F.sum(value).over(Window.partitionBy(key).orderBy(ts, row_id).rowsBetween(*to_here))
+    if skew.days is None:
+        return df.withColumn(name, plain)
+
+    wanted = df.withColumn(name, plain)
+    in_piece = Window.partitionBy(key, "_hot", *PIECE).orderBy(ts, row_id).rowsBetween(*to_here)
+    placed = _placed(df, key, ts, row_id, skew, value).withColumn("_in_piece", F.sum(value).over(in_piece))
+    some = F.col("_in_piece").isNotNull() | F.col("_sum_before").isNotNull()
+    whole = F.when(some, F.coalesce("_in_piece", F.lit(0)) + F.coalesce("_sum_before", F.lit(0))).cast(wanted.schema[name].dataType)
+    return placed.withColumn(name, whole).select(*wanted.columns)

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import small_side
+from ledgermill.session import settle
+
+PARTITIONS = ("year", "month_num")
 
 
 def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -34,25 +37,38 @@ def append_new(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return source.dropDuplicates([key]).join(known, F.col(key) == F.col("_known"), "left_anti")
 
 
+def with_partitions(df: DataFrame, column: str) -> DataFrame:
+    """Add ``year`` and ``month_num`` of a date, timestamp or ``YYYY-MM`` column."""
+    clash = [c for c in PARTITIONS if c in df.columns]
+    if clash:
+        raise ValueError(f"Columns named like partitions: {clash}")
+    if df.schema[column].dataType.typeName() == "string":
+        return df.withColumns(
+            {"year": F.substring(column, 1, 4).cast("int"), "month_num": F.substring(column, 6, 2).cast("int")}
+        )
+    return df.withColumns({"year": F.year(column), "month_num": F.month(column)})
+
+
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> list[str]:
-    """Write a mart partitioned by year and month, by its ``date`` or ``month`` column.
+    """Write a mart partitioned by year and month, by its ``date`` or ``month`` column, all its columns untouched.
 
     The rebalance hint lets AQE write few files per partition and still split a
     partition that is much larger than the others.
     """
-    if "date" in df.columns:
-        keys = ["year", "month"]
-        df = df.withColumns({"year": F.year("date"), "month": F.month("date")})
-    elif "month" in df.columns:
-        keys = ["year", "month_num"]
-        df = df.withColumns(
-            {"year": F.substring("month", 1, 4).cast("int"), "month_num": F.substring("month", 6, 2).cast("int")}
-        )
-    else:
+    column = next((c for c in ("date", "month") if c in df.columns), None)
+    if column is None:
         df.write.mode(mode).parquet(path)
         return []
-    df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
-    return keys
+    keyed = with_partitions(df, column).hint("rebalance", *PARTITIONS)
+    keyed.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    return list(PARTITIONS)
+
+
+def export_marts(marts: Mapping[str, DataFrame], base: str) -> dict[str, str]:
+    """Export every mart below ``base``; their folders by name."""
+    for name, df in marts.items():
+        export_parquet(df, f"{base}/{name}")
+    return {name: f"{base}/{name}" for name in marts}
 
 
 def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -82,6 +98,63 @@ def summary_stats(marts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class PartitionedMart:
+    """A mart stored by year and month of one column; loads touch only the partitions of their rows.
+
+    A key belongs to the partition of its row: keys hold or imply the column. Merged partitions are written
+    aside first and then replace the stored ones, so a load that dies leaves the mart as it was, and a
+    replay gives the same mart.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, column: str):
+        self.spark = spark
+        self.path = path
+        self.column = column
+
+    def exists(self) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(*PARTITIONS)
+
+    def _touched(self, batch: DataFrame) -> DataFrame:
+        """Stored rows of the batch's partitions; the calendar bounds their list."""
+        parts = batch.select(*PARTITIONS).distinct().collect()
+        same = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(p[k])) for k in PARTITIONS]) for p in parts]
+        return self._stored().filter(reduce(lambda a, b: a | b, same, F.lit(False)))
+
+    def upsert(self, source: DataFrame, keys: Sequence[str]) -> None:
+        """Replace the rows of the source's keys and add the others."""
+        batch = settle(with_partitions(source, self.column), "batch")
+        merged = settle(upsert(self._touched(batch), batch, keys), "merged") if self.exists() else batch
+        writer = merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+
+    def append(self, source: DataFrame, key: str) -> None:
+        """Add the rows whose key is not stored yet."""
+        batch = with_partitions(source, self.column)
+        if self.exists():
+            batch = append_new(self._touched(settle(batch.select(*PARTITIONS).distinct(), "touched")), batch, key)
+        else:
+            batch = batch.dropDuplicates([key])
+        batch.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(self.path)
+
+    def newer(self, source: DataFrame) -> DataFrame:
+        """Source rows above the highest stored value, which is looked up in the last partition only."""
+        if not self.exists():
+            return source
+        stored = self._stored()
+        last = stored.select(*PARTITIONS).filter(F.col("year").isNotNull()).agg(F.max(F.struct(*PARTITIONS)).alias("p")).first()["p"]
+        if last is None:
+            return source
+        in_last = stored.filter((F.col("year") == last["year"]) & (F.col("month_num") == last["month_num"]))
+        return newer_rows(source, in_last, self.column)
+
+
 class VersionedTable:
     """A mart kept as numbered Parquet folders; the newest finished one is current.
 
@@ -119,6 +192,3 @@ class VersionedTable:
         version = max(self._versions(finished=False), default=0) + 1
         df.write.parquet(self._folder(version))
         return version
-
-    def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
-        return self.replace(upsert(self.read(), source, keys) if self.exists() else source)

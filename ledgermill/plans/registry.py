@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from ledgermill.operators import (
 )
 from ledgermill.plans import derived, reports
 from ledgermill.reference_data import simple_categories
-from ledgermill.session import run_dir
+from ledgermill.session import run_dir, settle
 from ledgermill.sources import exports
 from ledgermill.streaming import ingest as stream_ingest
 from ledgermill.streaming import metrics as stream_metrics
@@ -119,7 +120,9 @@ def _raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 6 == 1, F.date_format(d, "MM/dd/yyyy"))
         .when(k % 6 == 2, F.date_format(d, "dd/MM/yyyy"))
         .when(k % 6 == 3, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
-        .when(k % 6 == 4, "not a date")
+        .when(k % 12 == 4, "not a date")
+        .when(k % 12 == 10, F.date_format(d, "yyyyMMdd"))
+        .when(k % 12 == 5, F.date_format(d, "MMM d, yyyy"))
     )
     spellings = ["usd", " US ", "Dollar", "€", "euro", "UK", "chf"]
     currency = F.lit(None).cast("string")
@@ -227,10 +230,34 @@ def _write_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             F.concat(F.lit("debit "), memo).alias("Type"),
             F.col("o_totalprice").cast("decimal(15,2)").alias("Balance"),
         ],
+        # the same statement with its columns in another order, and one more
+        "bank_of_america": [
+            F.col("o_totalprice").cast("decimal(15,2)").alias("Balance"),
+            F.concat(F.lit("online "), memo).alias("Type"),
+            F.col("date_text").alias("Date"),
+            F.lit("branch 7").alias("Branch"),
+            F.col("amount_text").alias("Amount"),
+            merchant.alias("Description"),
+        ],
+        "generic": [
+            F.col("date_text").alias("Date"),
+            merchant.alias("Description"),
+            F.col("amount_text").alias("Amount"),
+            memo.alias("Category"),
+        ],
     }
     for key, columns in layouts.items():
         rows.select(*columns).write.csv(f"{base}/{key}", header=True)
-    return {key: f"{base}/{key}" for key in layouts}
+    rows.select(F.col("date_text").alias("Date"), memo.alias("Description")).coalesce(1).write.csv(f"{base}/broken", header=True)
+    return {key: f"{base}/{key}" for key in [*layouts, "broken"]}
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> exports.Ingest:
+    """Exports of five institutions, and among them a missing file and files without an amount."""
+    paths = _write_exports(spark, sf_dir)
+    broken = paths.pop("broken")
+    files = {**paths, "amex": [paths["amex"], broken], "chase": [paths["chase"], f"{paths['chase']}/missing.csv"]}
+    return exports.ingest(spark, files, BATCH_AT)
 
 
 BATCH_AT = datetime(2001, 8, 2, 12, 0, 0)
@@ -240,31 +267,40 @@ BATCH_AT = datetime(2001, 8, 2, 12, 0, 0)
 def ingest_csv(spark, sf_dir):
     """All orders written as export files and scanned back as text."""
     paths = _write_exports(spark, sf_dir)
-    return exports.read_export(spark, paths["chase"], exports.SPECS["chase"]).drop("source_file")
+    rows, _ = exports.read_export(spark, paths["chase"], exports.SPECS["chase"])
+    return rows.drop("source_file")
 
 
 @query
 def ingest_mapped(spark, sf_dir):
-    """Export files of three institutions through mapping, standardising and dedup."""
-    valid, _ = exports.ingest(spark, _write_exports(spark, sf_dir), BATCH_AT)
-    return shape(exports.to_contract(valid))
+    """Export files of five institutions through mapping, standardising and dedup."""
+    return shape(exports.to_contract(_ingested(spark, sf_dir).valid))
 
 
 @query
 def ingest_quarantine(spark, sf_dir):
-    _, rejected = exports.ingest(spark, _write_exports(spark, sf_dir), BATCH_AT)
+    rejected = _ingested(spark, sf_dir).rejected
     return rejected.groupBy("institution", "reject_reason").agg(F.count("*").alias("rows"))
 
 
+@query
+def ingest_failures(spark, sf_dir):
+    """Files that could not be read at all, while the others load."""
+    result = _ingested(spark, sf_dir)
+    loaded = result.valid.groupBy("institution").agg(F.count("*").alias("loaded"))
+    failed = result.failures.groupBy("institution", "reason").agg(F.count("*").alias("files"))
+    return failed.join(loaded, "institution", "left")
+
+
 @query
 def raw_append(spark, sf_dir):
     """Append to a raw table twice; the second load overlaps the first and adds only what is new."""
     raw = derived.raw_ledger(spark, sf_dir)
     path = run_dir(spark, "raw")
-    raw.filter(F.col("posted_at") < F.lit("2000-01-01").cast("timestamp_ntz")).write.mode("append").parquet(path)
-    fresh = materialize.append_new(spark.read.parquet(path), raw, "txn_id")
-    fresh.write.mode("append").parquet(path)
-    return shape(spark.read.parquet(path))
+    table = materialize.PartitionedMart(spark, path, "posted_at")
+    table.append(raw.filter(F.col("posted_at") < F.lit("2000-01-01").cast("timestamp_ntz")), "txn_id")
+    table.append(raw, "txn_id")
+    return shape(table.read())
 
 
 # --- staging ----------------------------------------------------------------
@@ -307,6 +343,17 @@ def running_balance(spark, sf_dir):
     return shape(derived.ledger(spark, sf_dir).select("txn_id", "account_id", "posted_at", "amount", "balance_after"))
 
 
+# Rows of a key beyond which the split variants cut it; they hold the same rows as the plain queries.
+SPLIT_ROWS, SPLIT_BLOCK = 100, 64
+
+
+@query
+def running_balance_split(spark, sf_dir):
+    """Running balances with every large account cut into pieces."""
+    rows = staging.running_balance(derived.raw_ledger(spark, sf_dir), derived.OPENING_BALANCE, max_group_rows=SPLIT_ROWS)
+    return shape(rows.select("txn_id", "account_id", "posted_at", "amount", "balance_after"))
+
+
 @query
 def category_rollup(spark, sf_dir):
     return shape(staging.category_rollup(derived.staged(spark, sf_dir), derived.ledger_categories(spark)))
@@ -376,6 +423,13 @@ def anomaly_score(spark, sf_dir):
     return shape(rows, SCORES)
 
 
+@query
+def anomaly_score_split(spark, sf_dir):
+    """The same scores with every large category and merchant cut into blocks."""
+    rows = anomalies.anomaly_score(derived.staged(spark, sf_dir), max_group_rows=SPLIT_ROWS, block_rows=SPLIT_BLOCK)
+    return shape(rows.drop("acknowledged_at", "acknowledged_by"), SCORES)
+
+
 @query
 def anomaly_score_events(spark, sf_dir):
     """The same scoring over events: five categories hold all rows."""
@@ -648,55 +702,134 @@ def account_balance_totals(spark, sf_dir):
 CUT = "2000-12-31"
 
 
+def _exported(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """All marts, written by year and month; their folders by name."""
+    stg = settle(derived.staged(spark, sf_dir, with_balance=True), "staged")
+    simple, categories = staging.simple_view(stg), simple_categories(spark)
+    marts = {
+        "cashflow_by_account": cashflow.cashflow_daily(stg),
+        "cashflow_daily": simple_marts.mart_cashflow_daily(simple),
+        "cashflow_monthly": simple_marts.mart_cashflow_monthly(simple),
+        "budget": simple_marts.mart_budget(simple, categories),
+        "anomalies": simple_marts.mart_anomalies(simple),
+        "recurring": simple_marts.mart_recurring(simple, AS_OF),
+        "forecasts": simple_marts.mart_forecasts(simple, categories, AS_OF),
+    }
+    return materialize.export_marts(marts, run_dir(spark, "marts"))
+
+
 @query
 def incr_highwater(spark, sf_dir):
-    """Days newer than what the target holds."""
-    daily = simple_marts.mart_cashflow_daily(_simple(spark, sf_dir))
-    loaded = daily.filter(F.col("date") <= F.lit(CUT).cast("date"))
-    return shape(materialize.newer_rows(daily, loaded, "date"))
+    """Days newer than what a stored mart holds."""
+    daily = settle(simple_marts.mart_cashflow_daily(_simple(spark, sf_dir)), "daily")
+    mart = materialize.PartitionedMart(spark, run_dir(spark, "daily"), "date")
+    mart.upsert(daily.filter(F.col("date") <= F.lit(CUT).cast("date")), ["date"])
+    return shape(mart.newer(daily))
+
+
+@query
+def incr_month(spark, sf_dir):
+    """Months newer than what a stored mart holds."""
+    monthly = settle(simple_marts.mart_cashflow_monthly(_simple(spark, sf_dir)), "monthly")
+    mart = materialize.PartitionedMart(spark, run_dir(spark, "monthly"), "month")
+    mart.upsert(monthly.filter(F.col("month") <= CUT[:7]), ["month"])
+    return mart.newer(monthly).groupBy("month").agg(F.count("*").alias("rows"))
+
+
+@query
+def incr_posted_at(spark, sf_dir):
+    """Transactions posted after the newest one that a stored table holds."""
+    raw = derived.raw_ledger(spark, sf_dir)
+    mart = materialize.PartitionedMart(spark, run_dir(spark, "posted"), "posted_at")
+    mart.upsert(raw.filter(F.col("posted_at") < F.lit(CUT).cast("timestamp_ntz")), ["txn_id"])
+    return shape(mart.newer(raw))
 
 
 @query
 def incr_upsert(spark, sf_dir):
     """Old days, replaced from December 2000 on by rows that carry one more column."""
-    daily = simple_marts.mart_cashflow_daily(_simple(spark, sf_dir)).select("date", "income", "expenses")
+    daily = settle(simple_marts.mart_cashflow_daily(_simple(spark, sf_dir)).select("date", "income", "expenses"), "daily")
     loaded = daily.filter(F.col("date") <= F.lit(CUT).cast("date"))
     corrected = daily.filter(F.col("date") >= F.lit("2000-12-01").cast("date")).withColumn("revision", F.lit(2))
-    return shape(materialize.upsert(loaded, corrected, ["date"]))
+    mart = materialize.PartitionedMart(spark, run_dir(spark, "daily"), "date")
+    for batch in (loaded, corrected, corrected):  # the last is a replay
+        mart.upsert(batch, ["date"])
+    return shape(mart.read())
 
 
 @query
 def export_parquet(spark, sf_dir):
-    """The daily mart written by year and month, and read back."""
+    """The daily mart written by year and month, and read back with its partition columns."""
     path = run_dir(spark, "cashflow_daily")
     materialize.export_parquet(simple_marts.mart_cashflow_daily(_simple(spark, sf_dir)), path)
     return shape(spark.read.parquet(path))
 
 
+@query
+def export_report(spark, sf_dir):
+    """The monthly cashflow report over the exported daily mart."""
+    daily = spark.read.parquet(_exported(spark, sf_dir)["cashflow_by_account"])
+    return shape(reports.cashflow(daily, AS_OF, "month"), ["savings_rate"])
+
+
 @query
 def summary_stats(spark, sf_dir):
-    simple = _simple(spark, sf_dir)
-    return materialize.summary_stats(
-        {
-            "Daily Cashflow": (simple_marts.mart_cashflow_daily(simple), "date"),
-            "Monthly Cashflow": (simple_marts.mart_cashflow_monthly(simple), "month"),
-            "Budget Variance": (simple_marts.mart_budget(simple, simple_categories(spark)), "month"),
-        }
-    )
+    """Row counts and bounds of the views over the exported marts."""
+    paths = _exported(spark, sf_dir)
+    materialize.register_views(spark, {f"mart_{name}": path for name, path in paths.items()})
+    labels = {
+        "Daily Cashflow": ("cashflow_daily", "date"),
+        "Monthly Cashflow": ("cashflow_monthly", "month"),
+        "Budget Variance": ("budget", "month"),
+    }
+    return materialize.summary_stats({label: (spark.table(f"mart_{name}"), bound) for label, (name, bound) in labels.items()})
 
 
 @query
-def stream_ingest_rows(spark, sf_dir):
-    """The derived ledger as JSON files, ingested as a stream with every record sent twice."""
-    inbox, target, state = (run_dir(spark, n) for n in ("inbox", "ledger", "ingest-state"))
+def summary_marts(spark, sf_dir):
+    """Rows of every exported mart."""
+    paths = _exported(spark, sf_dir)
+    counted = [spark.read.parquet(p).agg(F.count("*").alias("rows")).select(F.lit(n).alias("mart"), "rows") for n, p in paths.items()]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of the table and the quarantine after a stream of three arrivals.
+
+    First come the newer rows, a tenth of them still drafts; then an older backfill and the corrected drafts; then
+    records that break the contract, and repeats.
+    """
+    inbox, target, quarantine, state = (run_dir(spark, n) for n in ("inbox", "ledger", "quarantine", "ingest-state"))
     raw = derived.raw_ledger(spark, sf_dir).withColumn("balance_after", F.lit(None).cast("decimal(15,2)"))
-    for _ in range(2):
-        raw.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(inbox)
-    stream_ingest.run_ingest(spark, inbox, target, state, lateness="4000 days").awaitTermination()
+    newer = F.col("posted_at") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    draft = F.col("txn_id") < "1a"
+    as_draft = raw.withColumns({"amount": F.lit(1).cast("decimal(15,2)"), "merchant_raw": F.lit("DRAFT")})
+    broken = raw.withColumn("currency", F.lower("currency")).filter(F.col("txn_id") < "08")
+    arrivals = [
+        raw.filter(newer & ~draft).unionByName(as_draft.filter(newer & draft)),
+        raw.filter(~newer).unionByName(raw.filter(draft)),
+        broken.unionByName(raw.filter(F.col("txn_id") > "f0")),
+    ]
+    for arrival in arrivals:
+        arrival.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(inbox)
+        stream_ingest.run_ingest(spark, inbox, target, quarantine, state).awaitTermination()
+    return target, quarantine
+
+
+def _stream_ingest(spark, sf_dir):
+    target, _ = _streamed(spark, sf_dir)
     return shape(stream_ingest.current_rows(spark, target))
 
 
-QUERIES["stream_ingest"] = QUERIES.pop("stream_ingest_rows")
+QUERIES["stream_ingest"] = _stream_ingest
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    """Records that the stream set aside, by reason."""
+    _, quarantine = _streamed(spark, sf_dir)
+    rows = spark.read.parquet(quarantine)
+    return rows.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
 @query
@@ -708,7 +841,7 @@ def stream_metrics_daily(spark, sf_dir):
     stream = spark.readStream.schema(schema).parquet(inbox)
     stream_metrics.run_summary(spark, stream, target, state, "1 day", "1 hour").awaitTermination()
     bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return shape(spark.read.parquet(target).withColumns(bounds), ["avg"])
+    return shape(stream_metrics.current_windows(spark, target).withColumns(bounds), ["avg"])
 
 
 # --- data quality -----------------------------------------------------------
@@ -815,14 +948,22 @@ def dq_fk(spark, sf_dir):
     return _quality_rows(whole.unionByName(partial))
 
 
+def _wrong_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger whose urgent orders carry a wrong balance."""
+    urgent = F.col("description_raw").endswith("1-URGENT")
+    balance = F.when(urgent, F.col("balance_after") + 1).otherwise(F.col("balance_after"))
+    return derived.ledger(spark, sf_dir).withColumn("balance_after", balance.cast("decimal(18,2)"))
+
+
 @query
 def dq_balance(spark, sf_dir):
-    """Balance breaks of a ledger whose urgent orders carry a wrong balance."""
-    urgent = F.col("description_raw").endswith("1-URGENT")
-    ledger = derived.ledger(spark, sf_dir).withColumn(
-        "balance_after", F.when(urgent, F.col("balance_after") + 1).otherwise(F.col("balance_after")).cast("decimal(18,2)")
-    )
-    return shape(quality.balance_breaks(ledger))
+    return shape(quality.balance_breaks(_wrong_balances(spark, sf_dir)))
+
+
+@query
+def dq_balance_split(spark, sf_dir):
+    """The same breaks with every large account cut into blocks."""
+    return shape(quality.balance_breaks(_wrong_balances(spark, sf_dir), SPLIT_ROWS, SPLIT_BLOCK))
 
 
 @query

@@ -115,7 +115,7 @@ BUDGET_VARIANCE_THRESHOLD = 0.1
 
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """Fixed rows as a local relation, whose size Spark knows exactly when it picks a join."""
-    columns = list(zip(*rows, strict=True))
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema.fields)
     table = pa.table({f.name: pa.array(c, to_arrow_type(f.dataType)) for f, c in zip(schema.fields, columns)})
     return spark.createDataFrame(table, schema)
 

@@ -6,19 +6,24 @@ way to support another export.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions import clean, hashing
+from ledgermill.reference_data import local_rows
 
 CORRUPT = "_corrupt"
 REQUIRED = ("posted_at", "amount", "merchant_raw", "description")
+FAILURES = T.StructType([T.StructField(c, T.StringType()) for c in ("institution", "file", "reason")])
 OPTIONAL = ("mcc", "category_raw", "city", "state", "country", "currency", "balance_after", "account_id")
 
 
@@ -97,28 +102,98 @@ def spec_for(file_name: str) -> ExportSpec:
     return SPECS["generic"]
 
 
-def export_schema(spec: ExportSpec) -> T.StructType:
-    names = [*spec.columns, CORRUPT]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-def read_export(spark: SparkSession, paths: str | list[str], spec: ExportSpec) -> DataFrame:
-    """Scan export files as text columns, with the file each row came from.
-
-    Columns are bound by the declared order; a row that does not fit keeps its
-    text in the corrupt-record column instead of failing the file. The parser
+@dataclass(frozen=True)
+class Ingest:
+    """Valid transactions (one per txn_id), quarantined rows, and files that could not be read."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    failures: DataFrame
+
+
+def export_files(spark: SparkSession, paths: str | Sequence[str]) -> tuple[list[str], list[str]]:
+    """The files that paths, patterns and folders stand for, and the paths that match nothing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found, missing = [], []
+    for path in [paths] if isinstance(paths, str) else paths:
+        place = hadoop.Path(path)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = []
+        for status in fs.globStatus(place) or []:
+            inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            names += [s.getPath().toString() for s in inside if s.isFile() and s.getPath().getName()[0] not in "._"]
+        found += names
+        missing += [] if names else [path]
+    return found, missing
+
+
+def _plain(path: str) -> str:
+    """A path without scheme slashes and escapes, to match what the reader reports with what was listed."""
+    return re.sub(r"^file:/*", "/", unquote(path))
+
+
+def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Column names in the first line of each file; a file without a line has none."""
+    if not files:
+        return {}
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n")
+    ).filter(F.col("_metadata.file_block_start") == 0)
+    first = {_plain(r["file"]): r["value"] for r in lines.groupBy("file").agg(F.min_by("value", "n").alias("value")).collect()}
+    headers = {}
+    for f in files:
+        cells = next(csv.reader([first.get(_plain(f), "").removeprefix("\ufeff")]), [])
+        headers[f] = tuple(c.strip() for c in cells)
+    return headers
+
+
+def header_fault(header: Sequence[str], spec: ExportSpec) -> str | None:
+    """Why a file with this header can't be mapped."""
+    if not any(header):
+        return "no header"
+    if len(set(header)) < len(header):
+        return "repeated column names"
+    mapped = [t for t, names in spec.mapping.items() if any(n in header for n in names)]
+    missing = [t for t in REQUIRED if t not in mapped and t not in spec.defaults]
+    return f"missing columns: {', '.join(missing)}" if missing else None
+
+
+def _scan(spark: SparkSession, files: Sequence[str], header: Sequence[str], spec: ExportSpec) -> DataFrame:
+    """Files of one header as text columns of the spec, by name; other columns are ignored.
+
+    A row that does not fit keeps its text in the corrupt-record column instead of failing the file. The parser
     sees that only if it reads all columns of the line.
     """
-    return (
-        spark.read.schema(export_schema(spec))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, CORRUPT]])
+    rows = (
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
-        .csv(paths)
-        .withColumn("source_file", F.col("_metadata.file_path"))
+        .csv(list(files))
     )
+    own = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in spec.columns]
+    return rows.select(*own, CORRUPT, F.col("_metadata.file_path").alias("source_file"))
+
+
+def read_export(spark: SparkSession, paths: str | Sequence[str], spec: ExportSpec) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """Rows of all readable files (None without one), and the others as (file, reason).
+
+    Files are grouped by their header and each group is read by the names in it, so columns may come in any order.
+    """
+    files, missing = export_files(spark, paths)
+    failed = [(path, "missing file") for path in missing]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in file_headers(spark, files).items():
+        fault = header_fault(header, spec)
+        if fault:
+            failed.append((file, fault))
+        else:
+            groups.setdefault(header, []).append(file)
+    parts = [_scan(spark, names, header, spec) for header, names in groups.items()]
+    return (reduce(DataFrame.unionByName, parts) if parts else None), failed
 
 
 def check_mapped(columns: Sequence[str], required: Sequence[str] = REQUIRED) -> None:
@@ -179,20 +254,24 @@ def standardise(mapped: DataFrame, spec: ExportSpec, batch_at: datetime) -> Data
     )
 
 
-def ingest(
-    spark: SparkSession, files: Mapping[str, str | list[str]], batch_at: datetime
-) -> tuple[DataFrame, DataFrame]:
-    """Valid transactions (one per txn_id) and quarantined rows.
+def ingest(spark: SparkSession, files: Mapping[str, str | Sequence[str]], batch_at: datetime) -> Ingest:
+    """Load the export files of all institutions.
 
-    ``files`` maps a key of ``SPECS`` to paths; each institution is read on its
-    own, so one institution's broken file does not stop the others.
+    ``files`` maps a key of ``SPECS`` to paths. A file that is missing, or whose header lacks a required
+    column, becomes a failure and stops neither its institution nor the others.
     """
-    parts = [
-        standardise(map_columns(read_export(spark, paths, SPECS[key]), SPECS[key]), SPECS[key], batch_at)
-        for key, paths in files.items()
-    ]
+    parts, failed = [], []
+    for key, paths in files.items():
+        spec = SPECS[key]
+        rows, faults = read_export(spark, paths, spec)
+        failed += [(spec.institution, file, reason) for file, reason in faults]
+        if rows is not None:
+            parts.append(standardise(map_columns(rows, spec), spec, batch_at))
+    if not parts:
+        empty = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*SPECS["amex"].columns, CORRUPT, "source_file"]]))
+        parts.append(standardise(map_columns(empty, SPECS["amex"]), SPECS["amex"], batch_at))
     rows = reduce(DataFrame.unionByName, parts)
-    return valid_rows(rows), rejected_rows(rows)
+    return Ingest(valid_rows(rows), rejected_rows(rows), local_rows(spark, failed, FAILURES))
 
 
 def valid_rows(rows: DataFrame) -> DataFrame:

@@ -4,48 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.operators.contract import split_valid
 from ledgermill.schemas import RAW_TRANSACTION
 
+ARRIVAL = "_arrival"
+
+
+def arrival() -> Column:
+    """When a record's file came, and its name for files of the same instant."""
+    return F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"))
+
 
 def read_records(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(RAW_TRANSACTION)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+    return reader.json(path).withColumn(ARRIVAL, arrival())
 
 
-def deduplicated(stream: DataFrame, lateness: str = "7 days") -> DataFrame:
-    """Each transaction once within the lateness; the watermark bounds the state."""
-    valid, _ = split_valid(stream)
-    timed = valid.withColumn("event_time", valid["posted_at"].cast("timestamp"))
-    return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["txn_id"])
+def newest(rows: DataFrame, keys: Sequence[str], version: str | Column) -> DataFrame:
+    """The row of each key with the highest version; versions are combined map-side."""
+    columns = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), version).alias("_row"))
+    return best.select(*keys, "_row.*")
 
 
 def run_ingest(
     spark: SparkSession,
     path: str,
     target: str,
+    quarantine: str,
     checkpoint: str,
-    lateness: str = "7 days",
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Ingest all files that are there now, then stop.
 
-    A micro-batch writes only its own folder, so its cost does not grow with the
-    table, and a batch that is replayed after a failure replaces itself.
-    ``current_rows`` resolves keys that several batches hold.
+    No record is dropped, however late: a micro-batch keeps the newest version of each key
+    that it holds, and ``current_rows`` takes the newest over all batches, so there is no state to bound. Records that
+    break the contract go to the quarantine with their reasons. A micro-batch writes only its own
+    folders, so its cost does not grow with the table, and a batch that is replayed after a failure replaces itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.drop("event_time").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        valid, broken = split_valid(batch)
+        newest(valid, ["txn_id"], ARRIVAL).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        broken.drop(ARRIVAL).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
     return (
-        deduplicated(read_records(spark, path, files_per_trigger), lateness)
+        read_records(spark, path, files_per_trigger)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -56,12 +66,10 @@ def run_ingest(
 def current_rows(spark: SparkSession, target: str, keys: Sequence[str] = ("txn_id",)) -> DataFrame:
     """The newest version of every key."""
     rows = spark.read.option("basePath", target).parquet(target)
-    columns = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch_id").alias("_row"))
-    return newest.select(*keys, "_row.*")
+    return newest(rows, list(keys), F.struct(ARRIVAL, "batch_id")).drop(ARRIVAL, "batch_id")
 
 
 def batch_twin(records: DataFrame) -> DataFrame:
-    """What the stream has ingested once all records have arrived."""
-    valid, _ = split_valid(records)
-    return valid.dropDuplicates(["txn_id"])
+    """What the stream has ingested once all records have arrived; ``records`` are read from files."""
+    valid, _ = split_valid(records.withColumn(ARRIVAL, arrival()))
+    return newest(valid, ["txn_id"], ARRIVAL).drop(ARRIVAL)

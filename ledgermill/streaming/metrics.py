@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.operators.metrics import windowed_summary
+from ledgermill.streaming.ingest import newest
 
 
 def event_points(events: DataFrame) -> DataFrame:
@@ -20,19 +21,33 @@ def event_points(events: DataFrame) -> DataFrame:
 
 
 def streaming_summary(points: DataFrame, width: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
-    """Summary per window; a window is emitted once, when the watermark has passed it."""
+    """Summary per window. The watermark closes a window, and with it drops its state, ``lateness`` after its end."""
     return windowed_summary(points.withWatermark("timestamp", lateness), width)
 
 
 def run_summary(
     spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, width: str = "1 hour", lateness: str = "1 hour"
 ) -> StreamingQuery:
+    """Summarise all files that are there now, then stop.
+
+    Every micro-batch writes the windows that it changed, open ones too, into its own folder;
+    ``current_windows`` takes the newest state of each.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
     return (
         streaming_summary(event_points(stream), width, lateness)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", target)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def current_windows(spark: SparkSession, target: str) -> DataFrame:
+    """The newest summary of every window and metric."""
+    rows = spark.read.option("basePath", target).parquet(target)
+    return newest(rows, ["window_start", "window_end", "name"], "batch_id").drop("batch_id")

@@ -16,7 +16,8 @@ texts AS (
       ELSE ' $ ' || format('{:,.2f}', o_totalprice) || ' ' END AS amount_text,
     CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
       WHEN 2 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
-      WHEN 4 THEN 'not a date' END AS date_text,
+      WHEN 4 THEN CASE o_orderkey % 12 WHEN 4 THEN 'not a date' ELSE strftime(o_orderdate, '%Y%m%d') END
+      WHEN 5 THEN CASE o_orderkey % 12 WHEN 5 THEN strftime(o_orderdate, '%b %-d, %Y') END END AS date_text,
     CASE o_orderkey % 8 WHEN 0 THEN 'usd' WHEN 1 THEN ' US ' WHEN 2 THEN 'Dollar' WHEN 3 THEN '€' WHEN 4 THEN 'euro'
       WHEN 5 THEN 'UK' WHEN 6 THEN 'chf' END AS currency_text
   FROM orders
@@ -24,7 +25,8 @@ texts AS (
 parsed AS (
   SELECT *, TRY_CAST(trim(replace(replace(amount_text, '$', ''), ',', '')) AS DECIMAL(15,2)) AS plain,
     COALESCE(try_strptime(date_text, '%Y-%m-%d'), try_strptime(date_text, '%m/%d/%Y'),
-      try_strptime(date_text, '%d/%m/%Y'), try_strptime(date_text, '%Y-%m-%d %H:%M:%S')) AS posted
+      try_strptime(date_text, '%d/%m/%Y'), try_strptime(date_text, '%Y-%m-%d %H:%M:%S'),
+      try_strptime(date_text, '%b %d, %Y'), try_strptime(date_text, '%Y%m%d')) AS posted
   FROM texts
 ),
 flipped AS (
@@ -50,6 +52,12 @@ exported AS (
   UNION ALL
   SELECT 'Wells Fargo', 'bank', posted, plain, NULL, 'debit Order ' || CAST(o_orderkey AS VARCHAR),
     CAST(o_totalprice AS DECIMAL(15,2)), amount_text, date_text, o_custkey FROM parsed
+  UNION ALL
+  SELECT 'Bank of America', 'bank', posted, plain, NULL, 'online Order ' || CAST(o_orderkey AS VARCHAR),
+    CAST(o_totalprice AS DECIMAL(15,2)), amount_text, date_text, o_custkey FROM parsed
+  UNION ALL
+  SELECT 'Unknown', 'bank', posted, plain, 'Order ' || CAST(o_orderkey AS VARCHAR), '', NULL, amount_text, date_text, o_custkey
+  FROM parsed
 ),
 judged AS (
   SELECT *, 'Merchant ' || CAST(o_custkey AS VARCHAR) AS merchant_raw,
@@ -273,10 +281,25 @@ FROM judged WHERE reason IS NULL""",
     + EXPORTED
     + """
 SELECT institution, reason AS reject_reason, COUNT(*) AS rows FROM judged WHERE reason IS NOT NULL GROUP BY 1, 2""",
+    "ingest_failures": "WITH"
+    + TEXTS
+    + ","
+    + EXPORTED
+    + """,
+faults(institution, reason) AS (VALUES ('Chase', 'missing file'), ('American Express', 'missing columns: amount, description'))
+SELECT f.institution, f.reason, CAST(1 AS BIGINT) AS files, COUNT(*) AS loaded
+FROM faults f JOIN judged j ON j.institution = f.institution AND j.reason IS NULL GROUP BY 1, 2""",
     "raw_append": raw_sql(select=f"SELECT {_RAW_COLUMNS} FROM raw_hashed"),
     "stream_ingest": raw_sql(
         select=f"SELECT {_RAW_COLUMNS}, CAST(NULL AS DOUBLE) AS balance_after FROM raw_hashed"
     ),
+    "stream_quarantine": raw_sql(
+        select="SELECT 'currency pattern' AS reason, COUNT(*) AS rows FROM raw_hashed WHERE txn_id < '08'"
+    ),
+    "incr_posted_at": raw_sql(
+        select=f"""SELECT {_RAW_COLUMNS} FROM raw_hashed
+WHERE posted_at > (SELECT MAX(posted_at) FROM raw WHERE posted_at < TIMESTAMP '2000-12-31')"""
+    ),
     "stg_merchant": ledger_sql(select="SELECT txn_id, merchant_raw, merchant_clean, category_std FROM named"),
     "stg_fx": ledger_sql(
         select=f"SELECT txn_id, currency, {d('amount')}, {d('amount_usd')}, 'USD' AS amount_ccy FROM stg"
@@ -387,8 +410,7 @@ FROM stepped WHERE balance_after - previous_balance <> amount""",
   MAX(ts) AS last_seen FROM events GROUP BY 1, 2""",
     "metric_summary": f"SELECT event_type AS name, {_points('event_id')} FROM events GROUP BY 1",
     "stream_metrics_daily": f"""SELECT date_trunc('day', ts) AS window_start,
-  date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type AS name, {_points('value')} FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2, 3""",
+  date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type AS name, {_points('value')} FROM events GROUP BY 1, 2, 3""",
     "metric_windows": f"""SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
   event_type AS name, {_points('value')} FROM events GROUP BY 1, 2, 3""",
 }

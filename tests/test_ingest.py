@@ -64,7 +64,9 @@ def test_specs_by_file_name():
 
 
 def test_ingest_valid_and_rejected(spark, files):
-    valid, rejected = exports.ingest(spark, files, AT)
+    loaded = exports.ingest(spark, files, AT)
+    valid, rejected = loaded.valid, loaded.rejected
+    assert loaded.failures.count() == 0
     got = rows_of(valid, "institution", "merchant_raw", "amount", "posted_at", "description", "channel")
     assert got == sorted(
         [
@@ -89,17 +91,43 @@ def test_ingest_valid_and_rejected(spark, files):
 
 
 def test_ids_are_repeatable(spark, files):
-    first, _ = exports.ingest(spark, files, AT)
-    again, _ = exports.ingest(spark, files, datetime(2025, 1, 1))
+    first = exports.ingest(spark, files, AT).valid
+    again = exports.ingest(spark, files, datetime(2025, 1, 1)).valid
     assert rows_of(first, "txn_id") == rows_of(again, "txn_id")
     assert all(len(t) == 64 for (t,) in rows_of(first, "txn_id"))
 
 
 def test_malformed_rows_do_not_stop_a_file(spark, folder):
     path = write(folder, "amex_bad.csv", AMEX + "2024-02-13,too,few\n")
-    valid, rejected = exports.ingest(spark, {"amex": path}, AT)
-    assert valid.count() == 2
-    assert rows_of(rejected, "reject_reason") == [("malformed row",)]
+    loaded = exports.ingest(spark, {"amex": path}, AT)
+    assert loaded.valid.count() == 2
+    assert rows_of(loaded.rejected, "reject_reason") == [("malformed row",)]
+
+
+def test_columns_are_bound_by_name(spark, folder):
+    """Another order, another column, a byte-order mark and quoted names."""
+    path = write(folder, "wells.csv", '\ufeffDate,Type,"Amount",Branch,Description,Balance\n2024-02-13,debit,-4.50,7,COFFEE SHOP,10\n')
+    (row,) = exports.ingest(spark, {"wells_fargo": path}, AT).valid.collect()
+    assert (row.merchant_raw, row.description, row.amount, row.balance_after) == ("COFFEE SHOP", "debit", Decimal("-4.50"), Decimal("10.00"))
+
+
+def test_unreadable_files_stop_nothing(spark, folder):
+    files = {
+        "amex": [write(folder, "amex good.csv", AMEX), write(folder, "amex_short.csv", "Date,Description,Category\n"), f"{folder}/gone.csv"],
+        "chase": [f"{folder}/none*.csv", write(folder, "chase_empty.csv", ""), write(folder, "chase_twice.csv", "Amount,Amount\n")],
+        "wells_fargo": write(folder, "wells.csv", WELLS),
+    }
+    loaded = exports.ingest(spark, files, AT)
+    assert loaded.valid.count() == 3
+    assert sorted((r.institution, r.file.rsplit("/", 1)[-1], r.reason) for r in loaded.failures.collect()) == [
+        ("American Express", "amex_short.csv", "missing columns: amount, description"),
+        ("American Express", "gone.csv", "missing file"),
+        ("Chase", "chase_empty.csv", "no header"),
+        ("Chase", "chase_twice.csv", "repeated column names"),
+        ("Chase", "none*.csv", "missing file"),
+    ]
+    nothing = exports.ingest(spark, {"chase": f"{folder}/gone.csv"}, AT)
+    assert (nothing.valid.count(), nothing.rejected.count(), nothing.failures.count()) == (0, 0, 1)
 
 
 def test_missing_columns_raise(spark):
@@ -113,13 +141,13 @@ def test_missing_columns_raise(spark):
 
 
 def test_ingested_rows_meet_the_contract(spark, files):
-    valid, _ = exports.ingest(spark, files, AT)
+    valid = exports.ingest(spark, files, AT).valid
     good, bad = contract.split_valid(exports.to_contract(valid))
     assert good.count() == 7 and bad.count() == 0
 
 
 def test_append_adds_only_new_ids(spark, files, folder):
-    valid, _ = exports.ingest(spark, files, AT)
+    valid = exports.ingest(spark, files, AT).valid
     path = f"{folder}/raw"
     for _ in range(2):
         target = spark.read.parquet(path) if _ else valid.limit(0)
@@ -143,30 +171,80 @@ def _send(spark, df, path):
 
 
 def test_stream_equals_batch(spark, small, folder):
+    """Newer files first, then an older backfill, corrections, repeats and broken records, at default settings."""
     raw = derived.raw_ledger(spark, small).withColumn("balance_after", F.lit(None).cast("decimal(15,2)"))
     broken = raw.limit(3).withColumn("currency", F.lit("usd"))
-    inbox, target, state = (f"{folder}/{n}" for n in ("in", "out", "state"))
-    _send(spark, raw.filter("posted_at < '1999-01-01'"), inbox)
-    stream_ingest.run_ingest(spark, inbox, target, state, "4000 days").awaitTermination()
+    corrected = raw.orderBy("txn_id").limit(20).withColumn("merchant_raw", F.lit("CORRECTED"))
+    inbox, target, quarantine, state = (f"{folder}/{n}" for n in ("in", "out", "bad", "state"))
+    _send(spark, raw.filter("posted_at >= '1999-01-01'"), inbox)
+    stream_ingest.run_ingest(spark, inbox, target, quarantine, state).awaitTermination()
     first = stream_ingest.current_rows(spark, target).count()
     _send(spark, raw, inbox)
+    stream_ingest.run_ingest(spark, inbox, target, quarantine, state, files_per_trigger=1).awaitTermination()
+    _send(spark, corrected, inbox)
     _send(spark, broken, inbox)
-    stream_ingest.run_ingest(spark, inbox, target, state, "4000 days", files_per_trigger=1).awaitTermination()
+    stream_ingest.run_ingest(spark, inbox, target, quarantine, state, files_per_trigger=1).awaitTermination()
     twin = stream_ingest.batch_twin(tables.read_contract_json(spark, inbox))
     got = stream_ingest.current_rows(spark, target)
     assert first < got.count() == twin.count() == raw.count()
-    assert rows_of(got, "txn_id", "amount") == rows_of(twin, "txn_id", "amount")
+    assert got.filter("merchant_raw = 'CORRECTED'").count() == 20
+    assert rows_of(got, "txn_id", "amount", "merchant_raw") == rows_of(twin, "txn_id", "amount", "merchant_raw")
+    assert rows_of(spark.read.parquet(quarantine).select(F.explode("reasons"))) == [("currency pattern",)] * 3
 
 
-def test_metric_stream_equals_batch(spark, small, folder):
+@pytest.mark.parametrize("files", [None, 1])
+def test_metric_stream_equals_batch(spark, small, folder, files):
     from ledgermill.operators.metrics import windowed_summary
 
     events = derived.read(spark, small, "events")
-    events.write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
-    stream_metrics.run_summary(spark, stream, f"{folder}/out", f"{folder}/state", "1 day", "1 hour").awaitTermination()
+    events.repartitionByRange(3, "ts").write.parquet(f"{folder}/in")
+    reader = spark.readStream.schema(events.schema)
+    stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{folder}/in")
+    wait = "1 hour" if files is None else "40 days"
+    stream_metrics.run_summary(spark, stream, f"{folder}/out", f"{folder}/state", "1 day", wait).awaitTermination()
     batch = windowed_summary(stream_metrics.event_points(events), "1 day")
-    last = batch.agg(F.max("window_end")).first()[0]
-    closed = batch.filter(F.col("window_end") < F.lit(last))
     columns = ["window_start", "name", "count", "min", "max", "first", "latest"]
-    assert rows_of(spark.read.parquet(f"{folder}/out"), *columns) == rows_of(closed, *columns)
+    assert rows_of(stream_metrics.current_windows(spark, f"{folder}/out"), *columns) == rows_of(batch, *columns)
+
+
+def test_partitioned_mart(spark, folder):
+    """First load, second load and replay touch only the partitions of their rows."""
+    import glob
+    import os
+
+    def batch(rows, schema="date date, n int"):
+        return spark.createDataFrame([(datetime.fromisoformat(d).date() if d else None, *r) for d, *r in rows], schema)
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/m/*/*/*.parquet")}
+
+    mart = materialize.PartitionedMart(spark, f"{folder}/m", "date")
+    assert mart.newer(batch([("2024-01-05", 1)])).count() == 1
+    mart.upsert(batch([("2024-01-05", 1), ("2024-01-06", 2), ("2024-02-01", 3), (None, 9)]), ["date"])
+    january = {f: t for f, t in files().items() if "month_num=1" in f}
+    for _ in range(2):
+        mart.upsert(batch([("2024-02-01", 30, "x"), ("2024-03-01", 4, "y"), (None, 90, None)], "date date, n int, extra string"), ["date"])
+        assert {f: t for f, t in files().items() if "month_num=1" in f} == january
+        got = sorted(((str(r.date), r.n, r.extra) for r in mart.read().collect()))
+        assert got == [("2024-01-05", 1, None), ("2024-01-06", 2, None), ("2024-02-01", 30, "x"), ("2024-03-01", 4, "y"), ("None", 90, None)]
+    newer = mart.newer(batch([("2024-03-01", 5), ("2024-03-02", 6), ("2024-01-31", 7)]))
+    assert [r.n for r in newer.collect()] == [6]
+    with pytest.raises(ValueError, match="year"):
+        materialize.with_partitions(batch([("2024-01-05", 1)]).withColumn("year", F.lit(1)), "date")
+
+
+def test_exports_keep_their_columns(spark, folder):
+    daily = spark.createDataFrame([("2001-06-01", "2001-06", 1), ("2002-06-01", "2002-06", 2)], "date string, month string, n int")
+    daily = daily.withColumn("date", F.col("date").cast("date"))
+    paths = materialize.export_marts({"daily": daily, "plain": daily.select("n")}, f"{folder}/marts")
+    assert rows_of(spark.read.parquet(paths["daily"]), *daily.columns) == rows_of(daily)
+    assert rows_of(spark.read.parquet(paths["plain"])) == rows_of(daily, "n")
+
+
+def test_free_dates(spark):
+    from ledgermill.functions import clean
+
+    texts = ["Jan 5, 2024", "January 5, 2024", "5-Jan-2024", "5 January 2024", "20240105", "01/05/24", "2024/1/5", "5.1.2024", " 2024-01-05 "]
+    df = spark.createDataFrame([(t,) for t in [*texts, "20241345", "2024", "soon", None]], "t string")
+    got = [r.d for r in df.select(clean.std_date(F.col("t")).alias("d")).collect()]
+    assert got == [datetime(2024, 1, 5)] * len(texts) + [None] * 4

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from ledgermill.operators import anomalies, quality, staging
-from ledgermill.operators.keyed_windows import Skew, _pieces, find_skew, rolling_rows, running_total
+from ledgermill.operators.keyed_windows import PIECE, Skew, _pieces, find_skew, rolling_rows, running_total
 from ledgermill.plans import derived
 
 
@@ -24,6 +24,16 @@ def skewed(spark, n=4000):
     )
 
 
+def with_nulls(spark, n=4000):
+    """The same rows, some without timestamp, amount, id or key."""
+    i = F.conv(F.substring("row_id", 1, 6), 16, 10).cast("int")
+    void = {"ts": 11, "amount": 3, "key": 23}
+    df = skewed(spark, n).withColumns({c: F.when(i % k != 0, F.col(c)) for c, k in void.items()})
+    # one row of a timestamp may lack the id, so that the order stays unique
+    first = F.row_number().over(Window.partitionBy("key", "ts").orderBy("row_id")) == 1
+    return df.withColumn("row_id", F.when(~(first & (i % 2 == 0)), F.col("row_id")))
+
+
 def outputs():
     return {
         "total": lambda w: F.sum("amount").over(w),
@@ -32,18 +42,20 @@ def outputs():
     }
 
 
+@pytest.mark.parametrize("make", [skewed, with_nulls])
 @pytest.mark.parametrize("limit,block", [(500, 29), (500, 100), (50, 64), (1, 30)])
-def test_rolling_rows_equals_plain_window(spark, limit, block):
-    df = skewed(spark)
+def test_rolling_rows_equals_plain_window(spark, limit, block, make):
+    df = make(spark)
     window = Window.partitionBy("key").orderBy("ts", "row_id").rowsBetween(-29, 0)
-    plain = df.withColumns({k: make(window) for k, make in outputs().items()})
+    plain = df.withColumns({k: of(window) for k, of in outputs().items()})
     split = rolling_rows(df, "key", "ts", "row_id", 29, outputs(), max_group_rows=limit, block_rows=block)
     assert rows_of(split) == rows_of(plain)
 
 
+@pytest.mark.parametrize("make", [skewed, with_nulls])
 @pytest.mark.parametrize("limit", [1, 50, 500])
-def test_running_total_equals_plain_window(spark, limit):
-    df = skewed(spark)
+def test_running_total_equals_plain_window(spark, limit, make):
+    df = make(spark)
     window = Window.partitionBy("key").orderBy("ts", "row_id").rowsBetween(Window.unboundedPreceding, 0)
     plain = df.withColumn("total", F.sum("amount").over(window))
     split = running_total(df, "key", "ts", "row_id", "amount", "total", max_group_rows=limit)
@@ -52,20 +64,32 @@ def test_running_total_equals_plain_window(spark, limit):
 
 def test_hot_keys_are_the_large_ones(spark):
     df = skewed(spark)
-    assert find_skew(df, ["key"], "ts", 500) == {"key": Skew(("hot",), ())}
+    hot = find_skew(df, ["key"], "ts", 500)["key"]
+    assert {r["_key"] for r in hot.days.collect()} == {"hot"} and not hot.dense
     assert find_skew(df, ["key"], "ts", 4000) == {"key": Skew()}
-    dense = find_skew(df, ["key"], "ts", 200)["key"].dense_days
-    assert {k for k, _ in dense} == {"hot"} and len(dense) == 5
+    assert find_skew(df, ["key"], "ts", 100)["key"].dense
 
 
 def test_dense_days_are_cut_within_the_day(spark):
     """With a limit below a day's rows, pieces are smaller than the day even where all timestamps are equal."""
     hot = skewed(spark).filter("key = 'hot'")
-    whole = _pieces(hot, "key", "ts", "row_id", ()).groupBy("_day", "_sec", "_tag").count()
-    dense = find_skew(hot, ["key"], "ts", 50)["key"].dense_days
-    cut = _pieces(hot, "key", "ts", "row_id", dense).groupBy("_day", "_sec", "_tag").count()
-    assert whole.count() == hot.select(F.to_date("ts")).distinct().count()
-    assert cut.agg(F.max("count")).first()[0] < 20
+    whole = _pieces(hot, "key", "ts", "row_id", find_skew(hot, ["key"], "ts", 500)["key"])
+    assert whole.groupBy(*PIECE).count().count() == hot.select(F.to_date("ts")).distinct().count()
+    cut = _pieces(hot, "key", "ts", "row_id", find_skew(hot, ["key"], "ts", 50)["key"])
+    assert cut.groupBy(*PIECE).count().agg(F.max("count")).first()[0] < 20
+
+
+def scans(df):
+    """Table reads in the plan, by name of the leaves."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation [")
+
+
+def test_split_plan_reads_little(spark, small):
+    stg = derived.staged(spark, small)
+    assert scans(anomalies.anomaly_score(stg, max_group_rows=20, block_rows=40)) <= 4
+    ledger = staging.running_balance(derived.raw_ledger(spark, small), 10000, max_group_rows=5)
+    assert scans(ledger) <= 4
 
 
 def test_scores_do_not_depend_on_the_split(spark, small):
