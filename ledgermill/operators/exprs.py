@@ -46,20 +46,15 @@ def rolling_means(
 ) -> DataFrame:
     """Add ``<column>_<span><unit>_avg``: means of money over the last ``span`` rows.
 
-    Differences of running totals in cents: exact, and the work per row does not
-    grow with the span. The columns must not be NULL.
+    Sums are DECIMAL over a bounded frame: exact, and without an end in the number of rows before. The frames
+    run over rows of days or months. The columns must not be NULL.
     """
-    ordered = Window.partitionBy(*keys).orderBy(order)
-    running = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    totals = {f"_run_{c}": F.sum((F.col(c) * 100).cast("long")).over(running) for c in columns}
-    df = df.withColumns({"_n": F.row_number().over(ordered), **totals})
     means = {}
     for span in spans:
+        frame = last_rows(keys, [order], span - 1)
         for c in columns:
-            run = F.col(f"_run_{c}")
-            window_total = run - F.coalesce(F.lag(run, span).over(ordered), F.lit(0))
-            means[f"{c}_{span}{unit}_avg"] = window_total.cast("double") / 100 / F.least(F.col("_n"), F.lit(span))
-    return df.withColumns(means).drop("_n", *totals)
+            means[f"{c}_{span}{unit}_avg"] = F.sum(c).over(frame).cast("double") / F.count(F.lit(1)).over(frame)
+    return df.withColumns(means)
 
 
 def last_rows(keys: list[str], order: list[str], preceding: int) -> WindowSpec:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators.exprs import small_side
 from ledgermill.session import settle
 
-PARTITIONS = ("year", "month_num")
+PARTITIONS = ("part_year", "part_month")
 
 
 def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -38,15 +38,15 @@ def append_new(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 
 def with_partitions(df: DataFrame, column: str) -> DataFrame:
-    """Add ``year`` and ``month_num`` of a date, timestamp or ``YYYY-MM`` column."""
+    """Add ``part_year`` and ``part_month`` of a date, timestamp or ``YYYY-MM`` column."""
     clash = [c for c in PARTITIONS if c in df.columns]
     if clash:
         raise ValueError(f"Columns named like partitions: {clash}")
     if df.schema[column].dataType.typeName() == "string":
         return df.withColumns(
-            {"year": F.substring(column, 1, 4).cast("int"), "month_num": F.substring(column, 6, 2).cast("int")}
+            dict(zip(PARTITIONS, (F.substring(column, 1, 4).cast("int"), F.substring(column, 6, 2).cast("int"))))
         )
-    return df.withColumns({"year": F.year(column), "month_num": F.month(column)})
+    return df.withColumns(dict(zip(PARTITIONS, (F.year(column), F.month(column)))))
 
 
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> list[str]:
@@ -148,10 +148,10 @@ class PartitionedMart:
         if not self.exists():
             return source
         stored = self._stored()
-        last = stored.select(*PARTITIONS).filter(F.col("year").isNotNull()).agg(F.max(F.struct(*PARTITIONS)).alias("p")).first()["p"]
+        last = stored.select(*PARTITIONS).filter(F.col(PARTITIONS[0]).isNotNull()).agg(F.max(F.struct(*PARTITIONS)).alias("p")).first()["p"]
         if last is None:
             return source
-        in_last = stored.filter((F.col("year") == last["year"]) & (F.col("month_num") == last["month_num"]))
+        in_last = stored.filter(reduce(lambda a, b: a & b, [F.col(k) == last[k] for k in PARTITIONS]))
         return newer_rows(source, in_last, self.column)
 
 

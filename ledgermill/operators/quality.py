@@ -6,15 +6,26 @@ counted in one pass; uniqueness needs one grouped count per key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill.functions.pii import PII_PATTERNS
 from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, rolling_rows
+from ledgermill.reference_data import local_rows
+from ledgermill.session import settle
+
+KEYS = T.StructType([T.StructField("_i", T.IntegerType()), T.StructField("column", T.StringType())])
+RESULTS = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("table", "check", "column")],
+        *[T.StructField(c, T.LongType()) for c in ("checked", "failed")],
+    ]
+)
 
 CARD_PATTERN = PII_PATTERNS["credit_card"]
 HEX64 = r"^[a-f0-9]{64}$"
@@ -99,22 +110,48 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def unique_failures(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    """Rows that share their key with another row; NULL keys are left out."""
-    present = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key]))
-    sizes = present.groupBy(*key).agg(F.count("*").alias("n"))
-    return sizes.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed"),
-    ).select(
+def unique_failures(df: DataFrame, table: str, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows that share a key with another row, for all keys in one pass; NULL keys are left out."""
+    entries = []
+    for i, key in enumerate(keys):
+        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+        text = F.to_json(F.struct(*key))
+        entries.append(F.when(present, F.struct(F.lit(i).alias("_i"), text.alias("_key"))))
+    rows = df.select(F.inline(F.array_compact(F.array(*entries))))
+    sizes = rows.groupBy("_i", "_key").agg(F.count("*").alias("n")).groupBy("_i")
+    counted = sizes.agg(F.sum("n").alias("checked"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("failed"))
+    listed = local_rows(df.sparkSession, [(i, ",".join(key)) for i, key in enumerate(keys)], KEYS)
+    return listed.join(counted, "_i", "left").select(
         F.lit(table).alias("table"),
         F.lit("unique").alias("check"),
-        F.lit(",".join(key)).alias("column"),
-        "checked",
-        "failed",
+        "column",
+        F.coalesce("checked", F.lit(0)).alias("checked"),
+        F.coalesce("failed", F.lit(0)).alias("failed"),
     )
 
 
+@dataclass(frozen=True)
+class Shape:
+    """What a table's columns should be; ``types`` names accepted types by column."""
+
+    types: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    ordered: Sequence[str] | None = None
+    least: Sequence[str] | None = None
+    rows: tuple[int, int] | None = None
+
+
+def shape_failures(df: DataFrame, table: str, wanted: Shape) -> DataFrame:
+    """Check rows of types (without a decimal's precision), columns and row count."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    found = [("type" if len(t) == 1 else "type_list", c, kinds.get(c) not in t) for c, t in wanted.types.items()]
+    if wanted.ordered is not None:
+        found.append(("columns_ordered", "*", list(df.columns) != list(wanted.ordered)))
+    if wanted.least is not None:
+        found.append(("columns_superset", "*", not set(wanted.least) <= set(df.columns)))
+    rows = local_rows(df.sparkSession, [(table, check, column, 1, int(bad)) for check, column, bad in found], RESULTS)
+    return rows.unionByName(row_count_between(df, table, *wanted.rows)) if wanted.rows else rows
+
+
 def row_count_between(df: DataFrame, table: str, low: int, high: int) -> DataFrame:
     count = F.col("checked")
     return df.agg(F.count("*").alias("checked")).select(
@@ -132,7 +169,9 @@ def run_suite(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     row_wise = [c for c in checks if not c.unique_key]
     if row_wise:
         parts.append(row_failures(df, table, row_wise))
-    parts += [unique_failures(df, table, c.unique_key) for c in checks if c.unique_key]
+    keys = [c.unique_key for c in checks if c.unique_key]
+    if keys:
+        parts.append(unique_failures(df, table, keys))
     return score(reduce(DataFrame.unionByName, parts))
 
 
@@ -147,8 +186,8 @@ def score(results: DataFrame) -> DataFrame:
 
 
 def run_checkpoint(suites: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFrame:
-    """All suites of a checkpoint in one result."""
-    return reduce(DataFrame.unionByName, [run_suite(df, table, checks) for table, df, checks in suites])
+    """All suites of a checkpoint in one result. Each table is stored first and then read by its checks only."""
+    return reduce(DataFrame.unionByName, [run_suite(settle(df, table), table, checks) for table, df, checks in suites])
 
 
 def checkpoint_summary(results: DataFrame) -> DataFrame:

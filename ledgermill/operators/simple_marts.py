@@ -11,6 +11,7 @@ from ledgermill.functions.dates import day
 from ledgermill.operators.exprs import count_if, mean_money, num, rounded_rate, sum_if
 from ledgermill.reference_data import DEFAULT_GROUP_BUDGET, FORECAST_HORIZON_MONTHS, GROUP_BUDGETS
 from ledgermill.schemas import MONEY
+from ledgermill.session import settle
 
 AMOUNT = "amount"
 
@@ -146,9 +147,8 @@ def mart_recurring(simple: DataFrame, as_of: date, least: int = 2) -> DataFrame:
 def daily_z_scores(simple: DataFrame, least: int = 3) -> DataFrame:
     """Expenses with their z-score in the date and category.
 
-    The statistics are aggregated map-side and joined back on (date, category);
-    a window would send a hot category's day to one task, the join is split by
-    AQE when one key is skewed.
+    The statistics are aggregated map-side and stored; Spark knows their size then and broadcasts them, so the
+    expenses stay where they are. Where they are too large for that, the join is on (date, category).
     """
     spent = F.abs(num(AMOUNT))
     expenses = simple.filter(F.col(AMOUNT) < 0).withColumn("date", F.to_date("posted_at"))
@@ -161,6 +161,7 @@ def daily_z_scores(simple: DataFrame, least: int = 3) -> DataFrame:
         )
         .filter(F.col("transaction_count") >= least)
     )
+    stats = settle(stats, "day-stats")
     std, excess = F.col("std_amount"), F.abs(num(AMOUNT)) - F.col("avg_amount")
     return (
         expenses.join(stats, ["date", "category_norm"])
@@ -265,6 +266,7 @@ def anomaly_pop_z(simple: DataFrame, as_of: date, days: int = 30, least: int = 3
         .agg(mean_money(F.abs(AMOUNT)).alias("mean"), F.stddev_pop(spent).alias("std"), F.count("*").alias("n"))
         .filter((F.col("n") >= least) & (F.col("std") > 0))
     )
+    stats = settle(stats, "category-stats")
     z = F.abs((spent - F.col("mean")) / F.col("std"))
     return (
         recent.join(stats, "category_norm")

@@ -385,6 +385,13 @@ def budget_vs_actual(spark, sf_dir):
     return shape(_budget(spark, sf_dir), [f"variance_pct_{s}m_avg" for s in (3, 6, 12)])
 
 
+@query
+def budget_from_table(spark, sf_dir):
+    """The budget mart with targets from a table."""
+    stg = settle(derived.staged(spark, sf_dir), "staged")
+    return shape(budget.budget_vs_actual(stg, settle(budget.targets(stg), "targets")), [f"variance_pct_{s}m_avg" for s in (3, 6, 12)])
+
+
 @query
 def budget_targets(spark, sf_dir):
     return shape(budget.targets(derived.staged(spark, sf_dir)))
@@ -940,7 +947,7 @@ def dq_zero(spark, sf_dir):
 
 @query
 def dq_fk(spark, sf_dir):
-    """Orders to customers holds; line items to well-stocked customers' suppliers does not."""
+    """Orders to customers holds; orders to customers in credit does not."""
     orders, customer = derived.read(spark, sf_dir, "orders"), derived.read(spark, sf_dir, "customer")
     in_credit = customer.filter("c_acctbal >= 0")
     whole = quality.foreign_key(orders, customer, "orders->customer", "o_custkey", "c_custkey")
@@ -967,25 +974,69 @@ def dq_balance_split(spark, sf_dir):
 
 
 @query
-def dq_report(spark, sf_dir):
-    """Raw, staging and mart suites in one result."""
-    stg = derived.staged(spark, sf_dir, with_balance=True)
-    daily = cashflow.cashflow_daily(stg)
+def dq_keys(spark, sf_dir):
+    """Foreign keys of the marts: categories, budget, anomalies and forecasts."""
+    categories = derived.ledger_categories(spark)
+    names = categories.select("name")
+    parents = categories.alias("c").join(categories.select(F.col("category_id").alias("up"), F.col("name").alias("parent")), F.col("parent_id") == F.col("up"), "left")
+    stg = settle(derived.staged(spark, sf_dir), "staged")
+    found = [
+        quality.foreign_key(parents.select("parent"), names, "categories", "parent", "name"),
+        quality.foreign_key(budget.budget_vs_actual(stg), names, "budget", "category_name", "name"),
+        quality.foreign_key(anomalies.anomaly_score(stg), stg, "anomalies", "txn_id", "txn_id"),
+        quality.foreign_key(forecasts.forecast(stg, AS_OF), names, "forecasts", "category_name", "name"),
+    ]
+    return _quality_rows(reduce(DataFrame.unionByName, found))
+
+
+@query
+def dq_schema(spark, sf_dir):
+    """Types, columns and row count of the raw ledger; two of the expectations don't hold."""
+    raw = derived.raw_ledger(spark, sf_dir)
+    wanted = quality.Shape(
+        types={"txn_id": ["string"], "amount": ["decimal", "double"], "posted_at": ["timestamp", "timestamp_ntz"]},
+        ordered=sorted(raw.columns),
+        least=["txn_id", "amount"],
+        rows=(1, 10_000_000),
+    )
+    exact = quality.Shape(types={"amount": ["double"]})
+    return _quality_rows(
+        quality.score(quality.shape_failures(raw, "raw", wanted).unionByName(quality.shape_failures(raw, "raw", exact)))
+    )
+
+
+def _checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw, staging and mart suites in one result; every table is computed and stored once."""
+    raw = settle(_raw_with_balance(spark, sf_dir), "raw")
+    fx = derived.fx_rates(spark, sf_dir)
+    stg = settle(staging.stage(raw, fx, derived.ledger_categories(spark), derived.LEDGER_RULES), "staged")
+    daily = settle(cashflow.cashflow_daily(stg), "daily")
     marts = {
         "cashflow_daily": daily,
         "cashflow_monthly": cashflow.cashflow_monthly(daily),
-        "net_worth": networth.net_worth(stg, derived.fx_rates(spark, sf_dir)),
+        "net_worth": networth.net_worth(stg, fx),
         "budget_vs_actual": budget.budget_vs_actual(stg),
         "anomalies": anomalies.anomaly_score(stg),
         "forecasts": forecasts.forecast(stg, AS_OF),
         "recurring": _recurring(spark, sf_dir),
     }
     suites = [
-        ("raw", _raw_with_balance(spark, sf_dir), quality.raw_suite()),
+        ("raw", raw, quality.raw_suite()),
         ("staging", stg, quality.staging_suite()),
         *[(name, marts[name], checks) for name, checks in quality.mart_suites().items()],
     ]
-    return _quality_rows(quality.run_checkpoint(suites))
+    return quality.run_checkpoint(suites)
+
+
+@query
+def dq_report(spark, sf_dir):
+    return _quality_rows(_checkpoint(spark, sf_dir))
+
+
+@query
+def dq_summary(spark, sf_dir):
+    """Passed and total checks of every table of the checkpoint."""
+    return shape(quality.checkpoint_summary(_checkpoint(spark, sf_dir)), ["quality_score"])
 
 
 # --- privacy, audit, metrics ------------------------------------------------

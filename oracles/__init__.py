@@ -9,6 +9,7 @@ ORACLES |= {
     "running_balance_split": ORACLES["running_balance"],
     "anomaly_score_split": ORACLES["anomaly_score"],
     "dq_balance_split": ORACLES["dq_balance"],
+    "budget_from_table": ORACLES["budget_vs_actual"],
     "export_report": ORACLES["cashflow_by_month"],
 }
 

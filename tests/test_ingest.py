@@ -221,16 +221,16 @@ def test_partitioned_mart(spark, folder):
     mart = materialize.PartitionedMart(spark, f"{folder}/m", "date")
     assert mart.newer(batch([("2024-01-05", 1)])).count() == 1
     mart.upsert(batch([("2024-01-05", 1), ("2024-01-06", 2), ("2024-02-01", 3), (None, 9)]), ["date"])
-    january = {f: t for f, t in files().items() if "month_num=1" in f}
+    january = {f: t for f, t in files().items() if "part_month=1/" in f}
     for _ in range(2):
         mart.upsert(batch([("2024-02-01", 30, "x"), ("2024-03-01", 4, "y"), (None, 90, None)], "date date, n int, extra string"), ["date"])
-        assert {f: t for f, t in files().items() if "month_num=1" in f} == january
+        assert {f: t for f, t in files().items() if "part_month=1/" in f} == january
         got = sorted(((str(r.date), r.n, r.extra) for r in mart.read().collect()))
         assert got == [("2024-01-05", 1, None), ("2024-01-06", 2, None), ("2024-02-01", 30, "x"), ("2024-03-01", 4, "y"), ("None", 90, None)]
     newer = mart.newer(batch([("2024-03-01", 5), ("2024-03-02", 6), ("2024-01-31", 7)]))
     assert [r.n for r in newer.collect()] == [6]
-    with pytest.raises(ValueError, match="year"):
-        materialize.with_partitions(batch([("2024-01-05", 1)]).withColumn("year", F.lit(1)), "date")
+    with pytest.raises(ValueError, match="part_year"):
+        materialize.with_partitions(batch([("2024-01-05", 1)]).withColumn("part_year", F.lit(1)), "date")
 
 
 def test_exports_keep_their_columns(spark, folder):

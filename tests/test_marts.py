@@ -305,15 +305,27 @@ def test_upsert_is_idempotent_and_adds_columns(spark):
 def test_versioned_table(spark, folder):
     table = VersionedTable(spark, f"{folder}/mart")
     assert not table.exists()
-    table.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), ["k"])
-    table.upsert(spark.createDataFrame([(2, "c")], "k int, v string"), ["k"])
+    table.replace(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
+    table.replace(upsert(table.read(), spark.createDataFrame([(2, "c")], "k int, v string"), ["k"]))
     assert rows_of(table.read(), "k", "v") == [(1, "a"), (2, "c")]
     (open(f"{folder}/mart/v00000002/_SUCCESS").close())
     import os
 
     os.makedirs(f"{folder}/mart/v00000003")  # a job that died half-way
     assert rows_of(table.read(), "k", "v") == [(1, "a"), (2, "c")]
-    assert table.upsert(spark.createDataFrame([(3, "d")], "k int, v string"), ["k"]) == 4
+    assert table.replace(spark.createDataFrame([(3, "d")], "k int, v string")) == 4
+
+
+def test_rolling_means_have_no_end(spark):
+    """Levels of 9e15 a day over many days: sums beyond a LONG of cents."""
+    from ledgermill.operators.exprs import rolling_means
+
+    days = spark.range(200).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+        F.lit("9000000000000000.25").cast("decimal(18,2)").alias("x"),
+    )
+    rows = rolling_means(days, [], "date", ["x"], [7, 90], "d").collect()
+    assert {r["x_7d_avg"] for r in rows} == {9000000000000000.25} == {r["x_90d_avg"] for r in rows}
 
 
 def test_high_watermark(spark):
@@ -326,11 +338,11 @@ def test_high_watermark(spark):
 def test_export_layouts(spark, small, folder):
     simple = staging.simple_view(derived.staged(spark, small))
     monthly = simple_marts.mart_cashflow_monthly(simple)
-    assert export_parquet(monthly, f"{folder}/m") == ["year", "month_num"]
+    assert export_parquet(monthly, f"{folder}/m") == ["part_year", "part_month"]
     pairs = simple_marts.mart_recurring(simple, date(2001, 8, 2)).drop("month")
     assert export_parquet(pairs, f"{folder}/r") == []
     register_views(spark, {"stored_monthly": f"{folder}/m"})
-    back = spark.sql("SELECT COUNT(*) AS n, MAX(month_num) AS m FROM stored_monthly WHERE year = 2000").first()
+    back = spark.sql("SELECT COUNT(*) AS n, MAX(part_month) AS m FROM stored_monthly WHERE part_year = 2000").first()
     assert (back["n"], back["m"]) == (12, 12)
 
 
