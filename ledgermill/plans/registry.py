@@ -42,9 +42,6 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF = derived.LEDGER_AS_OF
 PERIOD = "2001-06"
-# Added before rounding: means of cents often end in exactly 5 at the cut, where
-# the last bit of a double would decide. The shift moves all of them to one side.
-TIE_SHIFT = 1.3e-7
 
 
 def query(fn: Query) -> Query:
@@ -52,14 +49,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def shape(df: DataFrame, rounded: Sequence[str] = ()) -> DataFrame:
+def shape(df: DataFrame, rounded: Sequence[str] = (), places: int = 4) -> DataFrame:
     out: list[Column] = []
     for field in df.schema.fields:
         c = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
             c = c.cast("double")
         if field.name in rounded:
-            c = F.round(c + F.lit(TIE_SHIFT), 4)
+            # half up by plain arithmetic, which every engine does alike
+            c = F.floor(c * 10**places + 0.5) / 10**places
         out.append(c.alias(field.name))
     return df.select(*out)
 
@@ -444,17 +442,18 @@ def anomaly_score_events(spark, sf_dir):
     return shape(rows.drop("acknowledged_at", "acknowledged_by"), SCORES)
 
 
+# Fences of cents have up to five decimals.
 FENCES = ["q1", "q3", "lower_fence", "upper_fence"]
 
 
 @query
 def category_fences(spark, sf_dir):
-    return shape(anomalies.category_fences(derived.staged(spark, sf_dir)), FENCES)
+    return shape(anomalies.category_fences(derived.staged(spark, sf_dir)), FENCES, 6)
 
 
 @query
 def anomaly_iqr(spark, sf_dir):
-    return shape(anomalies.anomaly_iqr(derived.event_spend(spark, sf_dir)), FENCES)
+    return shape(anomalies.anomaly_iqr(derived.event_spend(spark, sf_dir)), FENCES, 6)
 
 
 FORECAST_STATS = ["forecast_amount", "lower_bound", "upper_bound", "confidence_level", "volatility"]

@@ -10,9 +10,9 @@ def d(expr: str, name: str | None = None) -> str:
     return f"CAST({expr} AS DOUBLE) AS {name or expr}"
 
 
-def r(expr: str, name: str | None = None) -> str:
-    """Rounded like the shaped query: shifted off exact ties, and without negative zero."""
-    return f"ROUND(CAST({expr} AS DOUBLE) + 1.3e-7, 4) + 0.0 AS {name or expr}"
+def r(expr: str, name: str | None = None, places: int = 4) -> str:
+    """Rounded half up by the same arithmetic as the shaped query."""
+    return f"FLOOR(CAST({expr} AS DOUBLE) * {10**places} + 0.5::DOUBLE) / {10**places} + 0.0 AS {name or expr}"
 
 
 def big(expr: str, name: str | None = None) -> str:
