@@ -161,7 +161,7 @@ def linked(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``k_id, k_th, doc_id, fp, component_id`` of every row.
+    """``k_id, k_th, doc_id, fp, root, component_id`` of every row; ``root`` is a fingerprint that names the component.
 
     Texts are joined at three or fewer differing bits, and so on from text to text; ``component_id`` is the smallest id
     reachable (NULL where no member has an id). NULL, empty and blank texts have fingerprint zero and
@@ -173,16 +173,16 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = linked(nodes.select("fp"))
     member = roots.join(nodes, F.col("node") == F.col("fp")).select("fp", "root", "least")
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    joined = member.join(smallest, "root").select("fp", "component_id")
+    joined = member.join(smallest, "root").select("fp", "root", "component_id")
     owner = nodes.join(joined, "fp", "left").select(
-        "fp", F.when(F.col("component_id").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
     )
-    return rows.join(owner, "fp").select("k_id", "k_th", "doc_id", "fp", "component_id")
+    return rows.join(owner, "fp").select("k_id", "k_th", "doc_id", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, the one with the smallest id (then the smallest text hash)."""
+    """One row of each component, the one with the smallest id (then the smallest text hash); NULL ids come first."""
     found = simhash_components(docs, id_col, text_col)
-    first = found.groupBy("component_id").agg(F.min(F.struct("k_id", "k_th")).alias("k")).select("k.k_id", "k.k_th")
+    first = found.groupBy("root").agg(F.min(F.struct("k_id", "k_th")).alias("k")).select("k.k_id", "k.k_th")
     kept = packed(docs, id_col, text_col).join(first, ["k_id", "k_th"], "left_semi")
     return unpacked(kept.groupBy("k_id", "k_th").agg(F.first("row").alias("row")))

@@ -68,6 +68,11 @@ def test_empty_and_clashing(spark, docs_of):
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
 
 
+def test_texts_without_ids_keep_one_of_each(docs_of):
+    docs = docs_of([(None, "one text of its own here"), (None, "quite another text stands there"), (None, "quite another text stands there"), (5, "third kind of words")])
+    assert sorted(r.text[:5] for r in simhash.drop_near_duplicates(docs).collect()) == ["one t", "quite", "third"]
+
+
 def test_grid_never_misses():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2**63, 4000, dtype=np.uint64)
