@@ -70,6 +70,11 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cashflow.cashflow_daily(derived.staged(spark, sf_dir, with_balance=True))
 
 
+def _stored(spark: SparkSession, sf_dir: str, with_balance: bool = True) -> DataFrame:
+    """The staged ledger as a table, for queries that read it more than once."""
+    return settle(derived.staged(spark, sf_dir, with_balance=with_balance), "staged")
+
+
 def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cashflow.cashflow_monthly(_daily(spark, sf_dir))
 
@@ -661,20 +666,25 @@ def net_worth_trend(spark, sf_dir):
 
 @query
 def savings_drivers(spark, sf_dir):
-    rows = reports.savings_drivers(_monthly(spark, sf_dir), _budget(spark, sf_dir), PERIOD)
+    stg = _stored(spark, sf_dir)
+    monthly = cashflow.cashflow_monthly(cashflow.cashflow_daily(stg))
+    rows = reports.savings_drivers(monthly, budget.budget_vs_actual(stg), PERIOD)
     return shape(rows, ["impact_pct", "variance_pct"])
 
 
 @query
 def explain_savings(spark, sf_dir):
-    rows = reports.explain_savings(_monthly(spark, sf_dir), _budget(spark, sf_dir), PERIOD)
+    stg = _stored(spark, sf_dir)
+    monthly = cashflow.cashflow_monthly(cashflow.cashflow_daily(stg))
+    rows = reports.explain_savings(monthly, budget.budget_vs_actual(stg), PERIOD)
     return shape(rows, ["savings_rate", "total_savings"])
 
 
 @query
 def platform_summary(spark, sf_dir):
     raw = derived.raw_ledger(spark, sf_dir)
-    return reports.platform_summary(raw, _anomalies(spark, sf_dir), _forecast(spark, sf_dir), AS_OF)
+    stg = _stored(spark, sf_dir, with_balance=False)
+    return reports.platform_summary(raw, anomalies.anomaly_score(stg), forecasts.forecast(stg, AS_OF), AS_OF)
 
 
 @query
