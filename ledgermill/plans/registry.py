@@ -987,7 +987,8 @@ def dq_keys(spark, sf_dir):
     """Foreign keys of the marts: categories, budget, anomalies and forecasts."""
     categories = derived.ledger_categories(spark)
     names = categories.select("name")
-    parents = categories.alias("c").join(categories.select(F.col("category_id").alias("up"), F.col("name").alias("parent")), F.col("parent_id") == F.col("up"), "left")
+    above = categories.select(F.col("category_id").alias("up"), F.col("name").alias("parent"))
+    parents = categories.join(above, F.col("parent_id") == F.col("up"), "left")
     stg = settle(derived.staged(spark, sf_dir), "staged")
     found = [
         quality.foreign_key(parents.select("parent"), names, "categories", "parent", "name"),
