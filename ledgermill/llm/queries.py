@@ -66,6 +66,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_neighbours, op2_token_counts, op3_wavelet_shards, op4_line_dedup, op5_decontaminate, op6_passages, op7_personal_data, op8_simhash, op9_mix, op10_language_id)}
-
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": linededup.SQL, "op5_decontaminate": decontaminate.SQL, "op9_mix": mix.SQL}
+_ALL = (
+    op1_neighbours,
+    op2_token_counts,
+    op3_wavelet_shards,
+    op4_line_dedup,
+    op5_decontaminate,
+    op6_passages,
+    op7_personal_data,
+    op8_simhash,
+    op9_mix,
+    op10_language_id,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": linededup.SQL,
+    "op5_decontaminate": decontaminate.SQL,
+    "op9_mix": mix.SQL,
+}

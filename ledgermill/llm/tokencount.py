@@ -25,7 +25,7 @@ from ledgermill.llm.textops import chunks, distinct_words
 MARK = "▁"
 SCALE = 1 << 20
 BYTE_RANK = 1_000_000
-MAX_NODES = 700_000
+MAX_NODES = 250_000
 
 
 def load_pieces(path: str) -> dict[str, int]:
@@ -33,8 +33,8 @@ def load_pieces(path: str) -> dict[str, int]:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    names = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-    return scored(names)
+    special = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
+    return scored([model.id_to_piece(i) for i in range(model.get_piece_size()) if not any(test(i) for test in special)])
 
 
 def scored(names: list[str]) -> dict[str, int]:
