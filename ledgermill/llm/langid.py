@@ -27,7 +27,7 @@ MAX_WORDS = 20_000
 MAX_GRAMS = 10_000
 LONGEST = 5
 SMOOTHING = 0.5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 
@@ -52,15 +52,40 @@ class Model:
     tables: list[dict[str, int]]
     values: list[np.ndarray]
 
-    def word(self, word: str) -> np.ndarray:
+    def found(self, word: str) -> tuple[int, list[int]]:
+        """Which table tells about a word (-1: none), and the rows of it."""
         known = self.tables[0].get(word)
         if known is not None:
-            return self.values[0][known]
+            return 0, [known]
         for size in range(min(LONGEST, len(word) + 2), 0, -1):
-            found = [v for g in grams(word, size) if (v := self.tables[size].get(g)) is not None]
-            if found:
-                return self.values[size][found].mean(axis=0)
-        return np.zeros(len(self.languages))
+            table = self.tables[size]
+            rows = [table[g] for g in grams(word, size) if g in table]
+            if rows:
+                return size, rows
+        return -1, []
+
+    def scores(self, pieces: list[str]) -> np.ndarray:
+        """One row per piece: score of each language, summed over its words, then the number of its words.
+
+        A known word scores its log frequency, another the mean of its longest known n-grams.
+        """
+        out = np.zeros((len(pieces), len(self.languages) + 1))
+        told: list[tuple[list[int], list[int], list[int]]] = [([], [], []) for _ in self.tables]
+        for k, piece in enumerate(pieces):
+            for word in letter_words(piece):
+                out[k, -1] += 1
+                size, rows = self.found(word)
+                if size >= 0:
+                    owners, starts, flat = told[size]
+                    owners.append(k)
+                    starts.append(len(flat))
+                    flat += rows
+        for values, (owners, starts, flat) in zip(self.values, told):
+            if owners:
+                total = np.add.reduceat(values[flat], starts, axis=0)
+                count = np.diff([*starts, len(flat)])
+                np.add.at(out[:, :-1], owners, total / count[:, None])
+        return out
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,34 +138,23 @@ def learn(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample_row
 
 
 class WordScores:
-    """Scores of whitespace-separated pieces, kept from batch to batch and started anew at ``CACHE_WORDS``."""
+    """Scores of white-space separated pieces; the first ``CACHE_WORDS`` pieces are kept from batch to batch."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.model.languages) + 1))
+        self.rows = np.zeros((0, len(model.languages) + 1))
 
     def lookup(self, pieces: list[str]) -> np.ndarray:
-        """One row per piece: score of each language, then the number of words with letters."""
-        if len(self.place) + len(pieces) > CACHE_WORDS:
-            self.clear()
-        spots = np.empty(len(pieces), np.int64)
-        for k, piece in enumerate(pieces):
-            spot = self.place.get(piece)
-            if spot is None:
-                spot = self.place[piece] = len(self.place)
-                if spot >= len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                words = letter_words(piece)
-                self.rows[spot] = 0
-                if words:
-                    self.rows[spot, :-1] = sum(self.model.word(w) for w in words)
-                    self.rows[spot, -1] = len(words)
-            spots[k] = spot
-        return self.rows[spots]
+        new = [p for p in pieces if p not in self.place]
+        spot = {p: len(self.place) + i for i, p in enumerate(new)}
+        spots = [s if (s := self.place.get(p)) is not None else spot[p] for p in pieces]
+        rows = np.concatenate([self.rows, self.model.scores(new)])
+        room = CACHE_WORDS - len(self.place)
+        if room > 0 and new:
+            self.place.update(zip(new[:room], range(len(self.place), len(self.place) + room)))
+            self.rows = rows[: len(self.place)].copy()
+        return rows[spots]
 
 
 def decide(scores: np.ndarray, words: np.ndarray, languages: list[str]) -> tuple[list[str], np.ndarray]:
@@ -153,8 +167,20 @@ def decide(scores: np.ndarray, words: np.ndarray, languages: list[str]) -> tuple
     return [languages[b] if n else UNKNOWN for b, n in zip(best, words)], np.where(words > 0, top, 0.0)
 
 
-def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] = ()) -> DataFrame:
-    """``doc_id, lang_pred, score`` (after the columns of ``carry``) of every row.
+def judged(known: WordScores, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    codes, words, before = distinct_words(texts)
+    rows = known.lookup(words.to_pylist())
+    total = np.zeros((len(texts), rows.shape[1]))
+    full = np.flatnonzero(np.diff(before))
+    if len(full):
+        for c in range(rows.shape[1]):
+            total[full, c] = np.add.reduceat(rows[codes, c], before[full])
+    return decide(total[:, :-1], total[:, -1], known.model.languages)
+
+
+def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` of every row.
 
     ``und`` with score 0 where the text is NULL or has no letter, or nothing was learned. Equal scores go to the
     first language by code point.
@@ -164,22 +190,12 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         known = WordScores(model)
         for batch in batches:
             for part in chunks(batch, "text"):
-                codes, words, before = distinct_words(part.column("text"))
-                rows = known.lookup(words.to_pylist())
-                total = np.zeros((part.num_rows, rows.shape[1]))
-                full = np.flatnonzero(np.diff(before))
-                if len(full):
-                    for c in range(rows.shape[1]):
-                        total[full, c] = np.add.reduceat(rows[codes, c], before[full])
-                names, score = decide(total[:, :-1], total[:, -1], model.languages)
-                rest = [part.column(i) for i in range(part.num_columns) if part.schema.names[i] != "text"]
-                names_left = [n for n in part.schema.names if n != "text"]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.string()), pa.array(score)], [*names_left, "lang_pred", "score"])
-
-    slim = docs.select(*carry, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    fields = [f for f in slim.schema.fields if f.name != "text"]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
-    return slim.mapInArrow(run, schema)
+                names, score = judged(known, part.column("text"))
+                columns = [part.column("doc_id"), part.column("held_out"), pa.array(names, pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
+
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+    return slim.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -187,20 +203,25 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: list[Column] = ()) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row, learned from rows that are not held out.
 
     Repeated rows each get a row. NULL texts and languages are left out of learning; an empty table gives
     no row. Only the three named columns are read.
     """
-    apart = held_out(id_col)
-    model = learn(docs.where(~apart), id_col, text_col, lang_col)
-    return classify(docs, model, id_col, text_col, [*carry, apart.alias("held_out")])
+    return classify(docs, learn(docs.where(~held_out(id_col)), id_col, text_col, lang_col), id_col, text_col)
 
 
 def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs``, unchanged, whose language is identified with a score of ``MIN_SCORE`` or more."""
     model = learn(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = classify(docs, model, id_col, text_col, [whole])
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordScores(model)
+        for batch in batches:
+            for part in chunks(batch, text_col):
+                names, score = judged(known, part.column(text_col))
+                kept = [n != UNKNOWN and s >= MIN_SCORE for n, s in zip(names, score)]
+                yield part.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

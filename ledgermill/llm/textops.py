@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 # The five primes of XXH64.
 P1 = np.uint64(0x9E3779B185EBCA87)

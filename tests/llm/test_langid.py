@@ -18,12 +18,14 @@ def test_words_first_then_grams(docs_of):
     docs = docs_of([(1, "the cat sat on the mat", "en"), (3, "die katze sitzt auf der matte", "de"), (4, None, "fr"), (5, "x", None)])
     model = langid.learn(docs, "doc_id", "text", "lang")
     assert model.languages == ["de", "en"]
-    assert (model.word("the") == model.values[0][model.tables[0]["the"]]).all() and model.word("the").argmax() == 1
-    unseen = model.word("katzen")
-    first = next(s for s in range(langid.LONGEST, 0, -1) if any(g in model.tables[s] for g in langid.grams("katzen", s)))
-    found = [model.values[first][model.tables[first][g]] for g in langid.grams("katzen", first) if g in model.tables[first]]
-    assert abs(unseen - sum(found) / len(found)).max() < 1e-12 and unseen.argmax() == 0
-    assert (model.word("ж") == 0).all()
+    assert model.found("the") == (0, [model.tables[0]["the"]]) and model.found("ж") == (-1, [])
+    size, rows = model.found("katzen")
+    longest = next(s for s in range(langid.LONGEST, 0, -1) if any(g in model.tables[s] for g in langid.grams("katzen", s)))
+    assert size == longest and rows == [model.tables[size][g] for g in langid.grams("katzen", size) if g in model.tables[size]]
+    the, both, none = model.scores(["the", "Katzen-THE", "12 ж"])
+    assert the.tolist() == [*model.values[0][model.tables[0]["the"]], 1] and the[:2].argmax() == 1
+    assert abs(both - [*(model.values[size][rows].mean(axis=0) + the[:2]), 2]).max() < 1e-12
+    assert none.tolist() == [0, 0, 1]
 
 
 def test_odd_rows(docs_of):
@@ -42,11 +44,11 @@ def test_nothing_to_learn(docs_of):
     assert [r.lang_pred for r in langid.identify(docs_of([(1, "text", None)])).collect()] == ["und"]
 
 
-def test_cache_starts_anew(monkeypatch, docs_of):
+def test_pieces_beyond_the_cache(monkeypatch, docs_of):
     docs = docs_of([(i, f"word{'abcdefghij'[i % 10]} the le {i}", "en" if i % 2 else "fr") for i in range(60)])
-    want = sorted(langid.identify(docs).collect())
-    scores = langid.WordScores(langid.learn(docs, "doc_id", "text", "lang"))
+    model = langid.learn(docs, "doc_id", "text", "lang")
     monkeypatch.setattr(langid, "CACHE_WORDS", 5)
-    first = scores.lookup(["the", "le", "worda"]).copy()
-    scores.lookup(["wordb", "wordc", "wordd"])
-    assert (scores.lookup(["the", "le", "worda"]) == first).all() and len(want) == 60
+    scores = langid.WordScores(model)
+    for pieces in (["the", "le", "worda"], ["wordb", "the", "wordc", "wordd"], ["worde", "wordb", "le"], ["the"]):
+        assert (scores.lookup(pieces) == model.scores(pieces)).all()
+    assert len(scores.place) == 5
