@@ -10,6 +10,7 @@ on whatever store the cluster shares.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,11 @@ from ledgermill.session import run_dir
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 22
 END_ID = 1
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
+CHUNK = 8 << 20  # larger chunks have fewer distinct words in all
+TOGETHER = 2000
+WORD_END = "</w>"
+PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?;:]?")  # letters that stay one letter each in lower case
 HEAD = struct.Struct("<4sBQI")
 
 
@@ -175,7 +180,7 @@ def unpack(image: bytes) -> Shard:
 
 
 class WordIds:
-    """Ids of white-space separated words, kept from batch to batch and started anew at ``CACHE_WORDS``.
+    """Ids of white-space separated words; the first ``CACHE_WORDS`` words are kept from batch to batch.
 
     The tokenizer drops white space and normalises nothing across it, so a text's ids are those of its words.
     """
@@ -186,48 +191,73 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.bits = max(self.tokenizer.get_vocab_size() - 1, END_ID).bit_length()
-        self.clear()
-
-    def clear(self) -> None:
+        vocabulary = self.tokenizer.get_vocab()
+        self.bits = max(len(vocabulary) - 1, *vocabulary.values(), END_ID).bit_length()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.place: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.flat = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
 
-    def _add(self, words: list[str]) -> None:
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        ids = np.fromiter((i for x in found for i in x), np.uint32)
-        first = len(self.place)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while first + len(words) + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.ends[first + 1 : first + 1 + len(words)] = self.used + np.cumsum([len(x) for x in found])
-        self.used += len(ids)
-        self.place.update(zip(words, range(first, first + len(words))))
+        return np.fromiter((i for x in found for i in x), np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Plain words as one text, which is several times faster; each of their pieces closes with one marked token."""
+        texts = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        pieces = np.cumsum([1 + (not w[-1].isalpha()) for w in words])
+        if len(ends) != pieces[-1] or ends[-1] != len(ids):
+            return self._apart(words)
+        return ids, np.diff(ends[pieces - 1], prepend=0)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has."""
+        plain = np.array([PLAIN_WORD.fullmatch(w) is not None for w in words])
+        parts = [(keep, make([w for w, k in zip(words, keep) if k])) for keep, make in ((plain, self._together), (~plain, self._apart)) if keep.any()]
+        counts = np.zeros(len(words), np.int64)
+        for keep, (_, n) in parts:
+            counts[keep] = n
+        flat = np.empty(int(counts.sum()), np.uint32)
+        at = np.cumsum(counts) - counts
+        for keep, (ids, n) in parts:
+            flat[spread(at[keep], n)] = ids
+        return flat, counts
+
+    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of kept and new words end to end, their ends, and the spot of each word."""
+        new = [w for w in words if w not in self.place]
+        spot = {w: len(self.place) + i for i, w in enumerate(new)}
+        spots = np.fromiter((s if (s := self.place.get(w)) is not None else spot[w] for w in words), np.int64, len(words))
+        if not new:
+            return self.flat, self.ends, spots
+        ids, counts = self._encoded(new)
+        flat = np.concatenate([self.flat, ids])
+        ends = np.concatenate([self.ends, len(self.flat) + np.cumsum(counts)])
+        room = CACHE_WORDS - len(self.place)
+        if room > 0:
+            self.place.update(zip(new[:room], range(len(self.place), len(self.place) + room)))
+            self.ends = ends[: len(self.place) + 1].copy()
+            self.flat = flat[: self.ends[-1]].copy()
+        return flat, ends, spots
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
         codes, distinct, before = distinct_words(texts)
-        words = distinct.to_pylist()
-        if len(self.place) + len(words) > CACHE_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self.place]
-        if new:
-            self._add(new)
-        spot = np.fromiter((self.place[w] for w in words), np.int64, len(words))[codes]
-        starts, lengths = self.ends[spot], self.ends[spot + 1] - self.ends[spot]
+        flat, ends, spots = self._looked_up(distinct.to_pylist())
+        spot = spots[codes]
+        starts, lengths = ends[spot], ends[spot + 1] - ends[spot]
         total = np.r_[0, np.cumsum(lengths)]
-        return self.flat[spread(starts, lengths)], np.diff(total[before])
+        return flat[spread(starts, lengths)], np.diff(total[before])
 
 
 _WORDS: dict[str, WordIds] = {}
 
 
 def _known(path: str) -> WordIds:
-    """One cache for all tasks of a worker."""
+    """One cache, bounded by ``CACHE_WORDS``, for all tasks of a worker."""
     if path not in _WORDS:
         _WORDS[path] = WordIds(path)
     return _WORDS[path]
@@ -257,7 +287,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
         total = 0
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK):
                 flat, counts = words.encode(part.column("text"))
                 ends = np.cumsum(counts)
                 with_end = np.insert(flat, ends, END_ID).astype(np.uint16 if words.bits <= 16 else np.uint32)

@@ -43,6 +43,14 @@ def test_words_encode_like_the_text(words, parts):
     assert counts.tolist() == [len(ids)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.from_regex(wavelet.PLAIN_WORD, fullmatch=True), min_size=1, max_size=20))
+def test_plain_words_together(words, parts):
+    ids, counts = words._together(parts)
+    apart, sizes = words._apart(parts)
+    assert ids.tolist() == apart.tolist() and counts.tolist() == sizes.tolist()
+
+
 def brute(words, rows):
     out, start = [], 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
@@ -72,7 +80,9 @@ def test_empty(docs_of):
     assert wavelet.encoded(docs_of([])).count() == 0
 
 
-def test_cache_starts_anew(words, monkeypatch):
+def test_words_beyond_the_cache(monkeypatch):
     monkeypatch.setattr(wavelet, "CACHE_WORDS", 3)
-    for text in ("a b c", "d e f", "a e"):
+    words = wavelet.WordIds(wavelet.tokenizer_path())
+    for text in ("a bcdef", "a c that's e f", "that's c a b g", "a", "e f that's"):
         assert words.encode(pa.array([text]))[0].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(words.place) == 3
