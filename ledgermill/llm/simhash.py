@@ -177,7 +177,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     owner = nodes.join(joined, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
     )
-    return rows.join(owner, "fp").select("k_id", "k_th", "doc_id", "fp", "root", "component_id")
+    # a table of its own, so that Spark can split a fingerprint that many rows share
+    return rows.join(settle(owner, "components"), "fp").select("k_id", "k_th", "doc_id", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
