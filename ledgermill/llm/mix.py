@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
 KEY_BITS = 60
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
