@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, passages, pii, simhash, tokencount, wavelet
+from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, passages, periodic, pii, simhash, spelling, tokencount, wavelet
 from ledgermill.llm.keys import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of the words of all documents."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), every=31)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which end in a planted one."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 _ALL = (
     op1_neighbours,
     op2_token_counts,
@@ -77,6 +87,8 @@ _ALL = (
     op8_simhash,
     op9_mix,
     op10_language_id,
+    op11_spelling,
+    op13_periodic_runs,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 
