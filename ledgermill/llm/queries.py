@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, passages, periodic, pii, simhash, spelling, tokencount, wavelet
+from ledgermill.llm import decontaminate, langid, linededup, mix, neighbours, passages, periodic, pii, sharding, simhash, spelling, tokencount, wavelet
 from ledgermill.llm.keys import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), every=31)
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes, equal texts together."""
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in all documents, a tenth of which end in a planted one."""
     return periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
@@ -88,6 +93,7 @@ _ALL = (
     op9_mix,
     op10_language_id,
     op11_spelling,
+    op12_sharding,
     op13_periodic_runs,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
