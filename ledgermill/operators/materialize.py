@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import small_side
 from ledgermill.session import settle
 
 PARTITIONS = ("part_year", "part_month")
+ROWS_PER_MONTH = 100_000
+ASIDE = "-aside"
+INDEX = "_keys"  # Spark passes over names with an underscore when it lists the mart
+INDEX_BUCKETS = 64
 
 
 def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -34,7 +38,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 def append_new(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Source rows whose key the target does not have, each key once."""
     known = target.select(F.col(key).alias("_known"))
-    return source.dropDuplicates([key]).join(known, F.col(key) == F.col("_known"), "left_anti")
+    return source.dropDuplicates([key]).join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
 
 
 def with_partitions(df: DataFrame, column: str) -> DataFrame:
@@ -49,13 +53,23 @@ def with_partitions(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns(dict(zip(PARTITIONS, (F.year(column), F.month(column)))))
 
 
+def partition_column(df: DataFrame) -> str | None:
+    """The column that tells a mart's year and month: a date, or ``month`` as ``YYYY-MM`` or date; None without one."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    calendar = ("date", "timestamp", "timestamp_ntz")
+    for name, allowed in (("date", calendar), ("month", (*calendar, "string")), ("transaction_date", calendar)):
+        if kinds.get(name) in allowed:
+            return name
+    return None
+
+
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> list[str]:
-    """Write a mart partitioned by year and month, by its ``date`` or ``month`` column, all its columns untouched.
+    """Write a mart partitioned by year and month of its ``partition_column``, all its columns untouched.
 
     The rebalance hint lets AQE write few files per partition and still split a
     partition that is much larger than the others.
     """
-    column = next((c for c in ("date", "month") if c in df.columns), None)
+    column = partition_column(df)
     if column is None:
         df.write.mode(mode).parquet(path)
         return []
@@ -64,13 +78,56 @@ def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> list[st
     return list(PARTITIONS)
 
 
-def export_marts(marts: Mapping[str, DataFrame], base: str) -> dict[str, str]:
+def export_mart(df: DataFrame, path: str, least_rows: int = ROWS_PER_MONTH) -> list[str]:
+    """Write a mart as it is; one with ``least_rows`` rows a month or more is then dealt out by year and month.
+
+    A folder and a file for each month of a small mart cost more at every reading than they save. Rows and months
+    are counted while the mart is written, so nothing is computed twice; a large mart is read once more from its files.
+    """
+    column = partition_column(df)
+    if column is None:
+        return export_parquet(df, path)
+    keyed = with_partitions(df, column)
+    seen = Observation()
+    month = F.col(PARTITIONS[0]) * 12 + F.col(PARTITIONS[1])
+    counted = keyed.observe(seen, F.count("*").alias("rows"), F.min(month).alias("first"), F.max(month).alias("last"))
+    aside = f"{path}{ASIDE}"
+    counted.drop(*PARTITIONS).hint("rebalance").write.mode("overwrite").parquet(aside)
+    found = seen.get
+    months = found["last"] - found["first"] + 1 if found["last"] is not None else 1
+    if found["rows"] >= least_rows * months:
+        return export_parquet(df.sparkSession.read.parquet(aside), path)
+    _move(df.sparkSession, aside, path)
+    return []
+
+
+def export_marts(marts: Mapping[str, DataFrame], base: str, least_rows: int = ROWS_PER_MONTH) -> dict[str, str]:
     """Export every mart below ``base``; their folders by name."""
     for name, df in marts.items():
-        export_parquet(df, f"{base}/{name}")
+        export_mart(df, f"{base}/{name}", least_rows)
     return {name: f"{base}/{name}" for name in marts}
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another."""
+    fs, new = _file_system(spark, source)
+    _, old = _file_system(spark, target)
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS").json(path)
 
@@ -99,11 +156,14 @@ def summary_stats(marts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 class PartitionedMart:
-    """A mart stored by year and month of one column; loads touch only the partitions of their rows.
+    """A mart stored by year and month of one column; loads touch only the partitions of their rows and keys.
+
+    Keys that hold the column name their partition. For other keys, whose rows may move to another month, an
+    index is kept with the mart: the hash of each key and every partition it was ever sent to. It is written before
+    the rows, so it never lacks a place; a place too many, or two keys of one hash, cost a look and change nothing.
 
-    A key belongs to the partition of its row: keys hold or imply the column. Merged partitions are written
-    aside first and then replace the stored ones, so a load that dies leaves the mart as it was, and a
-    replay gives the same mart.
+    Merged partitions are written aside first and then replace the stored ones. A load that dies on the way
+    is mended by its replay, which reads the same index and gives the same mart.
     """
 
     def __init__(self, spark: SparkSession, path: str, column: str):
@@ -112,8 +172,12 @@ class PartitionedMart:
         self.column = column
 
     def exists(self) -> bool:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+        return any(True for _ in self._folders())
+
+    def _folders(self):
+        fs, folder = _file_system(self.spark, self.path)
+        if fs.exists(folder):
+            yield from (s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(PARTITIONS[0]))
 
     def _stored(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(self.path)
@@ -121,26 +185,62 @@ class PartitionedMart:
     def read(self) -> DataFrame:
         return self._stored().drop(*PARTITIONS)
 
-    def _touched(self, batch: DataFrame) -> DataFrame:
-        """Stored rows of the batch's partitions; the calendar bounds their list."""
-        parts = batch.select(*PARTITIONS).distinct().collect()
+    def _index(self) -> DataFrame:
+        return self.spark.read.schema("part_year int, part_month int, h long, bucket int").parquet(f"{self.path}/{INDEX}")
+
+    def _places(self, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+        h = F.xxhash64(*keys)
+        return batch.select(*PARTITIONS, h.alias("h"), F.pmod(h, F.lit(INDEX_BUCKETS)).cast("int").alias("bucket")).distinct()
+
+    def _known_places(self, places: DataFrame) -> DataFrame:
+        """Index rows of the keys; a small batch lets Spark skip the other buckets."""
+        keys = small_side(places.select(F.col("h").alias("_h"), F.col("bucket").alias("_bucket")).distinct())
+        return self._index().join(keys, (F.col("bucket") == F.col("_bucket")) & (F.col("h") == F.col("_h")), "left_semi")
+
+    def _note(self, batch: DataFrame, keys: Sequence[str]) -> list:
+        """Note where the batch's keys go; all partitions in which they may stand, before and after."""
+        if self.column in keys:
+            return batch.select(*PARTITIONS).distinct().collect()
+        places = settle(self._places(batch, keys), "places")
+        touched, fresh = places.select(*PARTITIONS), places
+        if _exists(self.spark, f"{self.path}/{INDEX}"):
+            known = settle(self._known_places(places), "places")
+            touched = touched.union(known.select(*PARTITIONS))
+            same = F.col("h") == F.col("_h")
+            for c in PARTITIONS:
+                same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+            fresh = places.join(known.select(F.col("h").alias("_h"), *[F.col(c).alias(f"_{c}") for c in PARTITIONS]), same, "left_anti")
+        parts = touched.distinct().collect()  # the calendar bounds their list
+        fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{INDEX}")
+        return parts
+
+    def _touched(self, parts: list) -> DataFrame:
         same = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(p[k])) for k in PARTITIONS]) for p in parts]
         return self._stored().filter(reduce(lambda a, b: a | b, same, F.lit(False)))
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> None:
-        """Replace the rows of the source's keys and add the others."""
+        """Replace the rows of the source's keys, in whatever month they stand, and add the others."""
         batch = settle(with_partitions(source, self.column), "batch")
-        merged = settle(upsert(self._touched(batch), batch, keys), "merged") if self.exists() else batch
+        stored = self.exists()
+        parts = self._note(batch, keys)
+        merged = settle(upsert(self._touched(parts), batch, keys), "merged") if stored else batch
         writer = merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        if stored:  # a month whose last row has moved away is not overwritten
+            left = {tuple(r) for r in merged.select(*PARTITIONS).distinct().collect()}
+            for p in parts:
+                if tuple(p) not in left:
+                    name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(PARTITIONS, p))
+                    fs, folder = _file_system(self.spark, f"{self.path}/{name}")
+                    fs.delete(folder, True)
 
     def append(self, source: DataFrame, key: str) -> None:
-        """Add the rows whose key is not stored yet."""
-        batch = with_partitions(source, self.column)
-        if self.exists():
-            batch = append_new(self._touched(settle(batch.select(*PARTITIONS).distinct(), "touched")), batch, key)
-        else:
-            batch = batch.dropDuplicates([key])
+        """Add the rows whose key is not stored yet, in whatever month."""
+        batch = settle(with_partitions(source, self.column).dropDuplicates([key]), "batch")
+        stored = self.exists()
+        parts = self._note(batch, [key])
+        if stored:
+            batch = append_new(self._touched(parts), batch, key)
         batch.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(self.path)
 
     def newer(self, source: DataFrame) -> DataFrame:

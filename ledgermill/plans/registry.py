@@ -730,6 +730,8 @@ def _exported(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         "anomalies": simple_marts.mart_anomalies(simple),
         "recurring": simple_marts.mart_recurring(simple, AS_OF),
         "forecasts": simple_marts.mart_forecasts(simple, categories, AS_OF),
+        "anomaly_scores": anomalies.anomaly_score(stg),
+        "net_worth": networth.net_worth(stg, derived.fx_rates(spark, sf_dir)),
     }
     return materialize.export_marts(marts, run_dir(spark, "marts"))
 
@@ -761,6 +763,20 @@ def incr_posted_at(spark, sf_dir):
     return shape(mart.newer(raw))
 
 
+@query
+def incr_moved_keys(spark, sf_dir):
+    """A table stored by month in which a batch moves transactions to a later one; a replay and an append change nothing."""
+    raw = settle(derived.raw_ledger(spark, sf_dir), "raw")
+    moved = raw.filter(F.col("txn_id") < "1a").withColumns(
+        {"posted_at": F.col("posted_at") + F.expr("INTERVAL 45 DAYS"), "amount": (F.col("amount") + 1).cast("decimal(15,2)")}
+    )
+    mart = materialize.PartitionedMart(spark, run_dir(spark, "moved"), "posted_at")
+    for batch in (raw, moved, moved):
+        mart.upsert(batch, ["txn_id"])
+    mart.append(raw, "txn_id")
+    return shape(mart.read())
+
+
 @query
 def incr_upsert(spark, sf_dir):
     """Old days, replaced from December 2000 on by rows that carry one more column."""

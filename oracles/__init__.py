@@ -21,6 +21,8 @@ _EXPORTED = {
     "anomalies": "mart_anomalies",
     "recurring": "mart_recurring",
     "forecasts": "mart_forecasts",
+    "anomaly_scores": "anomaly_score",
+    "net_worth": "net_worth",
 }
 ORACLES["summary_marts"] = "\nUNION ALL ".join(
     f"SELECT '{name}' AS mart, COUNT(*) AS rows FROM ({ORACLES[twin]})" for name, twin in _EXPORTED.items()

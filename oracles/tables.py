@@ -298,6 +298,10 @@ FROM faults f JOIN judged j ON j.institution = f.institution AND j.reason IS NUL
     "stream_quarantine": raw_sql(
         select="SELECT 'currency pattern' AS reason, COUNT(*) AS rows FROM raw_hashed WHERE txn_id < '08'"
     ),
+    "incr_moved_keys": raw_sql(
+        select=f"""SELECT {_RAW_COLUMNS.replace(d('amount'), "CAST(CASE WHEN txn_id < '1a' THEN amount + 1 ELSE amount END AS DOUBLE) AS amount").replace('posted_at', "CASE WHEN txn_id < '1a' THEN posted_at + INTERVAL 45 DAY ELSE posted_at END AS posted_at")}
+FROM raw_hashed"""
+    ),
     "incr_posted_at": raw_sql(
         select=f"""SELECT {_RAW_COLUMNS} FROM raw_hashed
 WHERE posted_at > (SELECT MAX(posted_at) FROM raw WHERE posted_at < TIMESTAMP '2000-12-31')"""

@@ -233,6 +233,61 @@ def test_partitioned_mart(spark, folder):
         materialize.with_partitions(batch([("2024-01-05", 1)]).withColumn("part_year", F.lit(1)), "date")
 
 
+def test_moved_keys(spark, folder):
+    """A key whose row moves to another month stands once, through replays, appends and an interrupted load."""
+    from datetime import date
+
+    def batch(*rows):
+        return spark.createDataFrame([(k, d and date.fromisoformat(d), n) for k, d, n in rows], "k string, date date, n int")
+
+    def stored():
+        return sorted((str(r.k), str(r.date), r.n) for r in mart.read().collect())
+
+    mart = materialize.PartitionedMart(spark, f"{folder}/m", "date")
+    mart.upsert(batch(("x", "2024-01-05", 1), ("y", "2024-01-06", 2), ("z", "2024-02-01", 3), (None, None, 4)), ["k"])
+    moved = batch(("z", "2024-03-01", 30), ("x", "2024-02-02", 10), (None, "2024-03-03", 40))
+    want = [("None", "2024-03-03", 40), ("x", "2024-02-02", 10), ("y", "2024-01-06", 2), ("z", "2024-03-01", 30)]
+    for _ in range(2):
+        mart.upsert(moved, ["k"])
+        assert stored() == want
+    mart.append(batch(("x", "2024-05-01", 5), ("z", "2024-01-01", 6), (None, "2024-01-01", 7), ("w", "2024-01-09", 8), ("w", "2024-01-09", 8)), "k")
+    want = sorted([*want, ("w", "2024-01-09", 8)])
+    assert stored() == want
+    # noted in the index, never written: the replay adds it
+    lost = batch(("v", "2024-07-07", 9), ("y", "2024-07-08", 20))
+    mart._note(materialize.with_partitions(lost, "date"), ["k"])
+    mart.append(lost, "k")
+    assert stored() == sorted([*want, ("v", "2024-07-07", 9)])
+    mart.upsert(lost, ["k"])
+    assert ("y", "2024-07-08", 20) in stored() and len(stored()) == 6
+
+
+def test_a_month_that_empties(spark, folder):
+    from datetime import date
+
+    mart = materialize.PartitionedMart(spark, f"{folder}/m", "date")
+    one = spark.createDataFrame([("a", date(2024, 1, 1)), ("b", None)], "k string, date date")
+    mart.upsert(one, ["k"])
+    two = spark.createDataFrame([("a", date(2024, 2, 1)), ("b", date(2024, 2, 2))], "k string, date date")
+    mart.upsert(two, ["k"])
+    assert rows_of(mart.read()) == rows_of(two)
+
+
+def test_partition_columns(spark, folder):
+    """A whole-number month is no calendar month; small marts are one folder, large ones are cut by month."""
+    day = F.lit("2024-01-05").cast("date")
+    assert materialize.partition_column(spark.range(1).select(F.lit(3).alias("month"), day.alias("transaction_date"))) == "transaction_date"
+    assert materialize.partition_column(spark.range(1).select(F.lit(3).alias("month"))) is None
+    assert materialize.partition_column(spark.range(1).select(F.lit("2024-01").alias("month"))) == "month"
+    assert materialize.partition_column(spark.range(1).select(F.lit("x").alias("date"), day.alias("month"))) == "month"
+    df = spark.range(30).select("id", F.date_add(day, F.col("id").cast("int")).alias("date"))
+    assert materialize.export_mart(df, f"{folder}/small") == []
+    assert materialize.export_mart(df, f"{folder}/large", 15) == ["part_year", "part_month"]
+    assert rows_of(spark.read.parquet(f"{folder}/small")) == rows_of(spark.read.parquet(f"{folder}/large"), "id", "date") == rows_of(df)
+    materialize.export_mart(df.limit(0), f"{folder}/small")
+    assert spark.read.parquet(f"{folder}/small").count() == 0
+
+
 def test_exports_keep_their_columns(spark, folder):
     daily = spark.createDataFrame([("2001-06-01", "2001-06", 1), ("2002-06-01", "2002-06", 2)], "date string, month string, n int")
     daily = daily.withColumn("date", F.col("date").cast("date"))
