@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import small_side
@@ -24,6 +24,13 @@ def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     return source.filter(highest.isNull() | (F.col(column) > highest))
 
 
+def newest(rows: DataFrame, keys: Sequence[str], version: str | Column) -> DataFrame:
+    """The row of each key with the highest version; versions are combined map-side."""
+    columns = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), version).alias("_row"))
+    return best.select(*keys, "_row.*")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the rows of the source's keys replaced; new columns are appended.
 
@@ -108,20 +115,20 @@ def export_marts(marts: Mapping[str, DataFrame], base: str, least_rows: int = RO
     return {name: f"{base}/{name}" for name in marts}
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     return fs.exists(folder)
 
 
 def _move(spark: SparkSession, source: str, target: str) -> None:
     """Put a finished folder in the place of another."""
-    fs, new = _file_system(spark, source)
-    _, old = _file_system(spark, target)
+    fs, new = file_system(spark, source)
+    _, old = file_system(spark, target)
     fs.delete(old, True)
     fs.mkdirs(old.getParent())
     if not fs.rename(new, old):
@@ -175,7 +182,7 @@ class PartitionedMart:
         return any(True for _ in self._folders())
 
     def _folders(self):
-        fs, folder = _file_system(self.spark, self.path)
+        fs, folder = file_system(self.spark, self.path)
         if fs.exists(folder):
             yield from (s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(PARTITIONS[0]))
 
@@ -218,12 +225,19 @@ class PartitionedMart:
         same = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(p[k])) for k in PARTITIONS]) for p in parts]
         return self._stored().filter(reduce(lambda a, b: a | b, same, F.lit(False)))
 
-    def upsert(self, source: DataFrame, keys: Sequence[str]) -> None:
-        """Replace the rows of the source's keys, in whatever month they stand, and add the others."""
+    def upsert(self, source: DataFrame, keys: Sequence[str], version: Column | None = None) -> None:
+        """Replace the rows of the source's keys, in whatever month they stand, and add the others.
+
+        With ``version``, a stored row of a higher version stays.
+        """
         batch = settle(with_partitions(source, self.column), "batch")
         stored = self.exists()
         parts = self._note(batch, keys)
-        merged = settle(upsert(self._touched(parts), batch, keys), "merged") if stored else batch
+        if stored and version is not None:
+            both = self._touched(parts).unionByName(batch, allowMissingColumns=True)
+            merged = settle(newest(both, keys, version), "merged")
+        else:
+            merged = settle(upsert(self._touched(parts), batch, keys), "merged") if stored else batch
         writer = merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
         if stored:  # a month whose last row has moved away is not overwritten
@@ -231,7 +245,7 @@ class PartitionedMart:
             for p in parts:
                 if tuple(p) not in left:
                     name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(PARTITIONS, p))
-                    fs, folder = _file_system(self.spark, f"{self.path}/{name}")
+                    fs, folder = file_system(self.spark, f"{self.path}/{name}")
                     fs.delete(folder, True)
 
     def append(self, source: DataFrame, key: str) -> None:

@@ -42,8 +42,66 @@ def _usd(balance: str) -> Column:
     return F.round(in_usd(F.col(balance), F.col("currency")), 2).cast("decimal(18,2)")
 
 
-def net_worth(stg: DataFrame, fx_rates: DataFrame) -> DataFrame:
-    """One row per date that has transactions.
+def _sums(days: DataFrame) -> DataFrame:
+    """Sums per date over the accounts that have transactions on it."""
+    close, opening, kind, owed = F.col("_close"), F.col("_open"), F.col("_type"), F.col("_liability")
+    return days.groupBy("date").agg(
+        sum_if(~owed, close).alias("total_assets"),
+        sum_if(~owed, opening).alias("opening_assets"),
+        sum_if(owed, F.abs(close)).alias("total_liabilities"),
+        sum_if(owed, F.abs(opening)).alias("opening_liabilities"),
+        sum_if(kind == "checking", close).alias("checking_balance"),
+        sum_if(kind == "savings", close).alias("savings_balance"),
+        sum_if(kind == "credit", F.abs(close)).alias("credit_balance"),
+        sum_if(kind == "investment", close).alias("investment_balance"),
+        # one row per account and date, so rows are distinct accounts
+        count_if(~owed).alias("asset_accounts"),
+        count_if(owed).alias("liability_accounts"),
+        F.count("*").alias("total_accounts"),
+    )
+
+
+def _carried_sums(days: DataFrame) -> DataFrame:
+    """Sums per date over all accounts known by then, idle ones with their last balance in the dollars of its day.
+
+    A balance changes only on the days of its account: the changes are summed per date and accumulated over the dates, so
+    there is no row for an idle account. An account's window is bounded by its days, the last one by the calendar.
+    """
+    close, opening, kind, owed = F.col("_close"), F.col("_open"), F.col("_type"), F.col("_liability")
+    zero, one = F.lit(0).cast("decimal(18,2)"), F.lit(1).cast("long")
+    own = {
+        "total_assets": F.when(~owed, close).otherwise(zero),
+        "total_liabilities": F.when(owed, F.abs(close)).otherwise(zero),
+        "checking_balance": F.when(kind == "checking", close).otherwise(zero),
+        "savings_balance": F.when(kind == "savings", close).otherwise(zero),
+        "credit_balance": F.when(kind == "credit", F.abs(close)).otherwise(zero),
+        "investment_balance": F.when(kind == "investment", close).otherwise(zero),
+        "asset_accounts": F.when(~owed, one).otherwise(0 * one),
+        "liability_accounts": F.when(owed, one).otherwise(0 * one),
+        "total_accounts": one,
+    }
+    before = Window.partitionBy("account_id").orderBy("date")
+    # the opening of a day differs from its close by what moved on it
+    moved = {
+        "opening_assets": F.when(~owed, opening - close).otherwise(zero),
+        "opening_liabilities": F.when(owed, F.abs(opening) - F.abs(close)).otherwise(zero),
+    }
+    steps = days.withColumns(own).withColumns(moved)
+    steps = steps.withColumns({f"_{c}": F.col(c) - F.coalesce(F.lag(c).over(before), F.lit(0)) for c in own})
+    per_day = steps.groupBy("date").agg(*[F.sum(f"_{c}").alias(c) for c in own], *[F.sum(c).alias(c) for c in moved])
+    until = Window.partitionBy().orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    kinds = {c: "long" if c.endswith("accounts") else "decimal(28,2)" for c in own}
+    totals = per_day.withColumns({c: F.sum(c).over(until).cast(kinds[c]) for c in own})
+    return totals.withColumns(
+        {
+            "opening_assets": F.col("total_assets") + F.col("opening_assets"),
+            "opening_liabilities": F.col("total_liabilities") + F.col("opening_liabilities"),
+        }
+    )
+
+
+def net_worth(stg: DataFrame, fx_rates: DataFrame, carry_forward: bool = False) -> DataFrame:
+    """One row per date that has transactions, over the accounts with transactions on it or, carried forward, over all.
 
     The un-partitioned windows at the end see one row per calendar day.
     """
@@ -60,21 +118,7 @@ def net_worth(stg: DataFrame, fx_rates: DataFrame) -> DataFrame:
             "_liability": source == "card",
         }
     )
-    close, opening, kind, owed = F.col("_close"), F.col("_open"), F.col("_type"), F.col("_liability")
-    per_day = days.groupBy("date").agg(
-        sum_if(~owed, close).alias("total_assets"),
-        sum_if(~owed, opening).alias("opening_assets"),
-        sum_if(owed, F.abs(close)).alias("total_liabilities"),
-        sum_if(owed, F.abs(opening)).alias("opening_liabilities"),
-        sum_if(kind == "checking", close).alias("checking_balance"),
-        sum_if(kind == "savings", close).alias("savings_balance"),
-        sum_if(kind == "credit", F.abs(close)).alias("credit_balance"),
-        sum_if(kind == "investment", close).alias("investment_balance"),
-        # one row per account and date, so rows are distinct accounts
-        count_if(~owed).alias("asset_accounts"),
-        count_if(owed).alias("liability_accounts"),
-        F.count("*").alias("total_accounts"),
-    )
+    per_day = _carried_sums(days) if carry_forward else _sums(days)
     assets, day = num("total_assets"), F.col("date")
     per_day = per_day.withColumns(
         {

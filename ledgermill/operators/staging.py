@@ -9,24 +9,43 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import iso_week, month_key
 from ledgermill.operators.exprs import small_side
+from ledgermill.operators.merchant_rules import best_rules_joined
 from ledgermill.operators.keyed_windows import MAX_GROUP_ROWS, running_total
 from ledgermill.reference_data import FX_CURRENCIES, MERCHANT_RULES
 from ledgermill.schemas import MONEY, RATE
+from ledgermill.session import settle
 
 DEFAULT_CATEGORY = "Other"
 
 
 def normalise_merchants(
-    raw: DataFrame, categories: DataFrame, rules: Sequence[tuple] = MERCHANT_RULES
+    raw: DataFrame, categories: DataFrame, rules: Sequence[tuple] | DataFrame = MERCHANT_RULES
 ) -> DataFrame:
     """Add ``merchant_clean`` and ``category_std``.
 
     A rule applies when its pattern occurs in the upper-cased merchant; lowest
-    priority, then lowest rule id wins. The rules are configuration, so they
-    become one CASE expression: no join, no shuffle. A rule without a merchant
+    priority, then lowest rule id wins. Rules given as tuples are configuration and
+    become one CASE expression: no join, no shuffle. Rules given as a table, of any number, are joined with the
+    distinct merchants (``merchant_rules.best_rules``). A rule without a merchant
     keeps the raw text. Without a rule the raw category is used if it names a
     category. ``categories`` is left to Spark's own broadcast size check.
     """
+    with_text = raw.withColumn("_text", F.upper("merchant_raw"))
+    matched = best_rules_joined(with_text, rules) if isinstance(rules, DataFrame) else _rules_as_case(with_text, rules)
+    names = categories.select(F.col("name").alias("_known_category"))
+    return (
+        matched.join(names, F.col("category_raw") == F.col("_known_category"), "left")
+        .withColumns(
+            {
+                "merchant_clean": F.coalesce(F.col("_rule_merchant"), F.trim(F.col("merchant_raw")), F.lit("")),
+                "category_std": F.coalesce(F.col("_rule_category"), F.col("_known_category"), F.lit(DEFAULT_CATEGORY)),
+            }
+        )
+        .drop("_text", "_rule_merchant", "_rule_category", "_known_category")
+    )
+
+
+def _rules_as_case(with_text: DataFrame, rules: Sequence[tuple]) -> DataFrame:
     ordered = sorted(rules, key=lambda r: (r[6], r[0]))
     position = F.lit(None).cast("int")
     for i, rule in reversed(list(enumerate(ordered))):
@@ -35,19 +54,8 @@ def normalise_merchants(
     def of_rule(field: int) -> Column:
         return F.get(F.array(*[F.lit(rule[field]).cast("string") for rule in ordered]), F.col("_rule"))
 
-    names = categories.select(F.col("name").alias("_known_category"))
-    return (
-        raw.withColumn("_text", F.upper("merchant_raw"))
-        .withColumn("_rule", position)
-        .join(names, F.col("category_raw") == F.col("_known_category"), "left")
-        .withColumns(
-            {
-                "merchant_clean": F.coalesce(of_rule(2), F.trim(F.col("merchant_raw")), F.lit("")),
-                "category_std": F.coalesce(of_rule(4), F.col("_known_category"), F.lit(DEFAULT_CATEGORY)),
-            }
-        )
-        .drop("_text", "_rule", "_known_category")
-    )
+    found = with_text.withColumn("_rule", position)
+    return found.withColumns({"_rule_merchant": of_rule(2), "_rule_category": of_rule(4)}).drop("_rule")
 
 
 def in_usd(amount: Column, currency: Column) -> Column:
@@ -106,9 +114,9 @@ def stage(
     raw: DataFrame,
     fx_rates: DataFrame,
     categories: DataFrame,
-    rules: Sequence[tuple] = MERCHANT_RULES,
+    rules: Sequence[tuple] | DataFrame = MERCHANT_RULES,
 ) -> DataFrame:
-    """The transaction table every mart reads. Joins only small dimensions: no shuffle."""
+    """The transaction table every mart reads. With rules as tuples it joins only small dimensions: no shuffle."""
     named = normalise_merchants(raw, categories, rules)
     return add_flags(convert_currency(named, fx_rates), categories)
 
@@ -127,20 +135,32 @@ def running_balance(
     return total.withColumn(name, (F.col(name) + opening.cast(MONEY)).cast("decimal(18,2)"))
 
 
+def category_roots(categories: DataFrame) -> DataFrame:
+    """``category_id, root_id`` by pointer jumping: each round doubles the steps that every category has climbed.
+
+    A parent that is not in the table ends its chain. Parents that form a circle never end, which is an error.
+    """
+    ids = categories.select(F.col("category_id").alias("_id"))
+    known = categories.join(ids, F.col("parent_id") == F.col("_id"), "left")
+    now = settle(known.select("category_id", F.col("_id").alias("up")), "tree")
+    for _ in range(max(now.count(), 1).bit_length() + 1):
+        above = now.select(F.col("category_id").alias("_id"), F.col("up").alias("_further"))
+        climbed = now.join(above, F.col("up") == F.col("_id"), "left")
+        if not climbed.where(F.col("_further").isNotNull()).take(1):
+            return now.select("category_id", F.coalesce("up", "category_id").alias("root_id"))
+        now = settle(climbed.select("category_id", F.coalesce("_further", "up").alias("up")), "tree")
+    raise ValueError("category parents form a circle")
+
+
 def category_tree(categories: DataFrame) -> DataFrame:
-    """Each category with its parent and the group of its root; the seed tree has two levels."""
-    parent = categories.select(
-        F.col("category_id").alias("_pid"),
-        F.col("name").alias("parent_name"),
-        F.col("budget_group").alias("parent_group"),
-    )
-    return categories.join(parent, F.col("parent_id") == F.col("_pid"), "left").select(
-        "category_id",
-        F.col("name").alias("category_name"),
-        "budget_group",
-        "parent_name",
-        F.coalesce("parent_name", "name").alias("root_name"),
-        F.coalesce("parent_group", "budget_group").alias("root_group"),
+    """Each category with its parent, and the name and group of its root, at any depth."""
+    parent = categories.select(F.col("category_id").alias("_pid"), F.col("name").alias("parent_name"))
+    root = categories.select(F.col("category_id").alias("root_id"), F.col("name").alias("root_name"), F.col("budget_group").alias("root_group"))
+    return (
+        categories.join(parent, F.col("parent_id") == F.col("_pid"), "left")
+        .join(category_roots(categories), "category_id")
+        .join(root, "root_id")
+        .select("category_id", F.col("name").alias("category_name"), "budget_group", "parent_name", "root_name", "root_group")
     )
 
 

@@ -32,8 +32,10 @@ from ledgermill.operators import (
 )
 from ledgermill.plans import derived, reports
 from ledgermill.reference_data import simple_categories
+from ledgermill.schemas import MERCHANT_RULE
 from ledgermill.session import run_dir, settle
 from ledgermill.sources import exports
+from ledgermill.streaming import compaction
 from ledgermill.streaming import ingest as stream_ingest
 from ledgermill.streaming import metrics as stream_metrics
 
@@ -317,6 +319,25 @@ def stg_merchant(spark, sf_dir):
     return named.select("txn_id", "merchant_raw", "merchant_clean", "category_std")
 
 
+@query
+def stg_merchant_table(spark, sf_dir):
+    """Merchants cleaned by a table of rules: one for each customer's shop, longer numbers first, beside the usual ones."""
+    customers = derived.read(spark, sf_dir, "customer")
+    number = F.col("c_custkey").cast("string")
+    shops = customers.select(
+        (F.col("c_custkey") + 1000).cast("int").alias("rule_id"),
+        F.concat(F.lit("SHOP "), number).alias("pattern"),
+        F.concat(F.lit("Shop of customer "), number).alias("merchant_clean"),
+        F.lit("7300").alias("mcc"),
+        F.lit("Professional Services").alias("category_std"),
+        F.lit(False).alias("risk_flag"),
+        (F.lit(30) - F.length(number)).cast("int").alias("priority"),
+    )
+    rules = spark.createDataFrame(derived.LEDGER_RULES, MERCHANT_RULE).where("merchant_clean is not null").union(shops)
+    named = staging.normalise_merchants(derived.raw_ledger(spark, sf_dir), derived.ledger_categories(spark), rules)
+    return named.select("txn_id", "merchant_raw", "merchant_clean", "category_std")
+
+
 @query
 def stg_fx(spark, sf_dir):
     rows = staging.convert_currency(derived.raw_ledger(spark, sf_dir), derived.fx_rates(spark, sf_dir))
@@ -362,6 +383,19 @@ def category_rollup(spark, sf_dir):
     return shape(staging.category_rollup(derived.staged(spark, sf_dir), derived.ledger_categories(spark)))
 
 
+@query
+def category_rollup_deep(spark, sf_dir):
+    """Orders rolled up from customers over nations to regions, as categories of three levels."""
+    name = lambda c: F.col(c).alias("name")
+    none, income = F.lit(None).cast("long").alias("parent_id"), F.lit(False).alias("is_income")
+    region = derived.read(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("category_id"), none, name("r_name"), F.concat(F.lit("in "), F.col("r_name")).alias("budget_group"), income)
+    nation = derived.read(spark, sf_dir, "nation").select((F.col("n_nationkey") + 100).cast("long").alias("category_id"), F.col("n_regionkey").cast("long").alias("parent_id"), name("n_name"), F.lit("nation").alias("budget_group"), income)
+    customer = derived.read(spark, sf_dir, "customer").select((F.col("c_custkey") + 1000).alias("category_id"), (F.col("c_nationkey") + 100).cast("long").alias("parent_id"), name("c_name"), F.lit("customer").alias("budget_group"), income)
+    orders = derived.read(spark, sf_dir, "orders").join(derived.read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    stg = orders.select(F.col("c_name").alias("category_std"), F.col("o_totalprice").cast("decimal(15,2)").alias("amount_usd"))
+    return shape(staging.category_rollup(stg, region.union(nation).union(customer)))
+
+
 # --- marts ------------------------------------------------------------------
 
 RATES = [f"savings_rate_{s}d_avg" for s in cashflow.SPANS]
@@ -708,6 +742,13 @@ def account_balances(spark, sf_dir):
     return shape(networth.account_balances(derived.ledger(spark, sf_dir)))
 
 
+@query
+def net_worth_carried(spark, sf_dir):
+    """Net worth over all accounts known by a date, idle ones with their last balance."""
+    stg = derived.staged(spark, sf_dir, with_balance=True)
+    return shape(networth.net_worth(stg, derived.fx_rates(spark, sf_dir), carry_forward=True))
+
+
 @query
 def account_balance_totals(spark, sf_dir):
     return shape(reports.balance_totals(networth.account_balances(derived.ledger(spark, sf_dir))))
@@ -825,7 +866,7 @@ def summary_marts(spark, sf_dir):
     return reduce(DataFrame.unionAll, counted)
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _streamed(spark: SparkSession, sf_dir: str, merge: bool = False) -> tuple[str, str]:
     """Folders of the table and the quarantine after a stream of three arrivals.
 
     First come the newer rows, a tenth of them still drafts; then an older backfill and the corrected drafts; then
@@ -845,6 +886,8 @@ def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     for arrival in arrivals:
         arrival.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(inbox)
         stream_ingest.run_ingest(spark, inbox, target, quarantine, state).awaitTermination()
+        if merge:
+            stream_ingest.merge_batches(spark, target)
     return target, quarantine
 
 
@@ -856,6 +899,15 @@ def _stream_ingest(spark, sf_dir):
 QUERIES["stream_ingest"] = _stream_ingest
 
 
+@query
+def stream_compacted(spark, sf_dir):
+    """The same stream with a merge of its batches after each arrival, a repeated merge, and merged batches removed."""
+    target, _ = _streamed(spark, sf_dir, merge=True)
+    stream_ingest.merge_batches(spark, target)
+    compaction.discard_merged(spark, target)
+    return shape(stream_ingest.current_rows(spark, target))
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     """Records that the stream set aside, by reason."""
@@ -866,12 +918,14 @@ def stream_quarantine(spark, sf_dir):
 
 @query
 def stream_metrics_daily(spark, sf_dir):
-    """Daily metric summaries, computed as a stream over the events."""
+    """Daily metric summaries, computed as a stream over the events, a tenth of which come late, in a second run."""
     inbox, target, state = (run_dir(spark, n) for n in ("events", "metrics", "metrics-state"))
-    derived.read(spark, sf_dir, "events").write.parquet(inbox)
-    schema = derived.read(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(inbox)
-    stream_metrics.run_summary(spark, stream, target, state, "1 day", "1 hour").awaitTermination()
+    events = derived.read(spark, sf_dir, "events")
+    late = F.col("event_id") % 10 == 0
+    for arrival in (events.filter(~late), events.filter(late)):
+        arrival.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        stream_metrics.run_summary(spark, stream, target, state, "1 day").awaitTermination()
     bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
     return shape(stream_metrics.current_windows(spark, target).withColumns(bounds), ["avg"])
 
@@ -1127,7 +1181,23 @@ def audit_trail(spark, sf_dir):
         F.col("event_type").alias("action"),
         (F.col("event_type") != "error").alias("success"),
     )
-    return privacy.audit_counts(privacy.audit_trail(events))
+    log = privacy.AuditLog(spark, run_dir(spark, "audit"))
+    second = F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for token, batch in (("first", ~second), ("second", second), ("first", ~second)):  # the last is a replay
+        log.append(events.filter(batch), token)
+    return privacy.audit_counts(privacy.audit_trail(log.read()))
+
+
+@query
+def load_metrics(spark, sf_dir):
+    """Rows of real loads, counted as they pass; times differ from run to run, so only their presence is shown."""
+    points = []
+    for name in ("orders", "events", "customer"):
+        path = run_dir(spark, f"load-{name}")
+        points.append(metrics.measured(derived.read(spark, sf_dir, name), lambda df, path=path: df.write.parquet(path), name, datetime(2001, 8, 2)))
+    found = reduce(DataFrame.unionAll, points)
+    rows = F.when(F.col("name") == "data_processing_rows", F.col("value")).alias("rows")
+    return found.select("name", F.col("labels")["table"].alias("table_name"), "unit", rows, (F.col("value") > 0).alias("positive"))
 
 
 @query

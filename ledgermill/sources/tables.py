@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgermill.schemas import CATEGORY, FX_RATE, MERCHANT_RULE, RAW_TRANSACTION
 
-RULE_LIMIT = 2000
+#: more rules would make one expression too large to compile
+RULES_IN_PLAN = 500
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -22,12 +25,15 @@ def read_fx_rates(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, FX_RATE)
 
 
-def read_merchant_rules(spark: SparkSession, path: str) -> list[tuple]:
-    """Rules as tuples. They are configuration compiled into the plan, so their number is checked."""
-    rows = _read_csv(spark, path, MERCHANT_RULE).limit(RULE_LIMIT + 1).collect()
-    if len(rows) > RULE_LIMIT:
-        raise ValueError(f"more than {RULE_LIMIT} merchant rules; split the rule table")
-    return [tuple(r) for r in rows]
+def read_merchant_rules(spark: SparkSession, path: str) -> Sequence[tuple] | DataFrame:
+    """Rules for ``normalise_merchants``: tuples up to ``RULES_IN_PLAN``, which compile into the plan, else a table."""
+    table = read_rule_table(spark, path)
+    rows = table.limit(RULES_IN_PLAN + 1).collect()
+    return [tuple(r) for r in rows] if len(rows) <= RULES_IN_PLAN else table
+
+
+def read_rule_table(spark: SparkSession, path: str) -> DataFrame:
+    return _read_csv(spark, path, MERCHANT_RULE)
 
 
 def read_contract_json(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.operators.contract import split_valid
+from ledgermill.operators.materialize import newest
 from ledgermill.schemas import RAW_TRANSACTION
+from ledgermill.streaming import compaction
 
 ARRIVAL = "_arrival"
 
@@ -26,13 +28,6 @@ def read_records(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.json(path).withColumn(ARRIVAL, arrival())
 
 
-def newest(rows: DataFrame, keys: Sequence[str], version: str | Column) -> DataFrame:
-    """The row of each key with the highest version; versions are combined map-side."""
-    columns = [c for c in rows.columns if c not in keys]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), version).alias("_row"))
-    return best.select(*keys, "_row.*")
-
-
 def run_ingest(
     spark: SparkSession,
     path: str,
@@ -63,10 +58,19 @@ def run_ingest(
     )
 
 
+def _version() -> Column:
+    return F.struct(ARRIVAL, compaction.BATCH)
+
+
 def current_rows(spark: SparkSession, target: str, keys: Sequence[str] = ("txn_id",)) -> DataFrame:
-    """The newest version of every key."""
-    rows = spark.read.option("basePath", target).parquet(target)
-    return newest(rows, list(keys), F.struct(ARRIVAL, "batch_id")).drop(ARRIVAL, "batch_id")
+    """The newest version of every key, from the merged base and the batches since."""
+    rows = compaction.newest_rows(spark, target, list(keys), _version(), "posted_at")
+    return rows.drop(ARRIVAL, compaction.BATCH)
+
+
+def merge_batches(spark: SparkSession, target: str, keys: Sequence[str] = ("txn_id",)) -> int:
+    """Merge all finished batches into the base by month; the last batch merged."""
+    return compaction.compact(spark, target, list(keys), _version(), "posted_at")
 
 
 def batch_twin(records: DataFrame) -> DataFrame:

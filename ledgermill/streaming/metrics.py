@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgermill.operators.metrics import windowed_summary
-from ledgermill.streaming.ingest import newest
+from ledgermill.operators.metrics import combined_summary, partial_summary
 
 
 def event_points(events: DataFrame) -> DataFrame:
@@ -20,27 +19,19 @@ def event_points(events: DataFrame) -> DataFrame:
     )
 
 
-def streaming_summary(points: DataFrame, width: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
-    """Summary per window. The watermark closes a window, and with it drops its state, ``lateness`` after its end."""
-    return windowed_summary(points.withWatermark("timestamp", lateness), width)
-
-
-def run_summary(
-    spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, width: str = "1 hour", lateness: str = "1 hour"
-) -> StreamingQuery:
+def run_summary(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, width: str = "1 hour") -> StreamingQuery:
     """Summarise all files that are there now, then stop.
 
-    Every micro-batch writes the windows that it changed, open ones too, into its own folder;
-    ``current_windows`` takes the newest state of each.
+    Every micro-batch writes partial summaries of the windows that its events fall in into its own folder, and
+    ``current_windows`` adds them up. So no event comes too late, no state is held, and a batch that is
+    replayed after a failure replaces itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        partial_summary(event_points(batch), width).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return (
-        streaming_summary(event_points(stream), width, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -48,6 +39,5 @@ def run_summary(
 
 
 def current_windows(spark: SparkSession, target: str) -> DataFrame:
-    """The newest summary of every window and metric."""
-    rows = spark.read.option("basePath", target).parquet(target)
-    return newest(rows, ["window_start", "window_end", "name"], "batch_id").drop("batch_id")
+    """The summary of every window and metric over all events that have come."""
+    return combined_summary(spark.read.option("basePath", target).parquet(target))

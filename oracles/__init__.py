@@ -11,6 +11,7 @@ ORACLES |= {
     "dq_balance_split": ORACLES["dq_balance"],
     "budget_from_table": ORACLES["budget_vs_actual"],
     "export_report": ORACLES["cashflow_by_month"],
+    "stream_compacted": ORACLES["stream_ingest"],
 }
 
 _EXPORTED = {

@@ -307,6 +307,16 @@ FROM raw_hashed"""
 WHERE posted_at > (SELECT MAX(posted_at) FROM raw WHERE posted_at < TIMESTAMP '2000-12-31')"""
     ),
     "stg_merchant": ledger_sql(select="SELECT txn_id, merchant_raw, merchant_clean, category_std FROM named"),
+    "stg_merchant_table": ledger_sql(
+        """
+shops AS (
+  SELECT merchant_raw, MIN_BY(c_custkey, (30 - length(CAST(c_custkey AS VARCHAR)), c_custkey)) AS k
+  FROM (SELECT DISTINCT merchant_raw FROM ledger) JOIN customer ON contains(upper(merchant_raw), 'SHOP ' || CAST(c_custkey AS VARCHAR)) GROUP BY 1
+)""",
+        select="""SELECT txn_id, n.merchant_raw, CASE WHEN k IS NOT NULL THEN 'Shop of customer ' || CAST(k AS VARCHAR) ELSE merchant_clean END AS merchant_clean,
+  CASE WHEN k IS NOT NULL THEN 'Professional Services' ELSE category_std END AS category_std
+FROM named n LEFT JOIN shops s ON n.merchant_raw = s.merchant_raw"""
+    ),
     "stg_fx": ledger_sql(
         select=f"SELECT txn_id, currency, {d('amount')}, {d('amount_usd')}, 'USD' AS amount_ccy FROM stg"
     ),
@@ -323,6 +333,9 @@ FROM stg"""
   COUNT(DISTINCT category_std) AS categories, COUNT(*) AS transactions, {d('SUM(amount_usd)', 'amount_usd')}
 FROM stg s JOIN cat c ON s.category_std = c.name JOIN cat p ON p.name = COALESCE(c.parent, c.name) GROUP BY 1, 2"""
     ),
+    "category_rollup_deep": f"""SELECT r_name AS root_name, 'in ' || r_name AS root_group, COUNT(DISTINCT c_custkey) AS categories, COUNT(*) AS transactions,
+  {d('SUM(CAST(o_totalprice AS DECIMAL(15,2)))', 'amount_usd')}
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
     "account_balances": raw_sql(
         select=f"""SELECT account_id, LAST(source ORDER BY posted_at, txn_id) AS institution,
   {d('LAST(balance_after ORDER BY posted_at, txn_id)', 'current_balance')}, MAX(posted_at) AS last_updated,
@@ -445,6 +458,11 @@ FROM stepped WHERE balance_after - previous_balance <> amount""",
     "audit_trail": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS action, COUNT(*) AS events,
   COUNT(CASE WHEN event_type <> 'error' THEN 1 END) AS succeeded, COUNT(CASE WHEN event_type = 'error' THEN 1 END) AS failed,
   MAX(ts) AS last_seen FROM events GROUP BY 1, 2""",
+    "load_metrics": "\nUNION ALL ".join(
+        f"""SELECT name, '{t}' AS table_name, unit, CASE WHEN unit = 'rows' THEN CAST((SELECT COUNT(*) FROM {t}) AS DOUBLE) END AS rows, TRUE AS positive
+FROM (VALUES ('data_processing_rows', 'rows'), ('data_processing_duration_ms', 'ms'), ('data_processing_throughput', 'rows/sec')) v(name, unit)"""
+        for t in ("orders", "events", "customer")
+    ),
     "metric_summary": f"SELECT event_type AS name, {_points('event_id')} FROM events GROUP BY 1",
     "stream_metrics_daily": f"""SELECT date_trunc('day', ts) AS window_start,
   date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type AS name, {_points('value')} FROM events GROUP BY 1, 2, 3""",

@@ -200,13 +200,103 @@ def test_metric_stream_equals_batch(spark, small, folder, files):
     events.repartitionByRange(3, "ts").write.parquet(f"{folder}/in")
     reader = spark.readStream.schema(events.schema)
     stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{folder}/in")
-    wait = "1 hour" if files is None else "40 days"
-    stream_metrics.run_summary(spark, stream, f"{folder}/out", f"{folder}/state", "1 day", wait).awaitTermination()
+    stream_metrics.run_summary(spark, stream, f"{folder}/out", f"{folder}/state", "1 day").awaitTermination()
     batch = windowed_summary(stream_metrics.event_points(events), "1 day")
     columns = ["window_start", "name", "count", "min", "max", "first", "latest"]
     assert rows_of(stream_metrics.current_windows(spark, f"{folder}/out"), *columns) == rows_of(batch, *columns)
 
 
+def test_late_events_count(spark, folder):
+    """An event of a window that closed long ago, in a later run."""
+    from ledgermill.operators.metrics import windowed_summary
+
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    def send(*rows):
+        spark.createDataFrame([(i, datetime.fromisoformat(t), "a", v) for i, (t, v) in enumerate(rows)], schema).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        stream_metrics.run_summary(spark, stream, f"{folder}/out", f"{folder}/state", "1 day").awaitTermination()
+
+    send(("2024-01-01T10:00:00", 1.0), ("2024-01-03T10:00:00", 5.0))
+    send(("2024-01-01T09:00:00", 100.0), ("2024-01-01T11:00:00", None))
+    batch = windowed_summary(stream_metrics.event_points(spark.read.schema(schema).parquet(f"{folder}/in")), "1 day")
+    got = stream_metrics.current_windows(spark, f"{folder}/out")
+    assert rows_of(got, *batch.columns) == rows_of(batch)
+    assert [(r["count"], r["max"], r["avg"], r["first"], r["latest"]) for r in got.orderBy("window_start").collect()][0] == (3, 100.0, 50.5, 100.0, None)
+
+
+def test_merges_that_die_hide_nothing(spark, small, folder):
+    """Merged batches, a merge without its marker, moved keys, and batches removed."""
+    from ledgermill.operators.materialize import PartitionedMart
+    from ledgermill.streaming import compaction
+
+    inbox, target, quarantine, state = (f"{folder}/{n}" for n in ("in", "out", "bad", "state"))
+    raw = derived.raw_ledger(spark, small).limit(200).withColumn("balance_after", F.lit(None).cast("decimal(15,2)")).cache()
+
+    def arrive(df):
+        _send(spark, df, inbox)
+        stream_ingest.run_ingest(spark, inbox, target, quarantine, state).awaitTermination()
+
+    def whole():
+        twin = stream_ingest.batch_twin(tables.read_contract_json(spark, inbox))
+        got = stream_ingest.current_rows(spark, target)
+        return rows_of(got, "txn_id", "posted_at", "amount") == rows_of(twin, "txn_id", "posted_at", "amount")
+
+    moved = raw.filter("txn_id < '4'").withColumn("posted_at", F.col("posted_at") + F.expr("INTERVAL 40 DAYS"))
+    arrive(raw)
+    assert stream_ingest.merge_batches(spark, target) == 0 and whole()
+    arrive(moved)
+    assert whole()
+    # a merge that wrote the months and died before its marker
+    rows = stream_ingest.newest(compaction._batches(spark, target, [1]), ["txn_id"], stream_ingest._version())
+    PartitionedMart(spark, f"{target}/_base", "posted_at").upsert(rows, ["txn_id"], stream_ingest._version())
+    assert whole()
+    assert stream_ingest.merge_batches(spark, target) == 1 and whole()
+    assert compaction.discard_merged(spark, target) == 2 and whole()
+    assert stream_ingest.merge_batches(spark, target) == 1 and whole()
+    arrive(raw.limit(5))
+    assert whole()
+    # a folder that is not complete is not read
+    raw.withColumn("amount", F.lit(0)).write.parquet(f"{target}/batch_id=99")
+    import os
+
+    os.remove(f"{target}/batch_id=99/_SUCCESS")
+    assert compaction.finished_batches(spark, target) == [2]
+    raw.unpersist()
+
+
+def test_audit_log(spark, folder):
+    import os
+
+    from ledgermill.operators.privacy import AuditLog
+
+    log = AuditLog(spark, f"{folder}/log")
+    with pytest.raises(ValueError, match="no audit events"):
+        log.read()
+    events = spark.createDataFrame([("u", 1), ("v", 2)], "user_id string, n int")
+    assert log.append(events, "load 1") and not log.append(events, "load 1") and log.append(events.withColumn("more", F.lit(1)), "load 2")
+    assert log.read().count() == 4
+    name = next(n for n in os.listdir(f"{folder}/log"))
+    os.remove(f"{folder}/log/{name}/_SUCCESS")  # died before the commit
+    assert log.read().count() == 2
+    assert log.append(events, "load 1") or log.append(events, "load 2")
+    assert log.read().count() == 4
+
+
+def test_measured_load(spark, folder):
+    from ledgermill.operators import metrics
+
+    points = metrics.measured(spark.range(1000), lambda df: df.write.parquet(f"{folder}/t"), "t", datetime(2024, 1, 1))
+    got = {r["name"]: r.value for r in points.collect()}
+    assert got["data_processing_rows"] == 1000 and got["data_processing_duration_ms"] > 0
+    assert got["data_processing_throughput"] == pytest.approx(1000 / (got["data_processing_duration_ms"] / 1000))
+    assert spark.read.parquet(f"{folder}/t").count() == 1000
+    stream = spark.readStream.schema("id long").parquet(f"{folder}/t").writeStream.foreachBatch(lambda df, _: df.count())
+    query = stream.option("checkpointLocation", f"{folder}/s").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = {r["name"]: r.value for r in metrics.stream_points(query, "t", datetime(2024, 1, 1)).collect()}
+    assert rows["data_processing_rows"] == 1000 and rows["data_processing_duration_ms"] > 0
+
+
 def test_partitioned_mart(spark, folder):
     """First load, second load and replay touch only the partitions of their rows."""
     import glob
