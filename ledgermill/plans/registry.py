@@ -209,7 +209,12 @@ def _write_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Export files made from all orders, one folder per institution."""
     base = run_dir(spark, "exports")
     rows = _raw_texts(spark, sf_dir)
-    merchant = F.concat(F.lit("Merchant "), F.col("o_custkey").cast("string"))
+    number = F.col("o_custkey").cast("string")
+    merchant = (
+        F.when(F.col("o_custkey") % 5 == 1, F.concat(F.lit('JOE "THE" '), number, F.lit(", NYC")))
+        .when(F.col("o_custkey") % 5 == 2, F.concat(F.lit("Merchant\n"), number))
+        .otherwise(F.concat(F.lit("Merchant "), number))
+    )
     memo = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"))
     layouts = {
         "chase": [
@@ -252,7 +257,7 @@ def _write_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         ],
     }
     for key, columns in layouts.items():
-        rows.select(*columns).write.csv(f"{base}/{key}", header=True)
+        rows.select(*columns).write.csv(f"{base}/{key}", header=True, escape='"')
     rows.select(F.col("date_text").alias("Date"), memo.alias("Description")).coalesce(1).write.csv(f"{base}/broken", header=True)
     return {key: f"{base}/{key}" for key in [*layouts, "broken"]}
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions import clean, hashing
+from ledgermill.operators.materialize import file_system
 from ledgermill.reference_data import local_rows
 
 CORRUPT = "_corrupt"
+LISTERS = 16
 REQUIRED = ("posted_at", "amount", "merchant_raw", "description")
 FAILURES = T.StructType([T.StructField(c, T.StringType()) for c in ("institution", "file", "reason")])
 OPTIONAL = ("mcc", "category_raw", "city", "state", "country", "currency", "balance_after", "account_id")
@@ -132,21 +135,53 @@ def _plain(path: str) -> str:
     return re.sub(r"^file:/*", "/", unquote(path))
 
 
+def _in_parallel(work: Callable, files: Sequence[str]) -> list:
+    """The driver's file-system calls for many files; each only asks for a line or a size."""
+    with ThreadPoolExecutor(LISTERS) as pool:
+        return list(pool.map(work, files))
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    jvm = spark._jvm
+    fs, place = file_system(spark, file)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(place), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Column names in the first line of each file; a file without a line has none."""
-    if not files:
-        return {}
-    lines = spark.read.text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n")
-    ).filter(F.col("_metadata.file_block_start") == 0)
-    first = {_plain(r["file"]): r["value"] for r in lines.groupBy("file").agg(F.min_by("value", "n").alias("value")).collect()}
+    """Column names in the first line of each file, which is all that is read; a file without a line has none."""
     headers = {}
-    for f in files:
-        cells = next(csv.reader([first.get(_plain(f), "").removeprefix("\ufeff")]), [])
+    for f, line in zip(files, _in_parallel(lambda f: _first_line(spark, f), files)):
+        cells = next(csv.reader([line.removeprefix("\ufeff")]), [])
         headers[f] = tuple(c.strip() for c in cells)
     return headers
 
 
+def whole_files(spark: SparkSession, files: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Files to be read record by record, as their cells may hold line ends, and files that can be split at any line.
+
+    A file that fits one task would not be split anyway. A larger one is split if every line of it has its quotes in pairs, which
+    a scan of the large files tells.
+    """
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+    def size(file: str) -> int:
+        fs, place = file_system(spark, file)
+        return fs.getFileStatus(place).getLen()
+
+    large = [f for f, n in zip(files, _in_parallel(size, files)) if n > limit]
+    if not large:
+        return list(files), []
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    lines = spark.read.text(large).where(odd).select(F.col("_metadata.file_path").alias("file")).distinct()
+    open_quotes = {_plain(r["file"]) for r in lines.collect()}
+    split = [f for f in large if _plain(f) not in open_quotes]
+    return [f for f in files if f not in set(split)], split
+
+
 def header_fault(header: Sequence[str], spec: ExportSpec) -> str | None:
     """Why a file with this header can't be mapped."""
     if not any(header):
@@ -158,11 +193,12 @@ def header_fault(header: Sequence[str], spec: ExportSpec) -> str | None:
     return f"missing columns: {', '.join(missing)}" if missing else None
 
 
-def _scan(spark: SparkSession, files: Sequence[str], header: Sequence[str], spec: ExportSpec) -> DataFrame:
+def _scan(spark: SparkSession, files: Sequence[str], header: Sequence[str], spec: ExportSpec, split: bool) -> DataFrame:
     """Files of one header as text columns of the spec, by name; other columns are ignored.
 
-    A row that does not fit keeps its text in the corrupt-record column instead of failing the file. The parser
-    sees that only if it reads all columns of the line.
+    Quotes inside a quoted cell are doubled; unless the files may be split, such a cell may hold line ends. A row that
+    does not fit keeps its text in the corrupt-record column instead of failing the file. The parser sees that only if
+    it reads all columns of the line.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, CORRUPT]])
     rows = (
@@ -172,6 +208,8 @@ def _scan(spark: SparkSession, files: Sequence[str], header: Sequence[str], spec
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
+        .option("escape", '"')
+        .option("multiLine", not split)
         .csv(list(files))
     )
     own = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in spec.columns]
@@ -192,7 +230,9 @@ def read_export(spark: SparkSession, paths: str | Sequence[str], spec: ExportSpe
             failed.append((file, fault))
         else:
             groups.setdefault(header, []).append(file)
-    parts = [_scan(spark, names, header, spec) for header, names in groups.items()]
+    parts = []
+    for header, names in groups.items():
+        parts += [_scan(spark, some, header, spec, split=bool(k)) for k, some in enumerate(whole_files(spark, names)) if some]
     return (reduce(DataFrame.unionByName, parts) if parts else None), failed
 
 

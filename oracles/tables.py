@@ -41,7 +41,10 @@ _CHANNEL = """CASE
   WHEN regexp_matches(lower({0}), 'atm|withdrawal') THEN 'atm'
   ELSE 'unknown' END"""
 
-EXPORTED = """
+_MERCHANT = """CASE o_custkey % 5 WHEN 1 THEN 'JOE "THE" ' || CAST(o_custkey AS VARCHAR) || ', NYC'
+    WHEN 2 THEN 'Merchant' || chr(10) || CAST(o_custkey AS VARCHAR) ELSE 'Merchant ' || CAST(o_custkey AS VARCHAR) END"""
+
+EXPORTED = f"""
 exported AS (
   SELECT 'Chase' AS institution, 'bank' AS source, COALESCE(posted, CASE WHEN date_text IS NULL THEN o_orderdate END) AS posted_at,
     plain AS amount, 'Shopping' AS category_raw, 'Order ' || CAST(o_orderkey AS VARCHAR) AS description,
@@ -60,7 +63,7 @@ exported AS (
   FROM parsed
 ),
 judged AS (
-  SELECT *, 'Merchant ' || CAST(o_custkey AS VARCHAR) AS merchant_raw,
+  SELECT *, {_MERCHANT} AS merchant_raw,
     CASE WHEN posted_at IS NULL THEN 'unreadable date' WHEN amount IS NULL THEN 'unreadable amount'
       WHEN amount = 0 THEN 'zero amount' END AS reason
   FROM exported
@@ -260,7 +263,9 @@ FROM flipped GROUP BY 1""",
     + TEXTS
     + """
 SELECT date_text AS "Transaction Date", strftime(o_orderdate, '%Y-%m-%d') AS "Post Date",
-  'Merchant ' || CAST(o_custkey AS VARCHAR) AS "Description", 'Shopping' AS "Category", 'Sale' AS "Type",
+  """
+    + _MERCHANT
+    + """ AS "Description", 'Shopping' AS "Category", 'Sale' AS "Type",
   nullif(trim(amount_text), '') AS "Amount", 'Order ' || CAST(o_orderkey AS VARCHAR) AS "Memo", CAST(NULL AS VARCHAR) AS _corrupt
 FROM texts""",
     "ingest_mapped": "WITH"

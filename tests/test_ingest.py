@@ -104,6 +104,45 @@ def test_malformed_rows_do_not_stop_a_file(spark, folder):
     assert rows_of(loaded.rejected, "reject_reason") == [("malformed row",)]
 
 
+QUOTED = """Date,Description,Amount,Type,Balance
+2024-02-13,"JOE ""THE"" CAFE, NYC",-4.50,debit,10
+2024-02-14,"TWO
+LINES, ""AND"" QUOTES",-5.50,"debit
+card",20
+2024-02-15,PLAIN,-6.50,debit,30
+"""
+
+
+@pytest.mark.parametrize("limit", ["128m", "40b"])
+def test_quotes_and_line_ends_in_cells(spark, folder, limit):
+    """As one task would read the file, and as a file larger than a split."""
+    path = write(folder, "wells_q.csv", QUOTED)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    try:
+        loaded = exports.ingest(spark, {"wells_fargo": path}, AT)
+        assert loaded.rejected.count() == 0
+        assert rows_of(loaded.valid, "merchant_raw", "amount", "description") == [
+            ('JOE "THE" CAFE, NYC', Decimal("-4.50"), "debit"),
+            ("PLAIN", Decimal("-6.50"), "debit"),
+            ('TWO\nLINES, "AND" QUOTES', Decimal("-5.50"), "debit\ncard"),
+        ]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_large_files_without_line_ends_in_cells_are_split(spark, folder):
+    rows = "".join(f'2024-02-13,"SHOP ""{i}"", x",-{i}.50,debit,1\n' for i in range(1, 200))
+    path = write(folder, "wells_l.csv", WELLS.splitlines()[0] + "\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert exports.whole_files(spark, [path]) == ([], [path])
+        loaded = exports.ingest(spark, {"wells_fargo": path}, AT)
+        assert loaded.valid.count() == 199 and loaded.rejected.count() == 0
+        assert loaded.valid.filter("""merchant_raw = 'SHOP "7", x'""").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_columns_are_bound_by_name(spark, folder):
     """Another order, another column, a byte-order mark and quoted names."""
     path = write(folder, "wells.csv", '\ufeffDate,Type,"Amount",Branch,Description,Balance\n2024-02-13,debit,-4.50,7,COFFEE SHOP,10\n')
