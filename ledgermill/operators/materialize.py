@@ -135,6 +135,19 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def stored_months(spark: SparkSession, path: str) -> list[str]:
+    """Folders of an exported mart's months, newest first, that of rows without a date last; none if it is not cut by month."""
+    found = []
+    fs, folder = file_system(spark, path)
+    for year in fs.listStatus(folder):
+        if year.getPath().getName().startswith(f"{PARTITIONS[0]}="):
+            for month in fs.listStatus(year.getPath()):
+                values = [p.getName().split("=")[1] for p in (year.getPath(), month.getPath())]
+                dated = all(v.lstrip("-").isdigit() for v in values)
+                found.append((dated, [int(v) for v in values] if dated else [], month.getPath().toString()))
+    return [name for *_, name in sorted(found, reverse=True)]
+
+
 def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS").json(path)
 

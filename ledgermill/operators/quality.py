@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions.pii import PII_PATTERNS
+from ledgermill.operators.exprs import small_side
 from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, rolling_rows
 from ledgermill.reference_data import local_rows
 from ledgermill.session import settle
@@ -111,15 +112,30 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
 
 
 def unique_failures(df: DataFrame, table: str, keys: Sequence[Sequence[str]]) -> DataFrame:
-    """Rows that share a key with another row, for all keys in one pass; NULL keys are left out."""
-    entries = []
-    for i, key in enumerate(keys):
-        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-        text = F.to_json(F.struct(*key))
-        entries.append(F.when(present, F.struct(F.lit(i).alias("_i"), text.alias("_key"))))
-    rows = df.select(F.inline(F.array_compact(F.array(*entries))))
-    sizes = rows.groupBy("_i", "_key").agg(F.count("*").alias("n")).groupBy("_i")
-    counted = sizes.agg(F.sum("n").alias("checked"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("failed"))
+    """Rows that share a key with another row, for all keys in one pass; NULL keys are left out.
+
+    First 64-bit hashes of the keys are counted, so the shuffle holds no keys. Only rows whose hash repeats are read again and
+    compared by their whole keys; a clean table is read once.
+    """
+
+    def entries(whole: bool) -> DataFrame:
+        found = []
+        for i, key in enumerate(keys):
+            present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+            parts = [F.lit(i).alias("_i"), F.xxhash64(F.lit(i), *key).alias("_h")]
+            parts += [F.to_json(F.struct(*key)).alias("_key")] if whole else []
+            found.append(F.when(present, F.struct(*parts)))
+        return df.select(F.inline(F.array_compact(F.array(*found))))
+
+    hashes = settle(entries(False).groupBy("_i", "_h").agg(F.count("*").alias("n")), "key-hashes")
+    counted = hashes.groupBy("_i").agg(F.sum("n").alias("checked"))
+    suspects = hashes.where("n > 1").select("_i", "_h")
+    if suspects.take(1):
+        again = entries(True).join(small_side(suspects), ["_i", "_h"], "left_semi")
+        sizes = again.groupBy("_i", "_key").agg(F.count("*").alias("n")).where("n > 1")
+        counted = counted.join(sizes.groupBy("_i").agg(F.sum("n").alias("failed")), "_i", "left")
+    else:
+        counted = counted.withColumn("failed", F.lit(0).cast("long"))
     listed = local_rows(df.sparkSession, [(i, ",".join(key)) for i, key in enumerate(keys)], KEYS)
     return listed.join(counted, "_i", "left").select(
         F.lit(table).alias("table"),

@@ -645,6 +645,14 @@ def anomalies_recent(spark, sf_dir):
     return reports.anomalies_recent(_anomalies(spark, sf_dir), 50, "medium")
 
 
+@query
+def anomalies_recent_stored(spark, sf_dir):
+    """The same report over the exported mart, of which the newest months are read."""
+    path = run_dir(spark, "anomalies")
+    materialize.export_parquet(_anomalies(spark, sf_dir), path)
+    return reports.anomalies_recent_stored(spark, path, 50, "medium")
+
+
 @query
 def anomaly_totals(spark, sf_dir):
     return reports.anomaly_totals(_anomalies(spark, sf_dir))

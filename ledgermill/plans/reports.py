@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import day
 from ledgermill.operators.exprs import num, pct_change, ratio, savings_rate
+from ledgermill.operators.materialize import stored_months
 
 
 def _struct(**fields: Column) -> Column:
@@ -159,6 +160,22 @@ def anomalies_recent(anomalies: DataFrame, limit: int = 50, severity: str | None
     )
 
 
+def anomalies_recent_stored(spark: SparkSession, path: str, limit: int = 50, severity: str | None = None) -> DataFrame:
+    """``anomalies_recent`` over an exported mart: months are read from the newest on until they hold ``limit`` rows.
+
+    Each try reads twice as many months as the one before. Rows without a date, which come last, are read if all others are too few.
+    """
+    months = stored_months(spark, path)
+    if not months:
+        return anomalies_recent(spark.read.parquet(path), limit, severity)
+    taken = 1
+    while True:
+        rows = anomalies_recent(spark.read.option("basePath", path).parquet(*months[:taken]), limit, severity)
+        if taken >= len(months) or rows.count() >= limit:
+            return rows
+        taken *= 2
+
+
 def anomaly_totals(rows: DataFrame) -> DataFrame:
     return rows.agg(
         F.count("*").alias("total_anomalies"),

@@ -12,6 +12,7 @@ ORACLES |= {
     "budget_from_table": ORACLES["budget_vs_actual"],
     "export_report": ORACLES["cashflow_by_month"],
     "stream_compacted": ORACLES["stream_ingest"],
+    "anomalies_recent_stored": ORACLES["anomalies_recent"],
 }
 
 _EXPORTED = {

@@ -428,3 +428,35 @@ def test_audit_trail_of_one_user(spark):
     )
     got = rows_of(privacy.audit_counts(privacy.audit_trail(events, "u1")), "user_id", "action", "events", "succeeded", "failed")
     assert got == [("u1", "read", 2, 1, 1)]
+
+
+def test_unique_failures_compare_whole_keys(spark):
+    from ledgermill.operators.quality import unique_failures
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (None, "a"), (None, "a"), (3, None), (4, "b")], "k int, t string")
+    got = {r.column: (r.checked, r.failed) for r in unique_failures(df, "t", [["k"], ["k", "t"], ["t"]]).collect()}
+    assert got == {"k": (5, 2), "k,t": (4, 2), "t": (6, 5)}
+    clean = unique_failures(df.filter("k > 1"), "t", [["k"]])
+    assert [tuple(r) for r in clean.collect()] == [("t", "unique", "k", 3, 0)]
+    assert unique_failures(df.limit(0), "t", [["k"]]).first().checked == 0
+
+
+def test_recent_rows_of_a_stored_mart(spark, folder):
+    from ledgermill.operators.materialize import export_parquet, stored_months
+    from ledgermill.plans import reports
+
+    days = spark.range(400).select(
+        F.col("id").cast("string").alias("txn_id"), F.lit("x").alias("anomaly_type"), F.when(F.col("id") % 4 == 0, "high").otherwise("low").alias("severity"),
+        F.lit("d").alias("driver"), F.lit("h").alias("remediation_hint"), F.lit(False).alias("acknowledged"),
+        F.when(F.col("id") % 50 != 7, F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int"))).alias("transaction_date"),
+    ).withColumn("posted_at", F.col("transaction_date").cast("timestamp_ntz"))
+    export_parquet(days, f"{folder}/m")
+    months = stored_months(spark, f"{folder}/m")
+    assert len(months) == 15 and months[0].endswith("part_year=2024/part_month=2") and "HIVE_DEFAULT" in months[-1]
+    for limit, severity in ((3, None), (60, "high"), (10_000, None)):
+        got = reports.anomalies_recent_stored(spark, f"{folder}/m", limit, severity)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in reports.anomalies_recent(days, limit, severity).collect()]
+        if limit == 3:
+            assert len(got.inputFiles()) == 1
+    days.write.parquet(f"{folder}/whole")
+    assert reports.anomalies_recent_stored(spark, f"{folder}/whole", 3).count() == 3
