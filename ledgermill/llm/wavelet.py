@@ -10,7 +10,6 @@ on whatever store the cluster shares.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -18,6 +17,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,10 @@ CACHE_WORDS = 500_000
 CHUNK = 8 << 20  # larger chunks have fewer distinct words in all
 TOGETHER = 2000
 WORD_END = "</w>"
-PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?;:]?")  # letters that stay one letter each in lower case
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"  # one letter each in lower case, too
+MARKS = r"!-&(-/:;=-@\[-`{-~"  # ASCII punctuation that begins no contraction and no added token
+PLAIN_WORD = f"[{LETTERS}]+[{MARKS}]*"
+MARK_SET = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<")
 HEAD = struct.Struct("<4sBQI")
 
 
@@ -180,9 +184,11 @@ def unpack(image: bytes) -> Shard:
 
 
 class WordIds:
-    """Ids of white-space separated words; the first ``CACHE_WORDS`` words are kept from batch to batch.
+    """Ids of white-space separated words; the first ``CACHE_WORDS`` are kept from batch to batch.
 
-    The tokenizer drops white space and normalises nothing across it, so a text's ids are those of its words.
+    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its words. It also lower-cases,
+    and parts letters from marks: a plain word (letters, then perhaps marks) has the ids of its letters in lower
+    case and then those of its marks. All other words, those that hold an added token among them, are encoded as they stand.
     """
 
     def __init__(self, path: str):
@@ -190,7 +196,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.bits = max(len(vocabulary) - 1, *vocabulary.values(), END_ID).bit_length()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -204,19 +209,17 @@ class WordIds:
         return np.fromiter((i for x in found for i in x), np.uint32), np.array([len(x) for x in found], np.int64)
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Plain words as one text, which is several times faster; each of their pieces closes with one marked token."""
+        """Words of letters as one text, which is several times faster; each of them closes with one marked token."""
         texts = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
         ends = np.flatnonzero(self.closes[ids]) + 1
-        pieces = np.cumsum([1 + (not w[-1].isalpha()) for w in words])
-        if len(ends) != pieces[-1] or ends[-1] != len(ids):
+        if len(ends) != len(words) or ends[-1] != len(ids):
             return self._apart(words)
-        return ids, np.diff(ends[pieces - 1], prepend=0)
+        return ids, np.diff(ends, prepend=0)
 
-    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words end to end, and how many each has."""
-        plain = np.array([PLAIN_WORD.fullmatch(w) is not None for w in words])
-        parts = [(keep, make([w for w, k in zip(words, keep) if k])) for keep, make in ((plain, self._together), (~plain, self._apart)) if keep.any()]
+    def _encoded(self, words: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has; ``letters`` marks words of letters only."""
+        parts = [(keep, make([w for w, k in zip(words, keep) if k])) for keep, make in ((letters, self._together), (~letters, self._apart)) if keep.any()]
         counts = np.zeros(len(words), np.int64)
         for keep, (_, n) in parts:
             counts[keep] = n
@@ -226,14 +229,15 @@ class WordIds:
             flat[spread(at[keep], n)] = ids
         return flat, counts
 
-    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _looked_up(self, words: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of kept and new words end to end, their ends, and the spot of each word."""
-        new = [w for w in words if w not in self.place]
-        spot = {w: len(self.place) + i for i, w in enumerate(new)}
-        spots = np.fromiter((s if (s := self.place.get(w)) is not None else spot[w] for w in words), np.int64, len(words))
-        if not new:
+        spots = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(spots < 0)
+        if not len(missing):
             return self.flat, self.ends, spots
-        ids, counts = self._encoded(new)
+        spots[missing] = len(self.place) + np.arange(len(missing))
+        new = [words[i] for i in missing]
+        ids, counts = self._encoded(new, letters[missing])
         flat = np.concatenate([self.flat, ids])
         ends = np.concatenate([self.ends, len(self.flat) + np.cumsum(counts)])
         room = CACHE_WORDS - len(self.place)
@@ -243,14 +247,43 @@ class WordIds:
             self.flat = flat[: self.ends[-1]].copy()
         return flat, ends, spots
 
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct parts of the words, which of them are letters only, and the part that begins and ends each word (-1: none)."""
+        plain = pc.match_substring_regex(words, f"^{PLAIN_WORD}$")
+        letters = pc.utf8_lower(pc.utf8_rtrim(words.filter(plain), MARK_SET))
+        size = pc.utf8_length(letters)
+        whole = words.filter(plain)
+        marked = pc.greater(pc.utf8_length(whole), size)
+        marks = pc.replace_substring_regex(whole.filter(marked), f"^[{LETTERS}]+", "")
+        others = words.filter(pc.invert(plain))
+        found = pa.concat_arrays([letters.cast(pa.string()), marks.cast(pa.string()), others.cast(pa.string())]).dictionary_encode()
+        codes = found.indices.to_numpy()
+        is_plain, has_marks = plain.to_numpy(zero_copy_only=False), marked.to_numpy(zero_copy_only=False)
+        first, last = np.full(len(words), -1, np.int64), np.full(len(words), -1, np.int64)
+        at = np.flatnonzero(is_plain)
+        first[at] = codes[: len(letters)]
+        last[at[has_marks]] = codes[len(letters) : len(letters) + len(marks)]
+        first[~is_plain] = codes[len(letters) + len(marks) :]
+        only_letters = np.zeros(len(found.dictionary), bool)
+        only_letters[codes[: len(letters)]] = True
+        return found.dictionary, only_letters, first, last
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
         codes, distinct, before = distinct_words(texts)
-        flat, ends, spots = self._looked_up(distinct.to_pylist())
-        spot = spots[codes]
-        starts, lengths = ends[spot], ends[spot + 1] - ends[spot]
-        total = np.r_[0, np.cumsum(lengths)]
-        return flat[spread(starts, lengths)], np.diff(total[before])
+        parts, letters, first, last = self._parts(distinct)
+        flat, ends, spots = self._looked_up(parts.to_pylist(), letters)
+        starts, lengths = ends[spots], ends[spots + 1] - ends[spots]
+        # the parts' ids in the order of words, and from there to texts
+        both = np.stack([first, last], axis=1).reshape(-1)
+        present = both >= 0
+        at, size = np.where(present, starts[both], 0), np.where(present, lengths[both], 0)
+        word_ids = flat[spread(at, size)]
+        word_sizes = size.reshape(-1, 2).sum(axis=1)
+        word_starts = np.cumsum(word_sizes) - word_sizes
+        lengths = word_sizes[codes]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        return word_ids[spread(word_starts[codes], lengths)], np.diff(total[before])
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -263,27 +296,29 @@ def _known(path: str) -> WordIds:
     return _WORDS[path]
 
 
-SHARD_SCHEMA = "first_doc long, seq long, n_docs long, n_tokens long, image binary"
+SHARD_SCHEMA = "part long, seq long, first_doc long, n_docs long, n_tokens long, image binary"
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode every whole text (NULL: empty), an end id after each, into shard files below ``path``.
 
-    Documents stand in ascending order of id, NULL first, equal ids by text. A document is never split, so a shard
-    is larger than asked for by less than one document.
+    Documents stand in ascending order of id, NULL first, equal ids by a hash of their text, so that rows of one id
+    (or none) can be spread over tasks. A shard is known by its range of documents and its number in it. A document is
+    never split, so a shard is larger than asked for by less than one document.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seq = _known(tokenizer), 0
+        words, seq, own = _known(tokenizer), 0, TaskContext.get().partitionId()
         ids: list[int | None] = []
         lengths: list[int] = []
         held: list[np.ndarray] = []
 
         def image() -> pa.RecordBatch:
             tokens = np.concatenate(held)
-            cells = [[ids[0]], [seq], [len(ids)], [len(tokens)], [pack(ids, lengths, tokens, words.bits)]]
-            types = [pa.int64()] * 4 + [pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], ["first_doc", "seq", "n_docs", "n_tokens", "image"])
+            cells = [[own], [seq], [ids[0]], [len(ids)], [len(tokens)], [pack(ids, lengths, tokens, words.bits)]]
+            types = [pa.int64()] * 5 + [pa.binary()]
+            names = ["part", "seq", "first_doc", "n_docs", "n_tokens", "image"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names)
 
         total = 0
         for batch in batches:
@@ -309,7 +344,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
             yield image()
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = slim.repartitionByRange(*order).sortWithinPartitions(*order)
     shards = ordered.mapInArrow(run, SHARD_SCHEMA)
     shards.write.option("maxRecordsPerFile", 1).option("compression", "none").parquet(path)
 
@@ -326,25 +362,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 sums = [zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(starts.tolist(), shard.lengths.tolist())]
                 n = len(sums)
                 columns = [
-                    pa.array([batch.column("first_doc")[k].as_py()] * n, pa.int64()),
+                    pa.array([batch.column("part")[k].as_py()] * n, pa.int64()),
                     pa.array([batch.column("seq")[k].as_py()] * n, pa.int64()),
                     pa.array(shard.doc_ids, pa.int64()),
                     pa.array(starts),
                     pa.array(shard.lengths),
                     pa.array(sums, pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["first_doc", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays(columns, ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     files = spark.read.parquet(path)
-    order = Window.partitionBy().orderBy(F.col("first_doc").asc_nulls_first(), "seq")
+    order = Window.partitionBy().orderBy("part", "seq")  # one small row for each shard of millions of tokens
     before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shards = files.select("first_doc", "seq", "n_tokens").withColumn("before", before).drop("n_tokens")
-    rows = files.select("first_doc", "seq", "image").mapInArrow(
-        run, "first_doc long, seq long, doc_id long, inside long, n_tokens long, ids_crc32 long"
-    )
-    joined = rows.alias("d").join(
-        shards.alias("s"), F.col("d.first_doc").eqNullSafe(F.col("s.first_doc")) & (F.col("d.seq") == F.col("s.seq"))
-    )
+    shards = files.select("part", "seq", "n_tokens").withColumn("before", before).drop("n_tokens")
+    rows = files.select("part", "seq", "image").mapInArrow(run, "part long, seq long, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    joined = rows.join(shards, ["part", "seq"])
     return joined.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
