@@ -13,6 +13,7 @@ vocabulary takes one token for each of its UTF-8 bytes.
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,9 @@ MARK = "▁"
 SCALE = 1 << 20
 BYTE_RANK = 1_000_000
 MAX_NODES = 250_000
+DEPTH = 256  # characters of a word that become nodes; beyond, the last scores are kept in place of nodes
+CACHE_WORDS = 500_000
+CHUNK = 8 << 20
 
 
 def load_pieces(path: str) -> dict[str, int]:
@@ -79,13 +83,59 @@ class Trie:
         if len(self.score) > MAX_NODES:
             self.clear()
         marked, path = MARK + word, [0]
-        for i, c in enumerate(marked):
+        for i, c in enumerate(marked[:DEPTH]):
             node = self.below[path[-1]].get(c)
             if node is None:
                 start = max(0, i + 1 - self.longest)
                 node = self._grow(path[-1], path[start:], marked[start : i + 1])
             path.append(node)
-        return self.count[path[-1]]
+        return self.count[path[-1]] if len(marked) <= DEPTH else self._rest(marked, path)
+
+    def _rest(self, marked: str, path: list[int]) -> int:
+        """The same scores for the characters beyond ``DEPTH``, of which only the last ``longest`` are kept."""
+        scores = deque((self.score[n] for n in path), self.longest)
+        counts = deque((self.count[n] for n in path), self.longest)
+        for i in range(DEPTH, len(marked)):
+            size = len(marked[i].encode("utf-8"))
+            best, fewest = scores[-1] + size * self.byte, counts[-1] + size
+            for length in range(1, len(scores) + 1):
+                piece = self.pieces.get(marked[i + 1 - length : i + 1])
+                if piece is not None:
+                    score, count = scores[-length] + piece, counts[-length] + 1
+                    if score > best or score == best and count < fewest:
+                        best, fewest = score, count
+            scores.append(best)
+            counts.append(fewest)
+        return counts[-1]
+
+
+class WordCounts:
+    """Token counts of words by one trie; the first ``CACHE_WORDS`` of them are kept from batch to batch."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.trie = Trie(pieces)
+        self.known: dict[str, int] = {}
+
+    def of(self, words: list[str]) -> np.ndarray:
+        counts = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        # in order, so that the nodes of a prefix are made and met together
+        new = sorted((words[i], i) for i in np.flatnonzero(counts < 0))
+        for word, i in new:
+            counts[i] = self.trie.tokens(word)
+        room = CACHE_WORDS - len(self.known)
+        short = [(w, int(counts[i])) for w, i in new if len(w) <= DEPTH]
+        self.known.update(short[: max(room, 0)])
+        return counts
+
+
+_COUNTS: dict[str, WordCounts] = {}
+
+
+def _known(model: str) -> WordCounts:
+    """One trie and cache, both bounded, for all tasks of a worker."""
+    if model not in _COUNTS:
+        _COUNTS[model] = WordCounts(load_pieces(model))
+    return _COUNTS[model]
 
 
 def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,14 +146,11 @@ def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(load_pieces(model))
+        counts = _known(model)
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK):
                 codes, words, before = distinct_words(part.column("text"))
-                sizes = np.fromiter(map(trie.tokens, sorted_words := sorted(words.to_pylist())), np.int64, len(words))
-                place = {w: i for i, w in enumerate(sorted_words)}
-                order = np.fromiter((place[w] for w in words.to_pylist()), np.int64, len(words))
-                total = np.r_[0, np.cumsum(sizes[order][codes])]
+                total = np.r_[0, np.cumsum(counts.of(words.to_pylist())[codes])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(before)), pa.array(np.diff(total[before]).astype(np.int64))], ["doc_id", "n_words", "n_tokens"]
                 )

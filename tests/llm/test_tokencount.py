@@ -79,3 +79,30 @@ def test_odd_rows(docs_of, pieces):
     want = [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 2, 2 * one("a")), (4, 2, 2 * one("a")), (None, 1, one("b")), (5, 1, one("x" * 20000)), (6, 20000, 20000 * one("word"))]
     assert got == sorted(want, key=repr)
     assert tokencount.count_tokens(docs_of([]), tokencount.vocabulary_path()).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abcé中", max_size=40), max_size=8), st.lists(st.text(alphabet="abcé" + tokencount.MARK, min_size=1, max_size=4), max_size=15, unique=True))
+def test_long_words_without_nodes(words, names):
+    pieces, depth = tokencount.scored(names), tokencount.DEPTH
+    tokencount.DEPTH = 6
+    try:
+        trie = tokencount.Trie(pieces)
+        assert [trie.tokens(w) for w in words] == [brute(pieces, w) for w in words]
+    finally:
+        tokencount.DEPTH = depth
+
+
+def test_one_long_word_makes_few_nodes(pieces):
+    trie = tokencount.Trie(pieces)
+    word = "ab" * 200_000
+    assert trie.tokens(word) > 50_000 and len(trie.score) <= tokencount.DEPTH + 1
+
+
+def test_counts_beyond_the_cache(pieces, monkeypatch):
+    monkeypatch.setattr(tokencount, "CACHE_WORDS", 2)
+    counts = tokencount.WordCounts(pieces)
+    words = ["hello", "world", "x" * 400, "hello", "help", "été"]
+    for _ in range(2):
+        assert counts.of(words).tolist() == [tokencount.Trie(pieces).tokens(w) for w in words]
+    assert len(counts.known) == 2
