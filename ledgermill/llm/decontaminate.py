@@ -149,7 +149,11 @@ def _result(hit: Column | None = None, items: Column | None = None) -> list[Colu
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, unchanged, in which no word is hit."""
+    """The rows of ``docs``, unchanged, in which no word is hit.
+
+    NULL, empty and wordless texts are not hit and stay; repeated rows stay or go together; an empty table, or one of
+    items, drops nothing. All columns are kept.
+    """
     bad = hits(docs, items, id_col, text_col).where("contaminated").select(*KEY).distinct()
     return unpacked(packed(docs, id_col, text_col).join(bad, KEY, "left_anti"))
 

@@ -1,7 +1,7 @@
 """Language identification: known words first, then shorter and shorter character n-grams.
 
-Learning takes ``SAMPLE_ROWS`` labelled rows at most, those with the smallest hash of id and text, and
-keeps ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each language and length, the most frequent ones. Both
+Learning takes ``SAMPLE_ROWS`` distinct texts of each language at most, those with the smallest hash, so that rare languages are
+learned and repeated rows count once, and keeps ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each language and length, the most frequent ones. Both
 bounds limit the model only; every row is classified from its whole text.
 """
 
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgermill.llm.textops import chunks, distinct_words
+from ledgermill.operators.exprs import small_side
 from ledgermill.session import settle
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 1000
 MAX_WORDS = 20_000
 MAX_GRAMS = 10_000
 LONGEST = 5
@@ -108,14 +109,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from at most ``sample_rows`` rows with text and language."""
+    """A model from at most ``sample_rows`` distinct texts of each language."""
     labelled = rows.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    place = F.xxhash64(F.col(id_col), F.col(text_col))
-    slim = labelled.select(place.alias("place"), F.col(lang_col).alias("lang"))
-    edge = slim.orderBy("place").limit(sample_rows).agg(F.max("place")).first()[0]
-    if edge is None:
+    labelled = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("place"), F.col(text_col).alias("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))  # tasks pass on their first rows only
+    chosen = labelled.select("lang", "place").distinct().withColumn("n", first).where(F.col("n") <= sample_rows).drop("n")
+    chosen = settle(chosen, "sample")
+    if chosen.isEmpty():
         return Model([], [{} for _ in range(LONGEST + 1)], [np.zeros((0, 0))] * (LONGEST + 1))
-    sample = labelled.where(place <= edge).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sample = labelled.join(small_side(chosen), ["lang", "place"]).dropDuplicates(["lang", "place"]).select("lang", "text")
     found = sample.mapInArrow(_counts, "lang string, size int, item string, n long")
     counts = settle(found.groupBy("lang", "size", "item").agg(F.sum("n").alias("n")), "words")
     totals = {(r.lang, r.size): (r.n, r.kinds) for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
@@ -213,15 +215,21 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language is identified with a score of ``MIN_SCORE`` or more."""
+    """The rows of ``docs``, unchanged, whose language is identified with a score of ``MIN_SCORE`` or more.
+
+    NULL, empty and letterless texts are not identified and go; repeated rows stay or go together; an empty table
+    gives no row. All columns are kept.
+    """
     model = learn(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordScores(model)
         for batch in batches:
-            for part in chunks(batch, text_col):
-                names, score = judged(known, part.column(text_col))
+            for part in chunks(batch, text):
+                names, score = judged(known, part.column(text))
                 kept = [n != UNKNOWN and s >= MIN_SCORE for n, s in zip(names, score)]
                 yield part.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    text = f"c{docs.columns.index(text_col)}"
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names may hold dots
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

@@ -69,7 +69,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the text that is left."""
+    """The rows of ``docs`` with the text that is left.
+
+    NULL stays NULL; empty texts and texts of fewer than three lines stay as they are; repeated rows are one document and keep
+    equal texts; an empty table gives no row. All columns are kept.
+    """
     joined = packed(docs, id_col, text_col).join(covered_lines(docs, id_col, text_col), KEY, "left")
     return unpacked(joined.select(F.col("row").withField(f"`{text_col}`", _kept(F.col("row").getField(text_col), F.col("gone"))).alias("row")))
 

@@ -21,6 +21,7 @@ MOST = 3
 SEED = "mix-1"
 KEY_BITS = 60
 RANGE_ROWS = 2_000
+REPEATS_AT_ONCE = 1 << 14
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -55,7 +56,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_rows: int = RANGE_ROWS) -> DataFrame:
-    """``k_id, k_th, doc_id, size, source_size, target, taken, copies`` of every row.
+    """``k_id, k_th, doc_id, source, size, source_size, target, taken, copies, epochs`` of every row.
 
     ``taken`` adds up to the whole words of the target in every source: the document at the cut is taken in part.
     ``copies`` counts it as a whole if at least half of it is taken. Sizes are words; NULL and blank texts
@@ -69,8 +70,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         n_words(F.col(text_col)).alias("size"),
         random_key(id_col, text_col).alias("key"),
     )
-    rows = settle(rows, "sizes")
-    sizes = settle(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
+    rows = settle(rows.groupBy(*rows.columns).agg(F.count("*").alias("m")), "sizes")  # repeated rows are one unit of m
+    sizes = settle(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"), F.sum("m").alias("n")), "sources")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(total, 1) / range_rows)))
     plan = settle(targets(sizes.select("source", "source_size")).withColumn("s", F.xxhash64("source")), "targets")
@@ -80,34 +81,68 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = plan.withColumn("epochs", epochs).withColumn("rest", rest)
 
     placed = rows.withColumn("part", F.shiftright("key", KEY_BITS - bits))
-    parts = placed.groupBy("source", "part").agg(F.sum("size").alias("words"))
+    words = F.col("size") * F.col("m")
+    parts = placed.groupBy("source", "part").agg(F.sum(words).alias("words"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("earlier", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     parts = parts.alias("p").join(small_side(plan).alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
     parts = parts.select("p.source", "part", "earlier", "source_size", "target", "epochs", "rest")
     inside = Window.partitionBy("source", "part").orderBy("key", "doc_id", "k_th").rowsBetween(Window.unboundedPreceding, -1)
-    summed = placed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    summed = placed.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0)))
     joined = summed.alias("d").join(
         parts.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.part") == F.col("p.part"))
     )
-    partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("earlier") - F.col("inside")))
-    return joined.withColumn("partial", partial).select(
+    found = joined.select("d.*", "source_size", "target", "epochs", (F.col("rest") - F.col("earlier") - F.col("inside")).alias("left"))
+    return _each_repeat(found).select(
         "k_id",
         "k_th",
         "doc_id",
+        "source",
         "size",
         "source_size",
         "target",
         (F.col("epochs") * F.col("size") + F.col("partial")).alias("taken"),
-        (F.col("epochs") + F.when((F.col("partial") > 0) & (F.col("partial") * 2 >= F.col("size")), 1).otherwise(0)).alias("copies"),
+        F.when(F.col("size") > 0, F.col("epochs") + F.when((F.col("partial") > 0) & (F.col("partial") * 2 >= F.col("size")), 1).otherwise(0))
+        .otherwise(0)
+        .alias("copies"),
+        "epochs",
     )
 
 
+def _each_repeat(units: DataFrame) -> DataFrame:
+    """One row for each of a unit's m repeated rows, with the ``partial`` words that the cut leaves it; many repeats are spread over tasks."""
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / REPEATS_AT_ONCE))
+    many = units.where(F.col("m") > REPEATS_AT_ONCE).withColumn("block", F.explode(blocks)).repartition("key", "block")
+    rows = units.where(F.col("m") <= REPEATS_AT_ONCE).withColumn("block", F.lit(0).cast("long")).unionByName(many)
+    first = F.col("block") * REPEATS_AT_ONCE
+    here = F.sequence(first, F.least(first + REPEATS_AT_ONCE, F.col("m")) - 1)
+    rows = rows.withColumn("at", F.explode(here))
+    return rows.withColumn("partial", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("at") * F.col("size"))))
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix has copies of it."""
-    copies = mix(docs, id_col, text_col, source_col).groupBy("k_id", "k_th").agg(F.max("copies").alias("copies"))
-    rows = packed(docs, id_col, text_col).join(copies.where("copies > 0"), ["k_id", "k_th"])
-    return unpacked(rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))))
+    """The rows of ``docs``, each as often as the mix has copies of it.
+
+    Rows equal in id, text and source share their copies: each gets the whole epochs, and one of them
+    stands for those that the last epoch takes. So a source's words differ from its target by half a document at most,
+    repeated rows or not. NULL, empty and blank texts have no words and no copy; an empty table gives no row. All
+    columns are kept.
+    """
+    own = ["k_id", "k_th", "s"]
+    counted = mix(docs, id_col, text_col, source_col).withColumn("s", F.xxhash64("source"))
+    counted = counted.groupBy(*own).agg(F.sum("copies").alias("copies"), F.count("*").alias("m"), F.first("epochs").alias("epochs"))
+    counted = settle(counted.where("copies > 0"), "copies")
+    rows = packed(docs, id_col, text_col).withColumn("s", F.xxhash64(F.col("row").getField(source_col).cast("string"))).join(counted, own)
+
+    def times(df: DataFrame, n: str) -> DataFrame:
+        return df.where(F.col(n) > 0).select("row", F.explode(F.sequence(F.lit(1), F.col(n))).alias("copy"))
+
+    out = times(rows.where("m = 1"), "copies")
+    if not counted.where("m > 1").isEmpty():
+        repeated = rows.where("m > 1")
+        last = F.first(F.col("copies") - F.col("epochs") * F.col("m")).alias("last")
+        out = out.union(times(repeated, "epochs")).union(times(repeated.groupBy(*own).agg(F.first("row").alias("row"), last), "last"))
+    return unpacked(out.select("row"))
 
 
 SQL = """

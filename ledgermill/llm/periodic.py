@@ -249,8 +249,8 @@ def collapsed(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text", CHUNK):
-                texts = part.column("text")
+            for part in chunks(batch, text, CHUNK):
+                texts = part.column(text)
                 codes, _, before = distinct_words(texts)
                 changed = texts.to_pylist()
                 runs = find_runs(codes, before)
@@ -262,9 +262,9 @@ def collapsed(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 for d in {int(np.searchsorted(before, s, side="right")) - 1 for s, _, _ in runs}:
                     words = changed[d].encode().split()
                     changed[d] = b" ".join(w for w, k in zip(words, kept[before[d] : before[d + 1]]) if k).decode()
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(changed, pa.string())], ["row", "text"])
+                yield part.set_column(place, part.schema.field(place), pa.array(changed, texts.type))
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col(text_col).alias("text"))
-    done = rows.mapInArrow(run, rows.schema)
-    return done.select(F.col("row").withField(f"`{text_col}`", F.col("text")).alias("row")).select("row.*")
+    place = docs.columns.index(text_col)
+    text = f"c{place}"
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names may hold dots
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

@@ -182,7 +182,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, the one with the smallest id (then the smallest text hash); NULL ids come first."""
+    """One row of each component, the one with the smallest id (then the smallest text hash); NULL ids come first.
+
+    NULL, empty and blank texts are near copies of each other; of repeated rows one stays; an empty table gives no row. All
+    columns are kept.
+    """
     found = simhash_components(docs, id_col, text_col)
     first = found.groupBy("root").agg(F.min(F.struct("k_id", "k_th")).alias("k")).select("k.k_id", "k.k_th")
     kept = packed(docs, id_col, text_col).join(first, ["k_id", "k_th"], "left_semi")

@@ -1,4 +1,9 @@
+import math
+import random
 import zlib
+from collections import Counter
+
+import regex
 
 from llm_fixtures import docs_of  # noqa: F401
 
@@ -52,3 +57,59 @@ def test_pieces_beyond_the_cache(monkeypatch, docs_of):
     for pieces in (["the", "le", "worda"], ["wordb", "the", "wordc", "wordd"], ["worde", "wordb", "le"], ["the"]):
         assert (scores.lookup(pieces) == model.scores(pieces)).all()
     assert len(scores.place) == 5
+
+
+def brute(rows):
+    """Every row's language and score by plain counting, from all rows that are not held out."""
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 4 == 2
+    learned = {(t, g) for d, t, g in rows if t is not None and g is not None and not held(d)}
+    names = sorted({g for _, g in learned})
+    counts = {(g, s): Counter() for g in names for s in range(langid.LONGEST + 1)}
+    for t, g in learned:
+        for w in regex.findall(r"\p{L}+", t.lower()):
+            counts[g, 0][w] += 1
+            for s in range(1, langid.LONGEST + 1):
+                marked = f"<{w}>" if s > 1 else w
+                counts[g, s].update(marked[i : i + s] for i in range(len(marked) - s + 1))
+
+    def log(g, s, item):
+        c = counts[g, s]
+        return math.log((c[item] + langid.SMOOTHING) / (sum(c.values()) + langid.SMOOTHING * (len(c) + 1)))
+
+    out = []
+    for d, t, _ in rows:
+        words, total = regex.findall(r"\p{L}+", (t or "").lower()), dict.fromkeys(names, 0.0)
+        for w in words:
+            for s in range(0, -langid.LONGEST - 1, -1):
+                size = 0 if s == 0 else langid.LONGEST + 1 + s
+                marked = f"<{w}>" if size > 1 else w
+                items = [w] if not size else [marked[i : i + size] for i in range(len(marked) - size + 1)]
+                known = [x for x in items if any(counts[g, size][x] for g in names)]
+                if known:
+                    for g in names:
+                        total[g] += sum(log(g, size, x) for x in known) / len(known)
+                    break
+        best = max(names, key=lambda g: (total[g], -names.index(g)))
+        share = 1 / sum(math.exp(v - total[best]) for v in total.values())
+        out.append((d, held(d), best if words else "und", share if words else 0.0))
+    return out
+
+
+def test_against_brute_force(docs_of):
+    rng = random.Random(3)
+    letters = {"en": "abcdet", "fr": "abceé", "xx": "abczß"}
+    word = lambda g: "".join(rng.choice(letters[g]) for _ in range(rng.randint(1, 7)))
+    rows = [(i, " ".join(word(g) for _ in range(rng.randint(0, 12))), rng.choice([g, g, None])) for i in range(120) for g in [rng.choice(list(letters))]]
+    rows += [(200, None, "en"), (201, "", "fr"), (202, "12 !", None), (None, "abc ABC", "en"), (3, rows[3][1], rows[3][2]), (204, "ab" * 3000, None)]
+    got = sorted(map(tuple, langid.identify(docs_of(rows)).collect()), key=repr)
+    for g, w in zip(got, sorted(brute(rows), key=repr), strict=True):
+        assert g[:3] == w[:3] and abs(g[3] - w[3]) < 1e-9
+
+
+def test_rare_languages_are_learned_and_repeats_count_once(docs_of):
+    rows = [(4 * i, "the cat sat", "en") for i in range(3000)] + [(20_000 + i, f"le chat numéro{i}", "fr") for i in range(300)] + [(50_001 + 2 * i, "кот сидел тут", "ru") for i in range(8)]
+    docs = docs_of(rows)
+    model = langid.learn(docs, "doc_id", "text", "lang", sample_rows=50)
+    assert model.languages == ["en", "fr", "ru"]
+    assert sum(w.startswith("numéro") for w in (w for w in model.tables[0])) <= 50
+    assert {r.lang_pred for r in langid.identify(docs).where("doc_id > 50000").collect()} == {"ru"}

@@ -61,6 +61,29 @@ def test_copies_take_effect(docs_of):
     assert {d: rows.count(d) for d in copies} == copies and copies[1] == 3
 
 
+@pytest.mark.parametrize("at_once", [1 << 14, 7])
+def test_repeated_rows(docs_of, monkeypatch, at_once):
+    """A third of all rows are one row: words of each source come to its target, within half a document."""
+    monkeypatch.setattr(mix, "REPEATS_AT_ONCE", at_once)
+    rng = random.Random(6)
+    rows = [(1, "w " * 9, None, "a")] * 100 + [(2 + i, "w " * rng.randint(1, 30), None, rng.choice("aabc")) for i in range(200)]
+    rows += [(1, "w " * 9, None, "c")] * 5 + [(None, "w w w", None, None)] * 40 + [(None, None, None, "b")] * 3
+    docs = docs_of(rows).selectExpr("*", "1 as m", "2 as s", "3 as copies")
+    whole = mix.mix(docs).collect()
+    assert len(whole) == len(rows) and sum(r.taken for r in whole) == sum({r.source: int(r.target + 1e-6) for r in whole}.values())
+    got = mix.mixed(docs)
+    assert got.columns == docs.columns
+    words, copies = {}, {}
+    for r in got.collect():
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    for r in whole:
+        copies[r.source] = copies.get(r.source, 0) + r.copies * r.size
+        assert r.copies <= 3
+    assert words == {k: v for k, v in copies.items() if v}
+    for source, target in {r.source: r.target for r in whole}.items():
+        assert abs(words.get(source, 0) - target) <= 15 + 1
+
+
 def test_empty_and_native(docs_of):
     empty = mix.mix(docs_of([]))
     assert empty.count() == 0 and mix.mixed(docs_of([])).count() == 0
