@@ -1,7 +1,9 @@
 """From raw documents to encoded training data, stage by stage.
 
 Every stage takes ``(spark, docs, sf_dir)``; what it returns is written as Parquet to the shared folder
-and read again as the next stage's ``docs``.
+and read again as the next stage's ``docs``. NULL, empty and letterless texts go in the first stage; of repeated rows,
+as of near copies, one is left by the second; an empty table passes through all of them. Columns beside those of
+documents are kept, whatever their names, until the last stage.
 """
 
 from __future__ import annotations
