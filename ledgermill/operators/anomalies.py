@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import num
 from ledgermill.operators.keyed_windows import BLOCK_ROWS, MAX_GROUP_ROWS, find_skew, rolling_rows
-from ledgermill.session import settle
 from ledgermill.reference_data import ANOMALY_THRESHOLD
 from ledgermill.session import settle
 
