@@ -4,7 +4,8 @@ Letters are hashed to ``SYMBOLS`` symbols, so that the full one-edit neighbourho
 members instead of hundreds. Members are joined with the reduced vocabulary, and what meets is compared in its
 original spelling. A pair one edit apart is generated once: the longer word deletes (what the shorter one would
 insert), the word with the lower symbol raises it (what the other would lower), and words that
-are equal after the reduction meet as they are. So no pair is missed and none comes twice.
+are equal after the reduction meet as they are. So no pair is missed and none comes twice. Words above ``LONG_WORD``
+letters, whose neighbourhoods would grow without bound, meet by their first or last ``END`` letters instead.
 
 Vocabulary and neighbourhoods are tables that Spark shuffles by hash; nothing is gathered in one task, and a word that
 fills a third of the corpus is one row before the first shuffle of words.
@@ -30,6 +31,8 @@ LEAST_COUNT = 2
 RATIO = 10
 CHUNK = 8 << 20
 LONG_RUN = 64
+LONG_WORD = 64
+END = 31
 WORDS_AT_ONCE = 20_000
 JUMPS = 5
 
@@ -224,10 +227,44 @@ def neighbour_keys(words: DataFrame, symbols: int) -> DataFrame:
 
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """``a, a_n, b, b_n``: each pair of words exactly one inserted, deleted or replaced letter apart, once."""
-    left = neighbour_keys(words, symbols).select("key", "own", F.col("word").alias("a"), F.col("n").alias("a_n"))
-    right = keyed(words, symbols).select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    size = F.length("word")
+    short = words.where(size <= LONG_WORD)
+    left = neighbour_keys(short, symbols).select("key", "own", F.col("word").alias("a"), F.col("n").alias("a_n"))
+    right = keyed(short, symbols).select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
     met = left.join(right, "key").where(~F.col("own") | (F.col("a") < F.col("b")))
-    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "a_n", "b", "b_n")
+    near = met.where(F.levenshtein("a", "b", 1) == 1).select("a", "a_n", "b", "b_n")
+    return near.union(_long_pairs(words.where(size >= LONG_WORD)))
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether the longer word ``b`` (or one as long) differs by exactly one letter; in one pass, whatever their length."""
+    x, y = (np.frombuffer(w.encode("utf-32-le"), "<u4") for w in (a, b))
+    differ = np.flatnonzero(x != y[: len(x)])
+    at = int(differ[0]) if len(differ) else len(x)
+    if len(x) == len(y):
+        return len(differ) == 1
+    return len(y) == len(x) + 1 and bool((x[at:] == y[at + 1 :]).all())
+
+
+def _only_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        near = [one_edit(a, b) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
+        yield batch.filter(pa.array(near, pa.bool_()))
+
+
+def _long_pairs(words: DataFrame) -> DataFrame:
+    """Pairs with a word above ``LONG_WORD`` letters, whose whole neighbourhood would grow with the square of its length.
+
+    One edit leaves the first or the last ``END`` letters as they are, so words meet by these and by their length.
+    """
+    first, last = F.substring("word", 1, END), F.substring("word", -END, END)
+    ends = F.array(F.struct(F.lit(0).alias("side"), first.alias("end")), F.struct(F.lit(1).alias("side"), last.alias("end")))
+    rows = words.select("word", "n", F.length("word").alias("size"), F.inline(ends))
+    left = rows.select("side", "end", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("size").alias("own"), F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size"))
+    right = rows.select("side", "end", "size", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    met = left.join(right, ["side", "end", "size"]).where((F.col("size") > LONG_WORD) & ((F.col("size") > F.col("own")) | (F.col("a") < F.col("b"))))
+    twice = (F.col("side") == 1) & (F.substring("a", 1, END) == F.substring("b", 1, END))
+    return met.where(~twice).select("a", "a_n", "b", "b_n").mapInArrow(_only_near, "a string, a_n long, b string, b_n long")
 
 
 def roots(forms: DataFrame) -> DataFrame:

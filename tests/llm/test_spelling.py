@@ -87,6 +87,23 @@ def test_without_cut_letters_and_other_alphabets(docs_of):
         assert result(spelling.spelling_variants(docs_of(rows), symbols=symbols)) == want
 
 
+def test_long_words(docs_of):
+    """Lengths around the limit, edits at every kind of place, and a run of 200,000 letters."""
+    rng = random.Random(8)
+    rows, words = [], []
+    for i in range(40):
+        w = "".join(rng.choice("abc") for _ in range(rng.choice([62, 63, 64, 65, 66, 90])))
+        words.append(w)
+        for _ in range(4):
+            k = rng.choice([0, 1, 30, 31, 32, len(w) // 2, len(w) - 32, len(w) - 31, len(w) - 1])
+            words.append(rng.choice([w[:k] + w[k + 1 :], w[:k] + "z" + w[k:], w[:k] + "y" + w[k + 1 :]]))
+    rows = [(i, f"{w} {w}" if i % 5 else " ".join([w] * 25)) for i, w in enumerate(words)]
+    assert result(spelling.spelling_variants(docs_of(rows))) == brute(rows, None)
+    huge = "ab" * 100_000
+    got = spelling.spelling_variants(docs_of([(1, huge + " " + huge), (2, f"{huge}c {huge}c"), (3, f"c{huge} c{huge}")])).collect()
+    assert {len(r.word): r.n_near for r in got if r.word == huge} == {200_000: 2} and len(got) == 3
+
+
 def test_chain_of_forms(docs_of):
     counts = [("abcdefg", 2), ("abcdefgh", 20), ("abcdefghi", 200), ("abcdefghij", 2000)]
     rows = [(i, " ".join([w] * n)) for i, (w, n) in enumerate(counts)]
