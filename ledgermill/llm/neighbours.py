@@ -1,12 +1,13 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table rotates a unit vector by three rounds of random signs and a fast Hadamard transform and takes its largest coordinate,
-with sign. In larger sets a table joins the axes of several rotations to one key, as many as leave a group about ``BLOCK``
-vectors: all rotations but the last name the group, the last one the bucket in it (``plan``). A query probes the joint keys of
-the highest sums of coordinates in each table; fewer, relative to all keys, the more vectors there are. Groups are cut
-into blocks of ``BLOCK`` vectors and of ``BLOCK`` probing queries; a block compares each query with the vectors in the buckets that it
-probes, exactly and in double precision, and returns the nearest few. A query that finds too few
-candidates is compared with all vectors, in blocks.
+with sign. A table joins the axes of ``JOINED`` rotations to one key: all but the last name the group, the last one the bucket
+in it. A query first probes the ``FIRST`` joint keys of the highest sums of coordinates in each table, then as many more as the
+angle of the nearest that it found asks for (``wanted``): the nearer they are, the fewer. No step asks how many rows there are, so a
+query that finds the same neighbours is answered alike in a table of any size. A block compares each query with the
+vectors in the buckets that it probes, exactly and in double precision, and returns the nearest few. Buckets of a group share blocks of about
+``BLOCK`` vectors, larger buckets and more than ``BLOCK`` probing queries are cut; that is layout and changes no result. A
+query that finds too few candidates is compared with all vectors, in blocks.
 
 Equal vectors are one class in the tables; a class keeps its smallest ids, as many as one result can hold.
 """
@@ -25,12 +26,13 @@ from ledgermill.session import settle
 
 TABLES = 16
 PROBES = 16  # of single axes
-JOINT_PROBES = 256  # of pairs of axes, in the smallest sets that need them
+JOINT_PROBES = 256  # of pairs of axes, where the nearest are as far as those of BLOCK random vectors
+JOINED = 2  # rotations
+FIRST = 16  # joint keys that every query probes
 NEAREST = 10
 BLOCK = 2048
 SEED = 17
 CLASS = ["c1", "c2"]
-SPOT = ["dim", "place", "bucket", "block", "part"]
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -48,10 +50,14 @@ def width(dim: int) -> int:
     return 1 << max(dim - 1, 0).bit_length()
 
 
+def units(vectors: np.ndarray) -> np.ndarray:
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # squares of huge or tiny components stay finite
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
 def rotated(vectors: np.ndarray, place: int) -> np.ndarray:
     """Pseudo-random rotation ``place`` of the unit vectors, padded to a power of two."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # squares of huge or tiny components stay finite
-    unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+    unit = units(vectors)
     d = width(vectors.shape[1])
     out = np.zeros((len(unit), d))
     out[:, : unit.shape[1]] = unit
@@ -62,9 +68,9 @@ def rotated(vectors: np.ndarray, place: int) -> np.ndarray:
 
 
 def plan(classes: int, dim: int) -> tuple[int, int]:
-    """Rotations that a table joins, and joint keys that a query probes in it.
+    """Rotations that a table of so many random vectors could join, and joint keys that a query would probe in it.
 
-    Probes fall with the cube root of the number of vectors. Each further rotation makes keys 2 x width times as many and probes
+    For estimates only: the search does not ask for the number of vectors. Probes fall with the cube root of the number of vectors. Each further rotation makes keys 2 x width times as many and probes
     sixteen times.
     """
     joined, axes = 1, 2 * width(dim)
@@ -76,6 +82,19 @@ def plan(classes: int, dim: int) -> tuple[int, int]:
     return joined, min(max(round(probes), 1), axes**joined)
 
 
+def wanted(cosines: np.ndarray, dim: int) -> np.ndarray:
+    """Joint keys that a query probes in each table if the last of the nearest that it found has this cosine.
+
+    Among as many random directions as ``NEAREST`` over the share of the sphere within that angle, the nearest would be as near; probes fall
+    with the cube root of that number.
+    """
+    angles = np.linspace(0, np.pi, 4097)
+    share = np.cumsum(np.sin(angles) ** max(dim - 2, 0))
+    near = np.interp(np.arccos(np.clip(cosines, -1, 1)), angles, share / share[-1])
+    probes = JOINT_PROBES * (BLOCK * near / NEAREST) ** (1 / 3)
+    return np.clip(np.round(probes), 1, (2 * width(dim)) ** JOINED).astype(np.int64)
+
+
 def signed_axes(vectors: np.ndarray, place: int) -> np.ndarray:
     """Coordinate of each signed axis (2 x axis, + 1 if negative) after rotation ``place``."""
     turned = rotated(vectors, place)
@@ -109,7 +128,7 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _indexed(rows: DataFrame, plans: dict[int, tuple[int, int]]) -> DataFrame:
+def _indexed(rows: DataFrame) -> DataFrame:
     """Every class under its own key in each table: ``place``, the group ``bucket``, and ``fine`` in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,9 +136,8 @@ def _indexed(rows: DataFrame, plans: dict[int, tuple[int, int]]) -> DataFrame:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                joined, _ = plans[int(dim)]
                 vectors, axes = _matrix(part.column("vec")), 2 * width(int(dim))
-                keys = np.concatenate([joint_keys(vectors, t, joined, 1) for t in range(TABLES)], axis=1)
+                keys = np.concatenate([joint_keys(vectors, t, JOINED, 1) for t in range(TABLES)], axis=1)
                 offsets = pa.array(np.arange(0, keys.size + 1, TABLES, dtype=np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x.reshape(-1))) for x in (keys // axes, keys % axes)]
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *lists], [*names, "buckets", "fines"])
@@ -128,47 +146,54 @@ def _indexed(rows: DataFrame, plans: dict[int, tuple[int, int]]) -> DataFrame:
     return rows.select(*names).mapInArrow(run, "c1 long, c2 long, least long, dim int, vec array<double>, buckets array<long>, fines array<long>")
 
 
-def _probing(rows: DataFrame, plans: dict[int, tuple[int, int]]) -> DataFrame:
-    """One row for each group that a query probes, with the buckets in it."""
+def _probing(rows: DataFrame) -> DataFrame:
+    """One row for each group that a query probes, with the buckets in it: its first keys, or those after them if it has a ``cosine``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
-            for i, dim in enumerate(dims.tolist()):
-                part = batch.slice(i, 1)
-                joined, probes = plans[dim]
-                vectors, axes = _matrix(part.column("vec")), 2 * width(dim)
-                place, bucket, fines = [], [], []
-                for t in range(TABLES):
-                    keys = np.sort(joint_keys(vectors, t, joined, probes)[0])
-                    groups, first = np.unique(keys // axes, return_index=True)
-                    place += [t] * len(groups)
-                    bucket += groups.tolist()
-                    fines += [x.tolist() for x in np.split(keys % axes, first[1:])]
-                again = pa.array(np.zeros(len(place), np.int64))
-                kept = [part.column(n).take(again) for n in ("c1", "c2", "dim", "vec")]
-                types = (pa.int32(), pa.int64(), pa.list_(pa.int64()))
-                made = [pa.array(x, t) for x, t in zip((place, bucket, fines), types)]
-                yield pa.RecordBatch.from_arrays([*kept, *made], ["q1", "q2", "dim", "vec", "place", "bucket", "fines"])
-
-    return rows.select(*CLASS, "dim", "vec").mapInArrow(run, "q1 long, q2 long, dim int, vec array<double>, place int, bucket long, fines array<long>")
+            for dim in np.unique(dims).tolist():
+                own = np.flatnonzero(dims == dim)
+                probes = np.full(len(own), FIRST)
+                if "cosine" in batch.schema.names:
+                    probes = wanted(batch.column("cosine").to_numpy()[own], dim)
+                skip = FIRST if "cosine" in batch.schema.names else 0
+                order = np.argsort(probes, kind="stable")
+                own, probes, axes = own[order], probes[order], 2 * width(dim)
+                for start in range(0, len(own), 32):
+                    some, most = own[start : start + 32], probes[start : start + 32]
+                    part = batch.take(pa.array(some))
+                    vectors = _matrix(part.column("vec"))
+                    owner, place, bucket, fines = [], [], [], []
+                    for t in range(TABLES):
+                        for k, best in enumerate(joint_keys(vectors, t, JOINED, int(most.max()))):
+                            keys = np.sort(best[skip : most[k]])
+                            groups, first = np.unique(keys // axes, return_index=True)
+                            owner += [k] * len(groups)
+                            place += [t] * len(groups)
+                            bucket += groups.tolist()
+                            fines += [x.tolist() for x in np.split(keys % axes, first[1:])] if len(groups) else []
+                    kept = [part.column(n).take(pa.array(owner, pa.int64())) for n in ("c1", "c2", "dim", "vec")]
+                    types = (pa.int32(), pa.int64(), pa.list_(pa.int64()))
+                    made = [pa.array(x, t) for x, t in zip((place, bucket, fines), types)]
+                    yield pa.RecordBatch.from_arrays([*kept, *made], ["q1", "q2", "dim", "vec", "place", "bucket", "fines"])
+
+    return rows.mapInArrow(run, "q1 long, q2 long, dim int, vec array<double>, place int, bucket long, fines array<long>")
 
 
 def _nearest(index: pa.Table, probes: pa.Table) -> pa.Table:
-    """The nearest classes of one block for each query that probes it; a query without buckets asks for all."""
-    found: list[list[np.ndarray]] = [[], [], [], [], [], []]
+    """The nearest classes of one block for each query that probes it."""
+    found: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
     if index.num_rows and probes.num_rows:
         index, probes = index.combine_chunks(), probes.combine_chunks()
         have, ask = (_matrix(t.column("vec").combine_chunks()) for t in (index, probes))
         c1, c2, least, fine = (index.column(n).to_numpy() for n in ("c1", "c2", "least", "fine"))
         order = np.argsort(fine, kind="stable")
-        ranked, asked = fine[order], probes.column("fines").to_pylist()
-        for q1, q2, vector, fines in zip(probes.column("q1").to_pylist(), probes.column("q2").to_pylist(), ask, asked):
-            if fines is None:
-                rows = order
-            else:
-                low, high = np.searchsorted(ranked, fines), np.searchsorted(ranked, fines, side="right")
-                rows = order[spread(low, high - low)]
+        ranked, asked, turned, facing = fine[order], probes.column("fines").to_pylist(), units(have), units(ask)
+        for q1, q2, vector, facing_to, fines in zip(probes.column("q1").to_pylist(), probes.column("q2").to_pylist(), ask, facing, asked):
+            fines = np.sort(fines)
+            low, high = np.searchsorted(ranked, fines), np.searchsorted(ranked, fines, side="right")
+            rows = order[spread(low, high - low)]
             if not len(rows):
                 continue
             with np.errstate(over="ignore"):
@@ -178,38 +203,58 @@ def _nearest(index: pa.Table, probes: pa.Table) -> pa.Table:
                 rows, row = rows[some], row[some]
             near = np.lexsort((least[rows], row))[: NEAREST + 1]
             rows, row = rows[near], row[near]
-            cells = (np.full(len(row), q1), np.full(len(row), q2), c1[rows], c2[rows], least[rows], row)
+            cells = (np.full(len(row), q1), np.full(len(row), q2), c1[rows], c2[rows], least[rows], row, turned[rows] @ facing_to)
             for column, values in zip(found, cells):
                 column.append(values)
     arrays = [np.concatenate(c) if c else np.zeros(0) for c in found]
-    types = [pa.int64()] * 5 + [pa.float64()]
-    return pa.table([pa.array(a, t, from_pandas=False) if len(a) else pa.array([], t) for a, t in zip(arrays, types)], ["q1", "q2", "c1", "c2", "least", "score"])
+    types = [pa.int64()] * 5 + [pa.float64()] * 2
+    names = ["q1", "q2", "c1", "c2", "least", "score", "cosine"]
+    return pa.table([pa.array(a, t, from_pandas=False) if len(a) else pa.array([], t) for a, t in zip(arrays, types)], names)
 
 
 def _search(index: DataFrame, asked: DataFrame) -> DataFrame:
-    """``q1, q2, c1, c2, least, score``: nearest classes that the queries' probes meet; blocks bound both sides."""
+    """``q1, q2, c1, c2, least, score, cosine``: nearest classes that the queries' probes meet; blocks bound both sides."""
     spot = ["dim", "place", "bucket"]
     asked = settle(asked, "probes")
     placed = index.select(*CLASS, "least", "dim", "vec", F.posexplode(F.arrays_zip("buckets", "fines")).alias("place", "x"))
     placed = placed.select(*CLASS, "least", "dim", "vec", "place", F.col("x.buckets").alias("bucket"), F.col("x.fines").alias("fine"))
-    blocks = placed.groupBy(*spot).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    parts = asked.groupBy(*spot).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    sizes = settle(blocks.join(parts, spot), "blocks")  # groups that no query probes are left out
-    zero = F.lit(0).cast("long")
-    placed = placed.join(sizes, spot).withColumn("block", F.pmod("c1", F.col("blocks"))).withColumn("part", F.explode(F.sequence(zero, F.col("parts") - 1)))
-    asked = asked.join(sizes, spot).withColumn("part", F.pmod("q1", F.col("parts"))).withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))
-    left = placed.select(*SPOT, *CLASS, "least", "vec", "fine").groupBy(*SPOT)
-    right = asked.select(*SPOT, "q1", "q2", "vec", "fines").groupBy(*SPOT)
-    return left.cogroup(right).applyInArrow(_nearest, "q1 long, q2 long, c1 long, c2 long, least long, score double")
+    # neighbouring buckets share a block of about BLOCK vectors; one with more is cut by the class
+    counts = placed.groupBy(*spot, "fine").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*spot).orderBy("fine")) - F.col("n")
+    buckets = counts.select(*spot, "fine", F.floor(before / BLOCK).alias("slice"), F.ceil(F.col("n") / BLOCK).alias("cuts"))
+    buckets = settle(buckets, "buckets")
+    wide = asked.withColumn("fine", F.explode("fines")).drop("fines").join(buckets, [*spot, "fine"])
+    every = asked.where("fines IS NULL").join(buckets, spot).drop("fines").select(wide.columns)
+    cuts = F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)
+    wide = wide.union(every).withColumn("cut", F.explode(cuts))
+    wide = wide.groupBy("q1", "q2", *spot, "slice", "cut").agg(F.first("vec").alias("vec"), F.collect_list("fine").alias("fines"))
+    wide = settle(wide, "asked")
+    block = [*spot, "slice", "cut"]
+    parts = settle(wide.groupBy(*block).agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "blocks")  # blocks that no query probes are left out
+    placed = placed.join(buckets, [*spot, "fine"]).withColumn("cut", F.pmod("c1", F.col("cuts"))).join(parts, block)
+    placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    wide = wide.join(parts, block).withColumn("part", F.pmod("q1", F.col("parts")))
+    left = placed.select(*block, "part", *CLASS, "least", "vec", "fine").groupBy(*block, "part")
+    right = wide.select(*block, "part", "q1", "q2", "vec", "fines").groupBy(*block, "part")
+    return left.cogroup(right).applyInArrow(_nearest, "q1 long, q2 long, c1 long, c2 long, least long, score double, cosine double")
 
 
 def _asking_all(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Every group of the first table, whole, for each query."""
+    """Every group of the first table, whole (no list of buckets), for each query."""
     groups = index.select("dim", F.col("buckets")[0].alias("bucket")).distinct()
     rows = queries.select(F.col("c1").alias("q1"), F.col("c2").alias("q2"), "dim", "vec").join(groups, "dim")
     return rows.select("q1", "q2", "dim", "vec", F.lit(0).alias("place"), "bucket", F.lit(None).cast("array<long>").alias("fines"))
 
 
+def _reached(met: DataFrame) -> DataFrame:
+    """``c1, c2, cosine`` of a query class: the least cosine of the nearest classes that it met; NULL if they are too few."""
+    once = met.groupBy("q1", "q2", "c1", "c2", "least").agg(F.min("score").alias("score"), F.min("cosine").alias("cosine"))
+    by_class = Window.partitionBy("q1", "q2").orderBy("score", "least")
+    best = once.withColumn("n", F.row_number().over(by_class)).where(F.col("n") <= NEAREST + 1)
+    all_of = best.groupBy(F.col("q1").alias("c1"), F.col("q2").alias("c2")).agg(F.count("*").alias("n"), F.min("cosine").alias("cosine"))
+    return all_of.select(*CLASS, F.when(F.col("n") > NEAREST, F.col("cosine")).alias("cosine"))
+
+
 def _answers(met: DataFrame, members: DataFrame, queries: DataFrame) -> DataFrame:
     """``query_id, rank, vec_id, score`` from the classes each query class met."""
     once = met.groupBy("q1", "q2", "c1", "c2", "least").agg(F.min("score").alias("score"))
@@ -237,11 +282,12 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     members = rows.select("id", *CLASS).withColumn("n", F.row_number().over(first)).where(F.col("n") <= NEAREST + 1).drop("n")
     classes = rows.groupBy(*CLASS, "dim").agg(F.min("id").alias("least"), F.first("vec").alias("vec"))
     classes = settle(classes, "classes")
-    plans = {r.dim: plan(r.n, r.dim) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # one small row for each length
-    index = settle(_indexed(classes, plans), "index")
+    index = settle(_indexed(classes), "index")
     queries = rows.where(is_query).select("id", *CLASS, "dim")
-    asked = index.join(queries.select(*CLASS).distinct(), CLASS, "left_semi")
-    met = settle(_search(index, _probing(asked, plans)), "met")
+    asked = index.join(queries.select(*CLASS).distinct(), CLASS, "left_semi").select(*CLASS, "dim", "vec")
+    met = settle(_search(index, _probing(asked)), "met")
+    again = asked.join(_reached(met), CLASS, "left").withColumn("cosine", F.coalesce("cosine", F.lit(-1.0)))
+    met = met.union(settle(_search(index, _probing(again)), "met"))
     found = settle(_answers(met, members, queries), "answers")
     there = rows.groupBy("dim").agg(F.count("*").alias("rows"))
     had = queries.join(found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("had")), "id", "left")

@@ -102,3 +102,20 @@ def test_too_few_candidates_ask_all(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=16).tolist()) for i in range(60)]
     close(run(spark, rows, 10), brute(rows, lambda i: i % 10 == 0))
+
+
+def test_answers_do_not_depend_on_the_number_of_rows(spark, monkeypatch):
+    """Far vectors, as many as were once a reason for other keys, change no answer."""
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    monkeypatch.setattr(neighbours, "JOINT_PROBES", 24)
+    rng = np.random.default_rng(8)
+    centre = np.eye(16)[0] * 3
+    few = [(i, (centre + rng.normal(size=16)).tolist()) for i in range(60)]
+    far = [(1001 + 10 * i, (-centre * 30 + rng.normal(size=16) * 0.05).tolist()) for i in range(300)]
+    got = run(spark, few, 10)
+    assert len(got) == 60 and got == run(spark, few + far, 10)
+
+
+def test_nearer_neighbours_ask_for_fewer_probes():
+    probes = neighbours.wanted(np.array([-1.0, 0.0, 0.3, 0.5, 0.9, 1.0]), 64).tolist()
+    assert probes == sorted(probes, reverse=True) and probes[0] > neighbours.JOINT_PROBES > probes[3] and probes[-1] == 1
