@@ -198,6 +198,20 @@ def test_against_all_pairs(docs_of):
     assert sum(r.class_id != root[i] for i, r in got.items()) <= 1
 
 
+def test_near_copies_behind_two_quotes(docs_of):
+    """Two earlier texts quote the first and the last 40 words of each passage; the two near-copies that follow are linked."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(100):
+        shared = text(rng, 50)
+        near = list(shared)
+        near[rng.randint(4, 45)] = "changed"
+        for j, part in enumerate((shared[:40], shared[10:], shared, near)):
+            rows.append((4 * k + j, " ".join(text(rng, rng.randint(50, 90)) + part + text(rng, rng.randint(50, 90)))))
+    got = {r.doc_id: r for r in passages.dedup_passages(docs_of(rows)).collect()}
+    assert sum(4 * k + 2 in got[4 * k + 3].sources and got[4 * k + 3].class_id == 4 * k + 2 for k in range(100)) >= 98
+
+
 def test_repeated_rows_are_compared_once(docs_of, monkeypatch):
     rng = random.Random(9)
     stored, write = {}, passages.settle
