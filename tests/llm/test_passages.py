@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import docs_of  # noqa: F401
@@ -232,3 +233,78 @@ def test_repeated_rows_are_compared_once(docs_of, monkeypatch):
 
 def test_empty(docs_of):
     assert passages.dedup_passages(docs_of([])).count() == 0
+
+
+def held_windows(texts, m):
+    """The windows over shingle ``m`` of each text, all in one group."""
+    asked = [[{"g": 1, "m": m, "span": len(t.split()) - passages.WORDS, "f": 0}] for t in texts]
+    kind = pa.list_(pa.struct([("g", pa.int64()), ("m", pa.int64()), ("span", pa.int64()), ("f", pa.int8())]))
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts), pa.array(asked, kind)], ["id", "h", "text", "asked"])
+    table = pa.Table.from_batches(passages._held(iter([batch])))
+    return table.combine_chunks().to_batches(max_chunksize=100)
+
+
+def test_windows_around_a_common_line_are_not_all_compared(monkeypatch):
+    """1,500 texts hold one line of 13 words and have nothing else in common, but for ten that repeat an earlier text's 55 words around it."""
+    rng = random.Random(31)
+    line, compared, alike = text(rng, 13), [], passages.alike
+    texts = [text(rng, 60) + line + text(rng, 60) for _ in range(1500)]
+    for k in range(10):
+        texts[1400 + k][39:94] = texts[7 * k][39:94]
+        texts[1400 + k][45 if k % 2 else 90] = "changed"
+    monkeypatch.setattr(passages, "alike", lambda *a: compared.append(len(a[2])) or alike(*a))
+    found = pa.Table.from_batches(passages._pairs(iter(held_windows([" ".join(t) for t in texts], 64)))).to_pylist()
+    assert {(r["id"], r["id1"]) for r in found} == {(1400 + k, 7 * k) for k in range(10)}
+    assert sum(compared) < 30 * len(texts)
+
+
+def test_pairs_of_windows_against_one_by_one(monkeypatch):
+    """Windows of texts cut from a few sources with changes, put in and left out words, compared one at a time, in any share of the group."""
+    rng = random.Random(32)
+    sources = [text(rng, 60) + ["middle", "of", "all", "these", "texts"] + text(rng, 60) for _ in range(4)]
+    texts = []
+    for _ in range(160):
+        words = list(rng.choice(sources))
+        for at in (rng.randrange(10, 55), rng.randrange(70, 120)):
+            words[at : at + rng.choice([0, 0, 1])] = rng.choice([[], ["x"], ["y", "z"], [f"n{at}"]])
+        cut = rng.choice([0, 0, 20, 30])
+        middle = words.index("middle")
+        words = text(rng, 60 - middle + cut) + words[cut:] if middle - cut < 60 else words[middle - 60 :]
+        shift = 60 - words.index("middle")
+        words = text(rng, shift) + words if shift > 0 else words
+        texts.append(" ".join(words[: rng.choice([110, 125, 140])]))
+    batches = held_windows(texts, 60)
+    table = pa.Table.from_batches(batches)
+    s = np.frombuffer(b"".join(table.column("s").to_pylist()), passages.SHORT).reshape(-1, passages.REACH)
+    high = np.minimum((table.column("span").to_numpy() & passages.LOW) - 60 + passages.LEAST - 1, passages.REACH - 1)
+    at = table.column("at").to_numpy()
+    known, roots, wanted = [], {}, set()
+    for y in range(len(texts)):
+        equal, met, enough = None, {}, []
+        for z in known:
+            if at[z] >> 32 == at[y] >> 32:
+                continue
+            top = np.minimum(high[[y]], high[[z]])
+            same = (s[y] == s[z])[: top[0] + 1]
+            if equal is None and any(same[k : k + passages.LEAST].all() for k in range(len(same) - passages.LEAST + 1)):
+                equal = z
+            near, more = passages.alike(s[[y]], s[[z]], np.zeros(1, np.int64), top)
+            if near[0]:
+                met.setdefault(roots[z], z)
+            elif more[0]:
+                enough.append(z)
+        if equal is not None:
+            wanted.add((y, equal, 1))
+            continue
+        wanted |= {(y, z, 1) for z in met.values()} | {(y, z, 0) for z in enough if roots[z] not in met}
+        roots[y] = min(met, default=y)
+        roots = {z: roots[y] if r in met else r for z, r in roots.items()}
+        known.append(y)
+    assert len(known) > 40 and len({k for _, _, k in wanted}) == 2 and len(set(roots.values())) > 4
+    for rows, many in ((1 << 15, 64), (1 << 15, 2), (100, 64), (100, 2)):
+        monkeypatch.setattr(passages, "ROWS", rows)
+        monkeypatch.setattr(passages, "MANY", many)
+        found = pa.Table.from_batches(passages._pairs(iter(batches))).to_pylist()
+        got = {(r["id"], r["id1"], int(r["c"] == 1)) for r in found}
+        assert len(found) == len(got) and got == wanted, (rows, many)
