@@ -29,8 +29,8 @@ from ledgermill.session import settle
 
 MAX_BITS = 3
 BLOCK = 256
-VOTES = 1 << 17
-CHUNK = 4 << 20
+VOTES = 1 << 14  # shingles whose 64 votes are summed at once, as eight-byte integers
+CHUNK = 1 << 19  # bytes of text hashed at once; what a worker keeps in memory follows it
 LOW = 0x5555555555555555
 GROUPS = 6  # any 3 differences leave 3 of them equal
 

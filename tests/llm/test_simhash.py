@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -8,6 +10,7 @@ from llm_fixtures import docs_of  # noqa: F401
 
 from ledgermill.llm import simhash
 from ledgermill.llm.keys import components
+from ledgermill.llm.textops import chunks
 
 
 def brute_fp(text):
@@ -102,3 +105,15 @@ def test_components(spark):
                 stack += links[x]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {k: v for k, v in want.items() if len(links[k] - {k})}
+
+
+def test_memory_does_not_follow_the_batch():
+    """A batch of 10,000 texts may have any size; a worker holds words and shingles of half a megabyte at a time."""
+    rng = random.Random(4)
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(rng.choices("abcdefgh", k=500)) for _ in range(4000)])], ["t"])
+    tracemalloc.start()
+    found = np.concatenate([simhash.simhash_batch(part.column("t")) for part in chunks(batch, "t", simhash.CHUNK)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 4000 and [int(x) & (1 << 64) - 1 for x in found[:3]] == [brute_fp(t) for t in batch.column("t").to_pylist()[:3]]
+    assert peak < 60 << 20
