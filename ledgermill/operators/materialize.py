@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import ExitStack, contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.exprs import small_side
-from ledgermill.session import settle
+from ledgermill.session import freed_shuffles, run_dir
 
 PARTITIONS = ("part_year", "part_month")
 ROWS_PER_MONTH = 100_000
 ASIDE = "-aside"
 INDEX = "_keys"  # Spark passes over names with an underscore when it lists the mart
 INDEX_BUCKETS = 64
+MERGED = "_merged"
+CODEC = "zstd"  # hex digests, most of a transaction, take half of what they take under Spark's own choice
+ROWS_PER_TURN = 2_000_000
+MOST_TURNS = 8
 
 
 def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -45,7 +50,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 def append_new(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Source rows whose key the target does not have, each key once."""
     known = target.select(F.col(key).alias("_known"))
-    return source.dropDuplicates([key]).join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+    return source.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti").dropDuplicates([key])
 
 
 def with_partitions(df: DataFrame, column: str) -> DataFrame:
@@ -104,7 +109,7 @@ def export_mart(df: DataFrame, path: str, least_rows: int = ROWS_PER_MONTH) -> l
     months = found["last"] - found["first"] + 1 if found["last"] is not None else 1
     if found["rows"] >= least_rows * months:
         return export_parquet(df.sparkSession.read.parquet(aside), path)
-    _move(df.sparkSession, aside, path)
+    move(df.sparkSession, aside, path)
     return []
 
 
@@ -125,7 +130,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
+def move(spark: SparkSession, source: str, target: str) -> None:
     """Put a finished folder in the place of another."""
     fs, new = file_system(spark, source)
     _, old = file_system(spark, target)
@@ -135,6 +140,22 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = file_system(spark, path)
+    fs.delete(folder, True)
+
+
+@contextmanager
+def settled(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """An intermediate result in the shared folder, which goes at the end: nothing lazy may read it later."""
+    path = run_dir(df.sparkSession, name)
+    try:
+        df.write.option("compression", CODEC).parquet(path)
+        yield df.sparkSession.read.parquet(path)
+    finally:
+        remove(df.sparkSession, path)
+
+
 def stored_months(spark: SparkSession, path: str) -> list[str]:
     """Folders of an exported mart's months, newest first, that of rows without a date last; none if it is not cut by month."""
     found = []
@@ -175,6 +196,13 @@ def summary_stats(marts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def shares(keys: Sequence[str], *frames: DataFrame | None) -> list[Column]:
+    """Conditions that cut the keys of stored frames into shares, as many as their rows ask for."""
+    rows = sum(df.count() for df in frames if df is not None)
+    n = min(MOST_TURNS, rows // ROWS_PER_TURN + 1)
+    return [F.pmod(F.xxhash64(*keys), F.lit(n)) == k for k in range(n)]
+
+
 class PartitionedMart:
     """A mart stored by year and month of one column; loads touch only the partitions of their rows and keys.
 
@@ -184,6 +212,10 @@ class PartitionedMart:
 
     Merged partitions are written aside first and then replace the stored ones. A load that dies on the way
     is mended by its replay, which reads the same index and gives the same mart.
+
+    A load of more than ``ROWS_PER_TURN`` rows, stored ones included, takes shares of the keys in turn, so that only one
+    share's shuffle is on disk; its batch, its index rows and the months aside go with it. Beside the stored months that
+    leaves their copy, the batch, and a share's shuffle.
     """
 
     def __init__(self, spark: SparkSession, path: str, column: str):
@@ -221,54 +253,78 @@ class PartitionedMart:
         """Note where the batch's keys go; all partitions in which they may stand, before and after."""
         if self.column in keys:
             return batch.select(*PARTITIONS).distinct().collect()
-        places = settle(self._places(batch, keys), "places")
-        touched, fresh = places.select(*PARTITIONS), places
-        if _exists(self.spark, f"{self.path}/{INDEX}"):
-            known = settle(self._known_places(places), "places")
-            touched = touched.union(known.select(*PARTITIONS))
-            same = F.col("h") == F.col("_h")
-            for c in PARTITIONS:
-                same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-            fresh = places.join(known.select(F.col("h").alias("_h"), *[F.col(c).alias(f"_{c}") for c in PARTITIONS]), same, "left_anti")
-        parts = touched.distinct().collect()  # the calendar bounds their list
-        fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{INDEX}")
-        return parts
+        with ExitStack() as steps:
+            places = steps.enter_context(settled(self._places(batch, keys), "places"))
+            touched, fresh = places.select(*PARTITIONS), places
+            if _exists(self.spark, f"{self.path}/{INDEX}"):
+                known = steps.enter_context(settled(self._known_places(places), "places"))
+                touched = touched.union(known.select(*PARTITIONS))
+                same = F.col("h") == F.col("_h")
+                for c in PARTITIONS:
+                    same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+                fresh = places.join(known.select(F.col("h").alias("_h"), *[F.col(c).alias(f"_{c}") for c in PARTITIONS]), same, "left_anti")
+            parts = touched.distinct().collect()  # the calendar bounds their list
+            fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{INDEX}")
+            return parts
 
     def _touched(self, parts: list) -> DataFrame:
         same = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(p[k])) for k in PARTITIONS]) for p in parts]
         return self._stored().filter(reduce(lambda a, b: a | b, same, F.lit(False)))
 
-    def upsert(self, source: DataFrame, keys: Sequence[str], version: Column | None = None) -> None:
+    def _write_aside(self, merged: DataFrame) -> None:
+        writer = merged.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS)
+        writer.option("compression", CODEC).parquet(f"{self.path}/{MERGED}")
+
+    def _publish(self, parts: list, replace: bool) -> None:
+        """Put the months written aside in the place of the touched ones, of which empty ones go, or add their files to them."""
+        for p in parts:
+            name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(PARTITIONS, p))
+            fs, new = file_system(self.spark, f"{self.path}/{MERGED}/{name}")
+            _, old = file_system(self.spark, f"{self.path}/{name}")
+            if replace:
+                fs.delete(old, True)
+            if not fs.exists(new):
+                continue
+            fs.mkdirs(old.getParent())
+            moved = [s.getPath() for s in fs.listStatus(new)] if fs.exists(old) else [new]
+            for source in moved:  # a folder takes the other's place, a file goes into it
+                if not fs.rename(source, old):
+                    raise OSError(f"could not move {source} to {old}")
+        remove(self.spark, f"{self.path}/{MERGED}")
+        self.spark.catalog.refreshByPath(self.path)
+
+    def upsert(self, source: DataFrame, keys: Sequence[str], version: Column | None = None, kept: bool = False) -> None:
         """Replace the rows of the source's keys, in whatever month they stand, and add the others.
 
-        With ``version``, a stored row of a higher version stays.
+        With ``version``, the highest of the source's rows of a key counts, and a stored row of a higher version stays.
+        The source is copied first, unless it is ``kept``: rows of files that no one changes during the load.
         """
-        batch = settle(with_partitions(source, self.column), "batch")
-        stored = self.exists()
-        parts = self._note(batch, keys)
-        if stored and version is not None:
-            both = self._touched(parts).unionByName(batch, allowMissingColumns=True)
-            merged = settle(newest(both, keys, version), "merged")
-        else:
-            merged = settle(upsert(self._touched(parts), batch, keys), "merged") if stored else batch
-        writer = merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
-        if stored:  # a month whose last row has moved away is not overwritten
-            left = {tuple(r) for r in merged.select(*PARTITIONS).distinct().collect()}
-            for p in parts:
-                if tuple(p) not in left:
-                    name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(PARTITIONS, p))
-                    fs, folder = file_system(self.spark, f"{self.path}/{name}")
-                    fs.delete(folder, True)
+        batch = with_partitions(source, self.column)
+        with freed_shuffles(self.spark), ExitStack() as steps:
+            batch = batch if kept else steps.enter_context(settled(batch, "batch"))
+            parts = self._note(batch, keys)
+            stored = self._touched(parts) if self.exists() else None
+            remove(self.spark, f"{self.path}/{MERGED}")
+            for share in shares(keys, batch, stored):
+                merged = batch.filter(share)
+                if version is not None:
+                    both = merged if stored is None else stored.filter(share).unionByName(merged, allowMissingColumns=True)
+                    merged = newest(both, keys, version)
+                elif stored is not None:
+                    merged = upsert(stored.filter(share), merged, keys)
+                self._write_aside(merged)
+            self._publish(parts, replace=True)
 
     def append(self, source: DataFrame, key: str) -> None:
         """Add the rows whose key is not stored yet, in whatever month."""
-        batch = settle(with_partitions(source, self.column).dropDuplicates([key]), "batch")
-        stored = self.exists()
-        parts = self._note(batch, [key])
-        if stored:
-            batch = append_new(self._touched(parts), batch, key)
-        batch.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(self.path)
+        with freed_shuffles(self.spark), settled(with_partitions(source, self.column), "batch") as batch:
+            parts = self._note(batch, [key])
+            stored = self._touched(parts).select(key) if self.exists() else None
+            remove(self.spark, f"{self.path}/{MERGED}")
+            for share in shares([key], batch, stored):
+                fresh = batch.filter(share)
+                self._write_aside(fresh.dropDuplicates([key]) if stored is None else append_new(stored.filter(share), fresh, key))
+            self._publish(parts, replace=False)
 
     def newer(self, source: DataFrame) -> DataFrame:
         """Source rows above the highest stored value, which is looked up in the last partition only."""

@@ -402,6 +402,41 @@ def test_a_month_that_empties(spark, folder):
     assert rows_of(mart.read()) == rows_of(two)
 
 
+def _shared_folders(spark):
+    import os
+
+    from ledgermill.session import shared_dir
+
+    return set(os.listdir(shared_dir(spark).removeprefix("file:")))
+
+
+def test_loads_leave_only_the_mart(spark, folder, monkeypatch):
+    """Loads in several shares of the keys give the rows of a whole one, and nothing but the mart stays on disk."""
+    import os
+
+    day = F.date_add(F.lit("2024-01-15").cast("date"), (F.col("n") % 90).cast("int"))
+    rows = spark.range(400).select(F.when(F.col("id") % 50 > 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("n"))
+    rows = rows.unionByName(rows.filter("n < 20")).withColumn("date", F.when(F.col("n") % 7 > 0, day))
+    moved = rows.filter("n % 4 = 1").withColumns({"date": F.date_add("date", 40), "n": -F.col("n")})
+    newer = rows.filter("n % 10 = 3").withColumn("n", F.col("n") + 500)
+    old = _shared_folders(spark)
+
+    def load(name):
+        mart = materialize.PartitionedMart(spark, f"{folder}/{name}", "date")
+        for batch in (rows, moved, moved):
+            mart.upsert(batch, ["k"])
+        mart.append(rows.unionByName(rows.filter("n < 9").withColumn("k", F.concat("k", F.lit("x")))), "k")
+        mart.upsert(newer.unionByName(newer.withColumn("n", F.lit(0))), ["k"], F.col("n"))
+        left = {n.split("=")[0] for n in os.listdir(f"{folder}/{name}")}
+        assert left == {"part_year", "_keys"} and _shared_folders(spark) == old
+        return rows_of(mart.read())
+
+    whole = load("whole")
+    monkeypatch.setattr(materialize, "ROWS_PER_TURN", 100)
+    assert len(materialize.shares(["k"], rows, None)) == 5
+    assert load("shared") == whole and len(whole) > 400
+
+
 def test_partition_columns(spark, folder):
     """A whole-number month is no calendar month; small marts are one folder, large ones are cut by month."""
     day = F.lit("2024-01-05").cast("date")
