@@ -18,6 +18,7 @@ ASIDE = "-aside"
 INDEX = "_keys"  # Spark passes over names with an underscore when it lists the mart
 INDEX_BUCKETS = 64
 MERGED = "_merged"
+DONE = "_SUCCESS"
 CODEC = "zstd"  # hex digests, most of a transaction, take half of what they take under Spark's own choice
 ROWS_PER_TURN = 2_000_000
 MOST_TURNS = 8
@@ -277,11 +278,11 @@ class PartitionedMart:
 
     def _publish(self, parts: list, replace: bool) -> None:
         """Put the months written aside in the place of the touched ones, of which empty ones go, or add their files to them."""
-        for p in parts:
-            name = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(PARTITIONS, p))
+        folders = ["/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(PARTITIONS, p)) for p in parts]
+        for name in (*folders, DONE):
             fs, new = file_system(self.spark, f"{self.path}/{MERGED}/{name}")
             _, old = file_system(self.spark, f"{self.path}/{name}")
-            if replace:
+            if replace or name == DONE:
                 fs.delete(old, True)
             if not fs.exists(new):
                 continue
