@@ -770,6 +770,7 @@ def account_balance_totals(spark, sf_dir):
 # --- materialisation --------------------------------------------------------
 
 CUT = "2000-12-31"
+RECORDS_PER_FILE = 250_000  # a compressed file is read by one task
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -883,7 +884,7 @@ def _streamed(spark: SparkSession, sf_dir: str, merge: bool = False) -> tuple[st
     """Folders of the table and the quarantine after a stream of three arrivals.
 
     First come the newer rows, a tenth of them still drafts; then an older backfill and the corrected drafts; then
-    records that break the contract, and repeats.
+    records that break the contract, and repeats. Arrivals come compressed and go once they are ingested.
     """
     inbox, target, quarantine, state = (run_dir(spark, n) for n in ("inbox", "ledger", "quarantine", "ingest-state"))
     raw = derived.raw_ledger(spark, sf_dir).withColumn("balance_after", F.lit(None).cast("decimal(15,2)"))
@@ -897,8 +898,10 @@ def _streamed(spark: SparkSession, sf_dir: str, merge: bool = False) -> tuple[st
         broken.unionByName(raw.filter(F.col("txn_id") > "f0")),
     ]
     for arrival in arrivals:
-        arrival.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(inbox)
+        writer = arrival.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss")
+        writer.option("maxRecordsPerFile", RECORDS_PER_FILE).json(inbox, compression="gzip")
         stream_ingest.run_ingest(spark, inbox, target, quarantine, state).awaitTermination()
+        materialize.remove(spark, inbox)
         if merge:
             stream_ingest.merge_batches(spark, target)
     return target, quarantine

@@ -51,14 +51,14 @@ def _base(spark: SparkSession, target: str, column: str) -> PartitionedMart:
 def compact(spark: SparkSession, target: str, keys: Sequence[str], version: Column, column: str) -> int:
     """Merge all finished batches into the base, the newest version of a key winning; the last batch merged.
 
-    Only the months of the batches' rows, and those in which their keys stood before, are written again.
+    Only the months of the batches' rows, and those in which their keys stood before, are written again. The batches'
+    folders stay as they are meanwhile, so their rows are not copied.
     """
     done = merged_until(spark, target)
     fresh = [n for n in finished_batches(spark, target) if n > done]
     if not fresh:
         return done
-    rows = newest_of(_batches(spark, target, fresh), keys, version)
-    _base(spark, target, column).upsert(rows, keys, version)
+    _base(spark, target, column).upsert(_batches(spark, target, fresh), keys, version, kept=True)
     fs, marker = file_system(spark, f"{target}/_merged/{fresh[-1]}")
     fs.mkdirs(marker)
     return fresh[-1]

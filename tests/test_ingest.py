@@ -437,6 +437,30 @@ def test_loads_leave_only_the_mart(spark, folder, monkeypatch):
     assert load("shared") == whole and len(whole) > 400
 
 
+def test_streams_leave_only_their_table(spark, small, folder, monkeypatch):
+    """Batches taken and merged in several shares of the keys give the rows of whole ones; arrivals and copies do not stay."""
+    from ledgermill.plans.registry import QUERIES
+
+    def run():
+        before = _shared_folders(spark)
+        rows = rows_of(QUERIES["stream_compacted"](spark, small))
+        return rows, sorted(n.rsplit("-", 1)[0] for n in _shared_folders(spark) - before)
+
+    whole, left = run()
+    assert left == ["ingest-state", "ledger", "quarantine"]
+    monkeypatch.setattr(materialize, "ROWS_PER_TURN", 400)
+    assert run() == (whole, left) and len(whole) == 1500
+    # a batch that died between its shares is not there, and its replay is whole
+    raw = derived.raw_ledger(spark, small).withColumn("balance_after", F.lit(None).cast("decimal(15,2)"))
+    _send(spark, raw, f"{folder}/in")
+    raw.limit(9).write.parquet(f"{folder}/out/_batch_id=0")
+    assert stream_ingest.compaction.finished_batches(spark, f"{folder}/out") == []
+    stream_ingest.run_ingest(spark, f"{folder}/in", f"{folder}/out", f"{folder}/bad", f"{folder}/state").awaitTermination()
+    assert stream_ingest.compaction.finished_batches(spark, f"{folder}/out") == [0]
+    got, want = (rows_of(df, "txn_id", "posted_at", "amount") for df in (stream_ingest.current_rows(spark, f"{folder}/out"), raw))
+    assert got == want
+
+
 def test_partition_columns(spark, folder):
     """A whole-number month is no calendar month; small marts are one folder, large ones are cut by month."""
     day = F.lit("2024-01-05").cast("date")
